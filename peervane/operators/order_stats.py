@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 PLAIN_ROWS = 1_000_000
-RANGES = 256
+RANGES = 128
 
 Edges = Mapping[str, Sequence[float]]
 
@@ -51,16 +51,17 @@ def range_of(value: Column, edges: Sequence[float]) -> Column:
 
 
 def value_counts(
-    frame: DataFrame, keys: Sequence[str], value: str, edges: Sequence[float] | None = None
+    frame: DataFrame, keys: Sequence[str], value: str, ranges: Column | None = None
 ) -> DataFrame:
     """(keys, value, n, below, total): rows at and under each distinct value.
 
     Equal values collapse on the map side, so a value a third of the rows share
-    is one row per map task. Nulls are left out.
+    is one row per map task. Nulls are left out. `ranges` numbers the range of a
+    value and must not fall as the value grows.
     """
     keys = list(keys)
-    present = frame.filter(F.col(value).isNotNull()).select(*keys, value)
-    if edges is None:
+    present = frame.filter(F.col(value).isNotNull())
+    if ranges is None:
         counts = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
         w = W.partitionBy(*keys).orderBy(value)
         upto = F.sum("n").over(w.rowsBetween(W.unboundedPreceding, W.currentRow))
@@ -68,7 +69,7 @@ def value_counts(
             *keys, value, "n", (upto - F.col("n")).alias("below"),
             F.sum("n").over(W.partitionBy(*keys)).alias("total"),
         )
-    ranged = present.withColumn("_range", range_of(F.col(value), edges))
+    ranged = present.select(*keys, value, ranges.alias("_range"))
     counts = ranged.groupBy(*keys, "_range", value).agg(F.count(F.lit(1)).alias("n"))
     per_range = counts.groupBy(*keys, "_range").agg(F.sum("n").alias("_n"))
     w = W.partitionBy(*keys).orderBy("_range")
@@ -114,29 +115,20 @@ def dispersion(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def average_rank(
-    frame: DataFrame, keys: Sequence[str], columns: Sequence[str], edges: Edges | None = None,
-    suffix: str = "_rank",
+    frame: DataFrame, keys: Sequence[str], value: str, name: str, ranges: Column | None = None
 ) -> DataFrame:
-    """Ascending rank within `keys`, ties sharing their mean rank; null stays null.
+    """Ascending rank from 1 within `keys`, ties sharing their mean rank; null stays null.
 
-    Ranks are doubles from 1. A descending rank is `non-null count + 1 - rank`,
-    for which `{column}_known` carries the count.
+    With `ranges`, ranks come from `value_counts` and a join back on the value;
+    a value many rows share is a skewed key there, which AQE splits.
     """
     keys = list(keys)
-    if edges is None:
-        ranked = {}
-        for c in columns:
-            w = W.partitionBy(*keys).orderBy(F.col(c).asc_nulls_last())
-            ties = F.count(c).over(w.rangeBetween(W.currentRow, W.currentRow))
-            ranked[f"{c}{suffix}"] = F.when(
-                F.col(c).isNotNull(), F.rank().over(w) + (ties - 1) / F.lit(2.0)
-            )
-            ranked[f"{c}_known"] = F.count(c).over(W.partitionBy(*keys))
-        return frame.withColumns(ranked)
-    for c in columns:
-        counts = value_counts(frame, keys, c, edges[c]).select(
-            *keys, c, (F.col("below") + (F.col("n") + 1) / F.lit(2.0)).alias(f"{c}{suffix}"),
-            F.col("total").alias(f"{c}_known"),
-        )
-        frame = frame.join(counts, [*keys, c], "left")
-    return frame
+    if ranges is None:
+        w = W.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last())
+        ties = F.count(value).over(w.rangeBetween(W.currentRow, W.currentRow))
+        rank = F.rank().over(w) + (ties - 1) / F.lit(2.0)
+        return frame.withColumn(name, F.when(F.col(value).isNotNull(), rank))
+    ranks = value_counts(frame, keys, value, ranges).select(
+        *keys, value, (F.col("below") + (F.col("n") + 1) / F.lit(2.0)).alias(name)
+    )
+    return frame.join(ranks, [*keys, value], "left")

@@ -17,6 +17,7 @@ from peervane.operators.order_stats import (
     average_rank,
     dispersion,
     quantiles,
+    range_of,
     value_counts,
 )
 from peervane.params import Profile, Scoring, metrics_of, weights_table
@@ -71,30 +72,37 @@ def with_peer_groups(
     return pool.join(sizes, match).drop("_g", *[f"_k_{k}" for k in by])
 
 
+def metric_rows(pool: DataFrame, metrics: Sequence[str], carried: Sequence[str]) -> DataFrame:
+    """Long form: (carried, metric, value), a row per metric.
+
+    One window then serves every metric, and metrics spread over the tasks.
+    """
+    pairs = [
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics
+    ]
+    return pool.select(*carried, F.inline(F.array(*pairs)))
+
+
+def metric_range(edges: Edges | None, value: str = "value", negated: Sequence[str] = ()) -> Column | None:
+    """The range number of a long row's value under the edges of its metric."""
+    if edges is None:
+        return None
+    number = None
+    for m, at in edges.items():
+        cuts = sorted(-e for e in at) if m in negated else at
+        here = range_of(F.col(value), cuts)
+        is_metric = F.col("metric") == m
+        number = F.when(is_metric, here) if number is None else number.when(is_metric, here)
+    return F.coalesce(number, F.lit(0))
+
+
 def metric_counts(
     pool: DataFrame, metrics: Sequence[str], by: Sequence[str] = ("profile",),
     edges: Edges | None = None,
 ) -> DataFrame:
     """`value_counts` of many metrics at once, keyed by (by, metric)."""
-    by = list(by)
-    if edges is None:
-        pairs = F.inline(
-            F.array(
-                *[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]
-            )
-        )
-        return value_counts(pool.select(*by, pairs), [*by, "metric"], "value")
-    parts = [
-        value_counts(
-            pool.select(*by, F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")),
-            [*by, "metric"], "value", edges[m],
-        )
-        for m in metrics
-    ]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return union
+    rows = metric_rows(pool, metrics, by)
+    return value_counts(rows, [*by, "metric"], "value", metric_range(edges))
 
 
 def clip_bounds(counts: DataFrame, lower: float, upper: float, by: Sequence[str] = ("profile",)) -> DataFrame:
@@ -138,65 +146,81 @@ def inert_metrics(weights: DataFrame, live: DataFrame) -> DataFrame:
     return weights.select("profile", "metric").join(live.select("profile", "metric"), ["profile", "metric"], "left_anti")
 
 
+def clipped_rows(rows: DataFrame, bounds: DataFrame, by: Sequence[str] = ("profile",)) -> DataFrame:
+    """Bound each long value; `bounds` has a row per (by, metric)."""
+    joined = rows.join(bounds, [*by, "metric"], "left")
+    return joined.withColumn("value", clip(F.col("value"), F.col("low"), F.col("high"))).drop("low", "high")
+
+
 def winsorised(
     pool: DataFrame, bounds: DataFrame, metrics: Sequence[str], by: Sequence[str] = ("profile",)
 ) -> DataFrame:
-    """Clip each metric to its pool's bounds; `bounds` is (by, metric, low, high)."""
-    wide = bounds.groupBy(*by).agg(
+    """(by, entity, metrics) with each metric clipped to its pool's bounds."""
+    by = list(by)
+    rows = clipped_rows(metric_rows(pool, metrics, [*by, "entity"]), bounds, by)
+    return widened(rows, [*by, "entity"], metrics, {"value": ""})
+
+
+def widened(
+    rows: DataFrame, keys: Sequence[str], metrics: Sequence[str], columns: Mapping[str, str]
+) -> DataFrame:
+    """Back to a row per entity: `columns` maps a long column to the suffix of its wide ones."""
+    return rows.groupBy(*keys).agg(
         *[
-            F.max(F.when(F.col("metric") == m, F.col(side))).alias(f"_{side}_{m}")
+            F.max(F.when(F.col("metric") == m, F.col(c))).alias(f"{m}{suffix}")
             for m in metrics
-            for side in ("low", "high")
+            for c, suffix in columns.items()
         ]
     )
-    joined = pool.join(wide, list(by), "left")
-    clipped = {m: clip(F.col(m).cast("double"), F.col(f"_low_{m}"), F.col(f"_high_{m}")) for m in metrics}
-    return joined.withColumns(clipped).drop(*[c for c in wide.columns if c not in by])
 
 
-def as_percentile(rank: Column, known: Column, size: Column, direction: str) -> Column:
+def as_percentile(rank: Column, size: Column) -> Column:
     """0 (worst) to 1 (best); a group of one says nothing and gets 0.5."""
-    if direction not in ("high", "low"):
-        raise ValueError(f"direction must be 'high' or 'low', got {direction!r}")
-    place = rank if direction == "high" else known + 1 - rank
-    return F.when(size > 1, (place - 1) / (size - 1)).otherwise(F.lit(0.5))
+    return F.when(size > 1, (rank - 1) / (size - 1)).otherwise(F.lit(0.5))
+
+
+def low_is_good(metrics: Sequence[str], directions: Mapping[str, str]) -> list[str]:
+    wrong = {directions[m] for m in metrics} - {"high", "low"}
+    if wrong:
+        raise ValueError(f"direction must be 'high' or 'low', got {sorted(wrong)}")
+    return [m for m in metrics if directions[m] == "low"]
 
 
-def with_percentiles(
-    pool: DataFrame, metrics: Sequence[str], directions: Mapping[str, str],
-    by: Sequence[str] = ("profile",), edges: Edges | None = None, whole_pool: bool = True,
+def percentile_rows(
+    rows: DataFrame, metrics: Sequence[str], directions: Mapping[str, str],
+    by: Sequence[str] = ("profile",), edges: Edges | None = None,
 ) -> DataFrame:
-    """Add `{metric}_pct` within the peer group and `{metric}_pool_pct` in the pool.
+    """Add `pct` within the peer group and `pool_pct` in the whole pool to long rows.
 
-    Expects `peer_group`, `peer_size` and `pool_size`. The denominator counts
-    rows whose metric is null, the ranks do not.
+    Expects `peer_group`, `peer_size` and `pool_size`. Values of metrics where low
+    is good are negated, so that the same ascending rank is always best last. The
+    denominator counts rows whose metric is null, the ranks do not.
+    """
+    negated = low_is_good(metrics, directions)
+    signed = F.when(F.col("metric").isin(negated), -F.col("value")).otherwise(F.col("value"))
+    rows = rows.withColumn("value", signed)
+    ranges = metric_range(edges, negated=negated)
+    keys = [*by, "metric"]
+    ranked = average_rank(rows, [*keys, "peer_group"], "value", "_rank", ranges)
+    ranked = average_rank(ranked, keys, "value", "_pool_rank", ranges)
+    pool_pct = as_percentile(F.col("_pool_rank"), F.col("pool_size"))
+    peer_pct = as_percentile(F.col("_rank"), F.col("peer_size"))
+    return ranked.withColumns(
+        {
+            "pct": F.when(F.col("peer_group") == WHOLE_POOL, pool_pct).otherwise(peer_pct),
+            "pool_pct": pool_pct,
+        }
+    ).drop("_rank", "_pool_rank")
+
+
+def weighted_score(metrics: Sequence[str], suffix: str = "_pct") -> Column:
+    """Sum of percentile times `w_{metric}`; an unknown percentile counts one half.
+
+    Terms are added in the order of the metrics, so equal inputs tie exactly.
     """
-    by = list(by)
-    ranked = average_rank(pool, [*by, "peer_group"], metrics, edges)
-    ranked = ranked.withColumnsRenamed({f"{m}_known": f"{m}_peer_known" for m in metrics})
-    if whole_pool:
-        ranked = average_rank(ranked, by, metrics, edges, suffix="_pool_rank")
-    columns = {}
-    for m in metrics:
-        peer = as_percentile(
-            F.col(f"{m}_rank"), F.col(f"{m}_peer_known"), F.col("peer_size"), directions[m]
-        )
-        if whole_pool:
-            pool_pct = as_percentile(
-                F.col(f"{m}_pool_rank"), F.col(f"{m}_known"), F.col("pool_size"), directions[m]
-            )
-            columns[f"{m}_pool_pct"] = pool_pct
-            peer = F.when(F.col("peer_group") == WHOLE_POOL, pool_pct).otherwise(peer)
-        columns[f"{m}_pct"] = peer
-    spent = [f"{m}{s}" for m in metrics for s in ("_rank", "_peer_known", "_pool_rank", "_known")]
-    return ranked.withColumns(columns).drop(*spent)
-
-
-def weighted_score(metrics: Sequence[str], weight_of, suffix: str = "_pct") -> Column:
-    """Sum of percentile times weight; an unknown percentile counts one half."""
     total = F.lit(0.0)
     for m in metrics:
-        total = total + F.coalesce(F.col(f"{m}{suffix}"), F.lit(0.5)) * weight_of(m)
+        total = total + F.coalesce(F.col(f"{m}{suffix}"), F.lit(0.5)) * F.col(f"w_{m}")
     return total
 
 
@@ -228,13 +252,14 @@ def score_profiles(
     )
     bounds = clip_bounds(counts, scoring.lower, scoring.upper)
     grouped = with_peer_groups(pool, group, scoring.min_group)
-    clipped = winsorised(grouped, bounds, metrics)
-    ranked = with_percentiles(clipped, metrics, directions, edges=edges)
+    sizes = ["peer_group", "peer_size", "pool_size"]
+    rows = clipped_rows(metric_rows(grouped, metrics, ["profile", "entity", *sizes]), bounds)
+    ranked = percentile_rows(rows, metrics, directions, edges=edges)
+    percentiles = widened(
+        ranked, ["profile", "entity", *sizes], metrics, {"pct": "_pct", "pool_pct": "_pool_pct"}
+    )
     wide = weights_wide(weights, metrics, "effective_weight")
-    scored = ranked.join(wide, "profile").withColumns(
-        {
-            "score": weighted_score(metrics, lambda m: F.col(f"w_{m}")),
-            "pool_score": weighted_score(metrics, lambda m: F.col(f"w_{m}"), "_pool_pct"),
-        }
+    scored = percentiles.join(wide, "profile").withColumns(
+        {"score": weighted_score(metrics), "pool_score": weighted_score(metrics, "_pool_pct")}
     )
-    return scored.drop(*[f"w_{m}" for m in metrics]), weights
+    return pool.join(scored.drop(*[f"w_{m}" for m in metrics]), ["profile", "entity"]), weights

@@ -41,8 +41,8 @@ def check_digit_sql(key: str, weights) -> str:
 
 def with_full_key(frame, base):
     """Add `key`: a 12-digit base and its two check digits, one projection each."""
-    first = keys.check_digit(F.col("_base"), keys.FIRST_DIGIT_WEIGHTS).cast("string")
-    second = keys.check_digit(F.col("_base"), keys.SECOND_DIGIT_WEIGHTS).cast("string")
+    first = keys.check_digit(F.col("_base"), keys.FIRST_DIGIT_WEIGHTS, 12).cast("string")
+    second = keys.check_digit(F.col("_base"), keys.SECOND_DIGIT_WEIGHTS, 13).cast("string")
     based = frame.withColumn("_base", base).withColumn("_base", F.concat("_base", first))
     return based.withColumn("key", F.concat("_base", second)).drop("_base")
 

@@ -77,10 +77,8 @@ def metric_rows(pool: DataFrame, metrics: Sequence[str], carried: Sequence[str])
 
     One window then serves every metric, and metrics spread over the tasks.
     """
-    pairs = [
-        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics
-    ]
-    return pool.select(*carried, F.inline(F.array(*pairs)))
+    pairs = ", ".join(f"'{m}', CAST(`{m}` AS DOUBLE)" for m in metrics)
+    return pool.selectExpr(*carried, f"stack({len(metrics)}, {pairs}) AS (metric, value)")
 
 
 def metric_range(edges: Edges | None, value: str = "value", negated: Sequence[str] = ()) -> Column | None:
@@ -167,7 +165,7 @@ def widened(
     """Back to a row per entity: `columns` maps a long column to the suffix of its wide ones."""
     return rows.groupBy(*keys).agg(
         *[
-            F.max(F.when(F.col("metric") == m, F.col(c))).alias(f"{m}{suffix}")
+            F.expr(f"max(CASE WHEN metric = '{m}' THEN {c} END) AS `{m}{suffix}`")
             for m in metrics
             for c, suffix in columns.items()
         ]
@@ -218,17 +216,15 @@ def weighted_score(metrics: Sequence[str], suffix: str = "_pct") -> Column:
 
     Terms are added in the order of the metrics, so equal inputs tie exactly.
     """
-    total = F.lit(0.0)
-    for m in metrics:
-        total = total + F.coalesce(F.col(f"{m}{suffix}"), F.lit(0.5)) * F.col(f"w_{m}")
-    return total
+    terms = [f"coalesce(`{m}{suffix}`, 0.5D) * `w_{m}`" for m in metrics]
+    return F.expr(" + ".join(["0.0D", *terms]))
 
 
 def weights_wide(weights: DataFrame, metrics: Sequence[str], value: str, by: Sequence[str] = ("profile",)) -> DataFrame:
     """One row per `by` with a `w_{metric}` column each, 0 for metrics not weighed."""
     return weights.groupBy(*by).agg(
         *[
-            F.coalesce(F.sum(F.when(F.col("metric") == m, F.col(value))), F.lit(0)).alias(f"w_{m}")
+            F.expr(f"coalesce(sum(CASE WHEN metric = '{m}' THEN {value} END), 0) AS `w_{m}`")
             for m in metrics
         ]
     )

@@ -16,7 +16,6 @@ compared with every tile of their manager, so nothing is missed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from peervane.operators.series import (
@@ -26,7 +25,7 @@ from peervane.operators.series import (
     calendar_of,
     with_adjacent_returns,
 )
-from peervane.session import materialise
+from peervane.session import materialise, wide_parallelism
 
 TILE = 128
 TILE_PAIR = ("manager", "cell_a", "tile_a", "cell_b", "tile_b")
@@ -62,29 +61,40 @@ def pair_distances(returns: DataFrame, periods: int = PERIODS_PER_YEAR) -> DataF
     )
 
 
-def _market_weights(returns: DataFrame) -> DataFrame:
-    """(day_index, w): centred mean return per day, a row per date of the pool."""
-    daily = returns.groupBy("day_index").agg(F.avg("ret").alias("_m"))
-    everything = W.partitionBy()
-    return daily.select("day_index", (F.col("_m") - F.avg("_m").over(everything)).alias("w"))
+def _vectors(returns: DataFrame) -> DataFrame:
+    """(manager, entity, days, rets): a row per entity, as long as the calendar at most."""
+    observed = F.array_sort(F.collect_list(F.struct("day_index", "ret")))
+    vectors = returns.groupBy("manager", "entity").agg(observed.alias("_obs"))
+    return vectors.select(
+        "manager", "entity", F.col("_obs.day_index").alias("days"), F.col("_obs.ret").alias("rets")
+    )
 
 
-def _vectors(returns: DataFrame, threshold: float, periods: int) -> DataFrame:
-    """One stored row per entity: its days, its returns, and its grid cell."""
-    weights = _market_weights(returns)
-    shape = weights.agg(F.count(F.lit(1)).alias("days"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    weighted = returns.join(weights, "day_index")
-    vectors = weighted.groupBy("manager", "entity").agg(
-        F.array_sort(F.collect_list(F.struct("day_index", "ret"))).alias("_obs"),
-        F.sum(F.col("w") * F.col("ret")).alias("_z"),
-    )
-    days, norm = (shape.select(c).scalar() for c in ("days", "norm"))
-    radius = norm * F.sqrt(days) * F.lit(threshold / periods**0.5) * F.lit(1 + 1e-9) + F.lit(1e-12)
-    cell = F.when(F.size("_obs") == days, F.floor(F.col("_z") / radius)).otherwise(F.lit(GAPS))
-    return vectors.select(
-        "manager", "entity", F.col("_obs.day_index").alias("days"), F.col("_obs.ret").alias("rets"),
-        cell.cast("bigint").alias("cell"),
+def _market(vectors: DataFrame) -> list[float]:
+    """The centred mean return of each day of the calendar, in order.
+
+    A few hundred numbers a year reach the driver; as literals they put an entity
+    into the same cell in every branch of the plan and after every retry.
+    """
+    daily = vectors.select(F.explode(F.arrays_zip("days", "rets")).alias("_x")).groupBy("_x.days").agg(
+        F.avg("_x.rets").alias("mean")
     )
+    means = [row["mean"] for row in daily.orderBy("days").collect()]
+    middle = sum(means) / len(means) if means else 0.0
+    return [m - middle for m in means]
+
+
+def _with_cells(vectors: DataFrame, threshold: float, periods: int) -> DataFrame:
+    """Add the grid cell: of the market coordinate, or the cell of those with gaps."""
+    weights = _market(vectors)
+    days = len(weights)
+    norm = sum(w * w for w in weights) ** 0.5
+    radius = norm * days**0.5 * threshold / periods**0.5 * (1 + 1e-9) + 1e-12
+    literal = F.array(*[F.lit(w) for w in weights]).cast("array<double>")
+    products = F.zip_with("rets", literal, lambda r, w: r * w)
+    z = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+    cell = F.when(F.size("rets") == days, F.floor(z / F.lit(radius))).otherwise(F.lit(GAPS))
+    return vectors.withColumn("cell", cell.cast("bigint"))
 
 
 def _tile_pairs(cells: DataFrame) -> DataFrame:
@@ -110,7 +120,7 @@ def twin_pairs(
     tile: int = TILE,
 ) -> DataFrame:
     """(a, b, distance, overlap) with a < b for every pair within the threshold."""
-    vectors = materialise(_vectors(returns, threshold, periods), "vectors")
+    vectors = _with_cells(materialise(_vectors(returns), "vectors"), threshold, periods)
     cells = vectors.groupBy("manager", "cell").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(float(tile))).cast("int").alias("tiles")
     )
@@ -163,7 +173,7 @@ def twin_pairs(
                 found.append((a, b, distance, int(gap.size)))
         return pd.DataFrame(found, columns=columns)
 
-    rows = side("a").unionByName(side("b"))
+    rows = side("a").unionByName(side("b")).repartition(wide_parallelism(returns.sparkSession), *TILE_PAIR)
     return rows.groupBy(*TILE_PAIR).applyInPandas(
         compare, f"a {entity_type}, b {entity_type}, distance double, overlap bigint"
     )

@@ -20,6 +20,8 @@ def build_session(app: str = "peervane", cores: str = "*", shuffle_partitions: i
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        # Building an expression is one call into the JVM, without a stack trace each.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
@@ -56,3 +58,8 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def wide_parallelism(spark: SparkSession) -> int:
+    """Tasks for heavy work on few bytes, which AQE would otherwise coalesce away."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

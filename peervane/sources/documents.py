@@ -82,7 +82,7 @@ def ranking_document(
     """
     records = ranked_records(listed, metrics).filter("delivered")
     top = records.groupBy("profile").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("rank", "record"))), lambda x: x["record"]).alias("top")
+        F.array_sort(F.collect_list("record"), lambda a, b: a["rank"] - b["rank"]).alias("top")
     )
     sizes = pools.groupBy("profile").agg(F.count(F.lit(1)).alias("eligible_universe_size"))
     applied = weights.groupBy("profile").agg(

@@ -99,6 +99,11 @@ class Tables:
     def series(self) -> DataFrame:
         return self.panel.filter(F.col("ts").between(F.lit(START), F.lit(REFERENCE)))
 
+    @cached_property
+    def stored_series(self) -> DataFrame:
+        """The windowed panel as a stored table, for plans that read it more than once."""
+        return materialise(self.series, "series")
+
     @cached_property
     def daily(self) -> DataFrame:
         """Daily panel of the event users."""

@@ -154,7 +154,7 @@ TWIN_CTES = (RETURNS_SQL, PAIRS_SQL, TWINS_SQL, EDGES_SQL)
 
 
 def twins(t: Tables):
-    returns = tw.pool_returns(t.series, t.registry.select("entity", "manager"))
+    returns = tw.pool_returns(t.stored_series, t.registry.select("entity", "manager"))
     return tw.twin_pairs(returns, THRESHOLD, OVERLAP, PERIODS)
 
 

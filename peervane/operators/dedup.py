@@ -5,25 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-COPIES = "copies"
-
-
-def last_per_key(
-    frame: DataFrame, keys: Sequence[str], order: Sequence[Column], count_copies: bool = False
-) -> DataFrame:
+def last_per_key(frame: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The last whole row of each key, nulls included.
 
-    An aggregate, not a window: map tasks reduce each key to one row before the
-    shuffle, so a key that repeats without end costs one row per map task.
+    Spark limits each key to one row per map task before the shuffle, so a key
+    that repeats without end costs one row per map task.
     """
-    rest = [c for c in frame.columns if c not in keys]
-    last = F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")
-    measures = [last] + ([F.count(F.lit(1)).alias(COPIES)] if count_copies else [])
-    picked = frame.groupBy(*keys).agg(*measures)
-    columns = [F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in frame.columns]
-    return picked.select(*columns, *([COPIES] if count_copies else []))
+    w = W.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in order])
+    return frame.withColumn("_place", F.row_number().over(w)).filter("_place = 1").drop("_place")
 
 
 def distinct_keys(frame: DataFrame, keys: Sequence[str]) -> DataFrame:

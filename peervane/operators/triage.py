@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peervane.functions.keys import check_digits_match, key_problem
-from peervane.operators.dedup import COPIES, last_per_key
+from peervane.operators.dedup import last_per_key
 
 CLEAN, QUARANTINED, FUTURE, DUPLICATE = "clean", "quarantined", "future", "deduplicated"
 
@@ -35,12 +35,12 @@ def rejection_reason(key: Column, ts: Column, price: Column, assets: Column) ->
 def triage(
     frame: DataFrame, keys: Sequence[str], ts: str, reason: Column, reference, order: Sequence[Column]
 ) -> DataFrame:
-    """One row per natural key with `copies`, `disposition` and `reason`.
+    """One row per natural key with `disposition` and `reason`.
 
     Deduplication comes first and keeps the last row, then rows after the
     reference date are set aside, then the reason is sought.
     """
-    kept = last_per_key(frame, keys, order, count_copies=True)
+    kept = last_per_key(frame, keys, order)
     late = F.coalesce(F.col(ts) > F.lit(reference), F.lit(False))
     judged = kept.withColumn("reason", F.when(~late, reason))
     return judged.withColumn(
@@ -50,39 +50,36 @@ def triage(
 
 
 def clean_rows(judged: DataFrame) -> DataFrame:
-    return judged.filter(F.col("disposition") == CLEAN).drop("disposition", "reason", COPIES)
+    return judged.filter(F.col("disposition") == CLEAN).drop("disposition", "reason")
 
 
 def quarantine(judged: DataFrame) -> DataFrame:
-    return judged.filter(F.col("disposition") == QUARANTINED).drop("disposition", COPIES)
+    return judged.filter(F.col("disposition") == QUARANTINED).drop("disposition")
 
 
-def accounting(judged: DataFrame) -> DataFrame:
-    """(disposition, n_rows) for the four fates; they add up to the rows received."""
-    totals = judged.agg(
-        *[
-            F.count_if(F.col("disposition") == d).alias(d)
-            for d in (CLEAN, QUARANTINED, FUTURE)
-        ],
-        F.coalesce(F.sum(F.col(COPIES) - 1), F.lit(0)).alias(DUPLICATE),
+def _totals(received: DataFrame, judged: DataFrame) -> DataFrame:
+    """One row of counts; the rows received are counted without reading their columns."""
+    counts = judged.agg(
+        *[F.count_if(F.col("disposition") == d).alias(d) for d in (CLEAN, QUARANTINED, FUTURE)],
+        F.count(F.lit(1)).alias("_kept"),
     )
-    fates = [CLEAN, QUARANTINED, FUTURE, DUPLICATE]
-    return totals.unpivot([], fates, "disposition", "n_rows")
+    return counts.withColumn("received", received.agg(F.count(F.lit(1)).alias("n")).scalar())
+
 
+def accounting(received: DataFrame, judged: DataFrame) -> DataFrame:
+    """(disposition, n_rows) for the four fates; they add up to the rows received."""
+    totals = _totals(received, judged).withColumn(DUPLICATE, F.col("received") - F.col("_kept"))
+    return totals.unpivot([], [CLEAN, QUARANTINED, FUTURE, DUPLICATE], "disposition", "n_rows")
 
-def quarantine_share(judged: DataFrame) -> DataFrame:
+
+def quarantine_share(received: DataFrame, judged: DataFrame) -> DataFrame:
     """One row: rows received, rows quarantined, and their share."""
-    return judged.agg(
-        F.coalesce(F.sum(COPIES), F.lit(0)).alias("received"),
-        F.count_if(F.col("disposition") == QUARANTINED).alias("quarantined"),
-    ).withColumn(
-        "share",
-        F.when(F.col("received") > 0, F.col("quarantined") / F.col("received")).otherwise(0.0),
-    )
+    share = F.when(F.col("received") > 0, F.col(QUARANTINED) / F.col("received")).otherwise(0.0)
+    return _totals(received, judged).select("received", QUARANTINED, share.alias("share"))
 
 
-def assert_quarantine_within(judged: DataFrame, limit: float) -> float:
-    row = quarantine_share(judged).first()
+def assert_quarantine_within(received: DataFrame, judged: DataFrame, limit: float) -> float:
+    row = quarantine_share(received, judged).first()
     if row["share"] > limit:
         raise TooMuchQuarantinedError(
             f"{row['quarantined']} of {row['received']} rows quarantined, above {limit:.0%}"

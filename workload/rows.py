@@ -39,12 +39,10 @@ def check_digit_sql(key: str, weights) -> str:
     return f"CASE WHEN {s} % 11 < 2 THEN 0 ELSE 11 - {s} % 11 END"
 
 
-def with_full_key(frame, base):
-    """Add `key`: a 12-digit base and its two check digits, one projection each."""
-    first = keys.check_digit(F.col("_base"), keys.FIRST_DIGIT_WEIGHTS, 12).cast("string")
-    second = keys.check_digit(F.col("_base"), keys.SECOND_DIGIT_WEIGHTS, 13).cast("string")
-    based = frame.withColumn("_base", base).withColumn("_base", F.concat("_base", first))
-    return based.withColumn("key", F.concat("_base", second)).drop("_base")
+def with_full_key(frame, number):
+    """Add `key`: twelve digits of a number and the two digits that close them."""
+    closing = F.lpad(keys.closing_digits(number.cast("bigint")).cast("string"), 2, "0")
+    return frame.withColumn("key", F.concat(F.lpad(number.cast("string"), 12, "0"), closing))
 
 
 def full_key_sql(source: str, base: str) -> str:
@@ -266,7 +264,7 @@ def _(t: Tables):
     + " WHERE c_acctbal < 0 OR key = repeat('0', 14)",
 )
 def _(t: Tables):
-    keyed = with_full_key(t.customer, F.lpad(F.col("c_custkey").cast("string"), 12, "0"))
+    keyed = with_full_key(t.customer, F.col("c_custkey"))
     key = F.col("key")
     dotted = F.concat(F.substring(key, 1, 8), F.lit("/"), F.substring(key, 9, 4), F.lit("-"), F.substring(key, 13, 2))
     raw = F.when(F.col("c_acctbal") < 0, F.substring(key, 1, 9)).otherwise(dotted)
@@ -315,7 +313,7 @@ def _(t: Tables):
 
 def raw_report(t: Tables):
     """Orders as a dirty report: formatted, short and wrong keys, missing and bad values."""
-    keyed = with_full_key(t.orders, F.lpad((F.col("o_custkey") + 1).cast("string"), 12, "0"))
+    keyed = with_full_key(t.orders, F.col("o_custkey") + 1)
     key = F.col("key")
     status, priority, amount = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_totalprice")
     raw = (
@@ -354,7 +352,7 @@ def judged_report(t: Tables):
 
 @query(
     "scl8_triage", "SCL-7 SCL-8 DED-2 SNK-8",
-    with_clause(RAW_SQL) + f"SELECT key, ts, seq, copies, reason, disposition, {columns_r6('price', 'assets')} FROM fated",
+    with_clause(RAW_SQL) + f"SELECT key, ts, seq, reason, disposition, {columns_r6('price', 'assets')} FROM fated",
 )
 def _(t: Tables):
     return judged_report(t)
@@ -367,7 +365,7 @@ def _(t: Tables):
       UNION ALL SELECT 'deduplicated', CAST(sum(copies - 1) AS BIGINT) FROM fated""",
 )
 def _(t: Tables):
-    return tr.accounting(judged_report(t))
+    return tr.accounting(raw_report(t), judged_report(t))
 
 
 @query(
@@ -376,7 +374,7 @@ def _(t: Tables):
       {r6("count(*) FILTER (WHERE disposition = 'quarantined') / sum(copies)", 'share')} FROM fated""",
 )
 def _(t: Tables):
-    return tr.quarantine_share(judged_report(t))
+    return tr.quarantine_share(raw_report(t), judged_report(t))
 
 
 @query(

@@ -20,7 +20,7 @@ from peervane.operators.order_stats import (
     range_of,
     value_counts,
 )
-from peervane.params import Profile, Scoring, metrics_of, weights_table
+from peervane.params import Profile, Scoring, literal_table, metrics_of, weights_table
 
 # Fixed value: the label of the group that stands for the whole pool.
 WHOLE_POOL = "(universo inteiro)"
@@ -230,6 +230,30 @@ def weights_wide(weights: DataFrame, metrics: Sequence[str], value: str, by: Seq
     )
 
 
+STATISTICS = (
+    "profile", "metric", "ord", "weight", "jitter", "dispersion", "effective_weight", "inert", "low", "high"
+)
+
+
+def pool_statistics(
+    pool: DataFrame, profiles: Sequence[Profile], metrics: Sequence[str], scoring: Scoring,
+    edges: Edges | None = None,
+) -> DataFrame:
+    """Weights in force and clip bounds per (profile, metric), as a literal table.
+
+    One job reads the pool. Its rows number profiles x weighted metrics, which the
+    parameters bound, so they pass through the driver and become part of the plan.
+    """
+    spark = pool.sparkSession
+    counts = metric_counts(pool, metrics, edges=edges)
+    keys = ["profile", "metric"]
+    weights = effective_weights(
+        weights_table(spark, profiles), dispersion(counts, keys), scoring.min_dispersion
+    )
+    found = weights.join(clip_bounds(counts, scoring.lower, scoring.upper), keys, "left")
+    return literal_table(spark, STATISTICS, sorted(found.select(*STATISTICS).collect()))
+
+
 def score_profiles(
     pool: DataFrame, profiles: Sequence[Profile], directions: Mapping[str, str],
     scoring: Scoring = Scoring(), group: str = "grp", edges: Edges | None = None,
@@ -240,16 +264,12 @@ def score_profiles(
     effective weights. `pool` should be a stored table: it is read for the
     counts and again for the scores.
     """
-    spark = pool.sparkSession
     metrics = [m for m in metrics_of(profiles) if m in pool.columns]
-    counts = metric_counts(pool, metrics, edges=edges)
-    weights = effective_weights(
-        weights_table(spark, profiles), dispersion(counts, ["profile", "metric"]), scoring.min_dispersion
-    )
-    bounds = clip_bounds(counts, scoring.lower, scoring.upper)
+    weights = pool_statistics(pool, profiles, metrics, scoring, edges)
     grouped = with_peer_groups(pool, group, scoring.min_group)
     sizes = ["peer_group", "peer_size", "pool_size"]
-    rows = clipped_rows(metric_rows(grouped, metrics, ["profile", "entity", *sizes]), bounds)
+    rows = metric_rows(grouped, metrics, ["profile", "entity", *sizes])
+    rows = clipped_rows(rows, weights.select("profile", "metric", "low", "high"))
     ranked = percentile_rows(rows, metrics, directions, edges=edges)
     percentiles = widened(
         ranked, ["profile", "entity", *sizes], metrics, {"pct": "_pct", "pool_pct": "_pool_pct"}
@@ -258,4 +278,5 @@ def score_profiles(
     scored = percentiles.join(wide, "profile").withColumns(
         {"score": weighted_score(metrics), "pool_score": weighted_score(metrics, "_pool_pct")}
     )
-    return pool.join(scored.drop(*[f"w_{m}" for m in metrics]), ["profile", "entity"]), weights
+    scored = pool.join(scored.drop(*[f"w_{m}" for m in metrics]), ["profile", "entity"])
+    return scored, weights.drop("low", "high")

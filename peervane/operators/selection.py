@@ -159,10 +159,14 @@ def gated_selection(
     """
     groups = list(groups)
     kept = scored.filter(~F.col("vetoed"))
-    listed = first_distinct(kept, groups, order, edges, max(size, top_n), prefix)
-    listed = listed.withColumn("delivered", F.col("pick") <= top_n)
+    walks = kept.select(*groups, "entity", order, F.lit(True).alias("gated")).unionByName(
+        scored.select(*groups, "entity", order, F.lit(False).alias("gated"))
+    )
+    walked = first_distinct(walks, ["gated", *groups], order, edges, max(size, top_n), prefix)
+    delivered = F.col("pick") <= top_n
+    listed = walked.filter("gated").drop("gated").withColumn("delivered", delivered)
     over = displaced(kept, groups, order, edges, listed, top_n)
-    ungated = first_distinct(scored, groups, order, edges, top_n, prefix)
+    ungated = walked.filter(~F.col("gated") & delivered)
     struck = ungated.select(*groups, "entity").join(
         scored.filter("vetoed"), [*groups, "entity"]
     ).withColumn("exclusion_reason", exclusion_reason())

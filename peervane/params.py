@@ -7,13 +7,25 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+
+def _sql_literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    if isinstance(value, float):
+        return f"CAST('{value!r}' AS DOUBLE)"
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    return str(int(value))
 
 
 def literal_table(spark: SparkSession, names: Sequence[str], rows: Iterable[Sequence]) -> DataFrame:
-    """A table of parameters built from literals: no Python worker reads it."""
-    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    """A table of parameters as SQL values: it is part of the plan and needs no job."""
+    values = ", ".join("(" + ", ".join(map(_sql_literal, row)) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
 
 
 @dataclass(frozen=True)

@@ -156,7 +156,7 @@ def rank(inputs: Inputs, settings: Settings, reference: dt.date) -> Ranking:
     pools = materialise(profile_pools(funds, settings.profiles), "pools")
     edges = range_edges(pools, [m for m in metrics if m in pools.columns])
     scored, weights = score_profiles(pools, settings.profiles, settings.directions, settings.scoring, edges=edges)
-    scored, weights = materialise(scored, "scored"), materialise(weights, "weights")
+    scored = materialise(scored, "scored")
 
     members = pools.select("entity", "manager").distinct()
     returns = pool_returns(series, members)

@@ -197,9 +197,8 @@ SETTINGS = Settings(
 
 def inputs(t: Tables) -> Inputs:
     return Inputs(
-        panel=materialise(t.panel, "panel"), registry=materialise(t.registry, "registry"),
-        primary_terms=materialise(t.filings("F"), "primary"), fallback_terms=materialise(t.filings("O"), "fallback"),
-        rates=materialise(t.rates, "rates"), holdings=materialise(t.holdings, "holdings"),
+        panel=materialise(t.panel, "panel"), registry=t.registry, primary_terms=t.filings("F"),
+        fallback_terms=t.filings("O"), rates=materialise(t.rates, "rates"), holdings=t.holdings,
     )
 
 

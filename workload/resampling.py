@@ -157,7 +157,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     scored, weights = scored_pools(t)
-    scored, weights = materialise(scored, "scored"), materialise(weights, "weights")
+    scored = materialise(scored, "scored")
     edges = materialise(tw.both_directions(twins(t)), "edges")
     drawn = materialise(draws(t), "draws")
     return rs.stability(scored, drawn, weights, metrics_of(PROFILES), DIRECTIONS, edges, SETTINGS)

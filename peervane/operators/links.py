@@ -23,7 +23,7 @@ def heaviest_edge(
     )
     return (
         best.filter("_total > 0")
-        .select(src, F.col(f"_best.{dst}").alias(dst), (F.col("_best._v") / F.col("_total")).alias("share"))
+        .select(src, F.col(f"_best.{dst}").alias(dst), F.try_divide("_best._v", "_total").alias("share"))
         .filter(F.col("share") >= min_share)
     )
 
@@ -50,7 +50,8 @@ def measured_fees(
         F.min_by(ends, ts).alias("_first"),
         F.max_by(ends, ts).alias("_last"),
     )
-    retained = (F.col("_last.own") / F.col("_first.own")) / (F.col("_last.master") / F.col("_first.master"))
+    own_growth, master_growth = (F.try_divide(f"_last.{s}", f"_first.{s}") for s in ("own", "master"))
+    retained = F.try_divide(own_growth, master_growth)
     years = (F.col("measured_days") - 1) / F.lit(float(periods))
     return (
         grown.filter((F.col("measured_days") >= min_overlap) & (F.col("measured_days") > 1))

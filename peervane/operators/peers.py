@@ -126,7 +126,7 @@ def effective_weights(weights: DataFrame, spread: DataFrame, min_dispersion: flo
     )
     unchanged = (F.col("_dead") == 0) | F.col("_live_total").isNull()
     rounded = F.when(unchanged, F.col("weight")).when(
-        F.col("_live"), F.bround(F.col("weight") * 100 / F.col("_live_total"), 0).cast("int")
+        F.col("_live"), F.bround(F.try_divide(F.col("weight") * 100, F.col("_live_total")), 0).cast("int")
     ).otherwise(F.lit(0))
     judged = judged.withColumn("_rounded", rounded)
     heaviest = F.row_number().over(w.orderBy(F.desc("_rounded"), "ord")) == 1

@@ -49,7 +49,7 @@ def with_returns(panel: DataFrame, cols: PanelColumns = PANEL, name: str = "ret"
     """Simple return over consecutive observations; null on the first."""
     require_dates(panel, cols.ts)
     before = F.lag(cols.price).over(_ordered(cols))
-    return panel.withColumn(name, F.col(cols.price) / before - 1)
+    return panel.withColumn(name, F.try_divide(F.col(cols.price), before) - 1)
 
 
 def with_running_peak(panel: DataFrame, cols: PanelColumns = PANEL, name: str = "peak") -> DataFrame:
@@ -69,7 +69,7 @@ def with_adjacent_returns(
     w = W.partitionBy(cols.entity).orderBy("day_index")
     adjacent = F.lag("day_index").over(w) == F.col("day_index") - 1
     before = F.lag(cols.price).over(w)
-    return indexed.withColumn(name, F.when(adjacent, F.col(cols.price) / before - 1))
+    return indexed.withColumn(name, F.when(adjacent, F.try_divide(F.col(cols.price), before) - 1))
 
 
 def calendar_of(panel: DataFrame, ts: str = "ts") -> DataFrame:
@@ -86,7 +86,7 @@ def flag_implausible_moves(
     panel: DataFrame, threshold: float = 0.20, cols: PanelColumns = PANEL
 ) -> DataFrame:
     """Mark large moves; the rows stay, since an amortisation looks the same."""
-    moved = F.abs(F.col(cols.price) / F.lag(cols.price).over(_ordered(cols)) - 1)
+    moved = F.abs(F.try_divide(F.col(cols.price), F.lag(cols.price).over(_ordered(cols))) - 1)
     return panel.withColumn("implausible_move", F.coalesce(moved > threshold, F.lit(False)))
 
 
@@ -109,7 +109,7 @@ def compounded(rate: Column) -> Column:
 
 
 def endpoint_return(price: Column, ts: Column) -> Column:
-    return F.max_by(price, ts) / F.min_by(price, ts) - 1
+    return F.try_divide(F.max_by(price, ts), F.min_by(price, ts)) - 1
 
 
 def annualised_volatility(ret: Column, periods: int = PERIODS_PER_YEAR) -> Column:
@@ -117,7 +117,7 @@ def annualised_volatility(ret: Column, periods: int = PERIODS_PER_YEAR) -> Colum
 
 
 def worst_drawdown(price: Column, peak: Column) -> Column:
-    return F.min(price / peak - 1)
+    return F.min(F.try_divide(price, peak) - 1)
 
 
 def negative_share(ret: Column) -> Column:
@@ -177,7 +177,7 @@ def metric_panel(
     price, ts = F.col(cols.price), F.col(cols.ts)
     prepared = panel.withColumns(
         {
-            "_ret": price / F.lag(price).over(w) - 1,
+            "_ret": F.try_divide(price, F.lag(price).over(w)) - 1,
             "_peak": F.max(price).over(so_far),
         }
     )

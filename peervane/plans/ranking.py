@@ -177,7 +177,7 @@ def rank(inputs: Inputs, settings: Settings, reference: dt.date) -> Ranking:
     gated = gated.withColumn(
         "ord_key",
         F.struct(
-            (-F.col("appearance_rate")).alias("a"), (-F.col("score")).alias("s"), F.col("entity").alias("e")
+            (-F.col("appearance_rate")).alias("a"), (-F.round("score", 9)).alias("s"), F.col("entity").alias("e")
         ),
     )
     gated = materialise(gated, "gated")

@@ -8,14 +8,16 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from peervane.operators import backtest as bt
-from peervane.params import Backtest, Resampling, Scoring, Selection
+from peervane.params import Backtest, Resampling, Scoring, Selection, metrics_of
 from peervane.plans.ranking import Inputs, Settings, rank
 from peervane.plans.replay import replay
 from peervane.session import materialise
 from peervane.sources.documents import comparison_list, ranking_document
 from workload.base import (
-    DAILY_SQL,
-    LIQUIDITY,
+    BENCHMARK_SQL,
+    FUND_CTES,
+    HOLDINGS_SQL,
+    METRICS_SQL,
     MONTHS,
     PANEL_SQL,
     PERIODS,
@@ -23,15 +25,20 @@ from workload.base import (
     RATES_SQL,
     REFERENCE,
     REGISTRY_SQL,
+    SERIES_SQL,
     TERMS_SQL,
     Tables,
     columns_r6,
+    filings_sql,
     hashed_sql,
+    pools_sql,
     query,
     r6,
     with_clause,
 )
-from workload.joins import FILTERS
+from workload.joins import FILTERS, LINKS_SQL, MEASURED_SQL
+from workload.peer_scores import SCORE_CTES, TWIN_CTES, walk_sql
+from workload.resampling import DRAW_CTES, STABILITY_CTES
 
 RULES = Backtest(
     cut_dates=(dt.date(1998, 12, 31), dt.date(1999, 6, 30), dt.date(1999, 12, 31)), end_date=REFERENCE, portfolios=200
@@ -202,19 +209,64 @@ def inputs(t: Tables) -> Inputs:
     )
 
 
-@query("sco12_ranked_profiles", "SCO-12 SCO-9 ORD-2 WIN-9 SNK-5")
+def in_force_sql(name: str, source: str) -> str:
+    return f"""{name} AS (SELECT entity, fee, redemption_days, minimum_investment FROM {source} WHERE ts <= DATE '{REFERENCE}'
+      QUALIFY row_number() OVER (PARTITION BY entity ORDER BY ts DESC) = 1)"""
+
+
+RANKED_FUNDS_SQL = f"""both_terms AS (SELECT * FROM pf WHERE fee IS NOT NULL AND redemption_days IS NOT NULL UNION ALL
+    SELECT * FROM ff WHERE fee IS NOT NULL AND redemption_days IS NOT NULL AND entity NOT IN (SELECT entity FROM pf WHERE fee IS NOT NULL AND redemption_days IS NOT NULL)),
+settled AS (SELECT b.entity, b.fee AS declared_fee, f.measured_fee, b.redemption_days, b.minimum_investment,
+    CASE WHEN r.holds_funds = 'S' AND f.measured_fee IS NULL THEN NULL ELSE greatest(b.fee, f.measured_fee) END AS fee
+  FROM both_terms b JOIN registry r USING (entity) LEFT JOIN fees f ON f.src = b.entity),
+summary AS (SELECT entity, count(*) AS observations, arg_max(assets, ts) AS assets, arg_max(holders, ts) AS holders FROM series0 GROUP BY 1),
+universe AS (SELECT r.*, t.* EXCLUDE (entity, fee), CASE WHEN t.fee <> 0 THEN t.fee END AS fee FROM registry r JOIN summary s USING (entity) JOIN settled t USING (entity)
+  WHERE regexp_matches(classification, 'Renda Fixa') AND status = 'Em Funcionamento Normal' AND condominium = 'Aberto' AND exclusive <> 'S'
+    AND NOT regexp_matches(upper(name), '#0+7$|ZERAGEM') AND observations >= 24 AND assets >= 100000 AND s.holders >= 1 AND fee IS NOT NULL),
+series AS (SELECT * FROM series0 WHERE entity IN (SELECT entity FROM universe))"""
+FUNDS_OF_UNIVERSE_SQL = """funds AS (SELECT u.*, CASE WHEN long_term = 'S' THEN 0.5::DOUBLE ELSE 0.0 END AS tax_efficiency, ln(1 + average_assets) AS size,
+  m.* EXCLUDE (entity, b) FROM universe u JOIN metrics m USING (entity))"""
+MEMBERS_SQL = """members AS (SELECT DISTINCT entity, manager FROM pools),
+pool_series AS (SELECT * FROM series WHERE entity IN (SELECT entity FROM members))"""
+RANK_CTES = (
+    PANEL_SQL, RATES_SQL, REGISTRY_SQL, HOLDINGS_SQL, filings_sql("f", "F"), filings_sql("o", "O"), in_force_sql("pf", "f"), in_force_sql("ff", "o"),
+    SERIES_SQL.replace("series AS", "series0 AS"), LINKS_SQL, MEASURED_SQL.replace("JOIN panel", "JOIN series0"), RANKED_FUNDS_SQL, BENCHMARK_SQL, METRICS_SQL,
+    FUNDS_OF_UNIVERSE_SQL, pools_sql(), *SCORE_CTES[len(FUND_CTES) + 1 :], MEMBERS_SQL,
+    *[c.replace("FROM series", "FROM pool_series").replace("JOIN registry r", "JOIN members r") for c in (*TWIN_CTES, *DRAW_CTES)],
+    *STABILITY_CTES[len(SCORE_CTES) + len(DRAW_CTES) + len(TWIN_CTES) :],
+    """ordered AS (SELECT s.*, a.rate AS appearance_rate, m.rate AS moving_rate, p.fee, coalesce(CASE WHEN p.declared_fee > 0.0005 THEN p.declared_fee ELSE coalesce(p.measured_fee, p.declared_fee) END > 0.02, false) AS cost_gated,
+      coalesce(x.pct < 0.2, false) AS below_floor FROM scores s JOIN r_all a USING (profile, entity) JOIN r_moving m USING (profile, entity) JOIN pools p USING (profile, entity)
+      JOIN (SELECT profile, entity, pct FROM ranks WHERE metric = 'excess_return') x USING (profile, entity))""",
+    "survivors AS (SELECT * FROM ordered WHERE NOT cost_gated AND NOT below_floor)",
+    walk_sql("final_list", "survivors", 10, "profile", "appearance_rate DESC, score DESC, entity"),
+)
+
+
+@query(
+    "sco12_ranked_profiles", "SCO-12 SCO-9 ORD-2 WIN-9 SNK-5",
+    with_clause(*RANK_CTES) + f"""SELECT profile, pick AS rank, entity, pick <= 5 AS delivered, {columns_r6('score', 'pool_score', 'appearance_rate')}
+      FROM final_list JOIN survivors USING (profile, entity)""",
+)
 def _(t: Tables):
     return comparison_list(rank(inputs(t), SETTINGS, REFERENCE).listed)
 
 
-@query("snk4_ranking_document", "SNK-4")
+@query(
+    "snk4_ranking_document", "SNK-4",
+    with_clause(*RANK_CTES) + f"""SELECT profile, pick AS rank, entity, {columns_r6('score', 'moving_rate', 'fee')}, (SELECT count(*) FROM pools p WHERE p.profile = l.profile) AS eligible_universe_size
+      FROM final_list l JOIN survivors USING (profile, entity) WHERE pick <= 5""",
+)
 def _(t: Tables):
+    """The published document of each profile, opened up again into rows."""
     r = rank(inputs(t), SETTINGS, REFERENCE)
-    from peervane.params import metrics_of
-
-    return ranking_document(
+    document = ranking_document(
         r.listed, r.displaced, r.struck, r.weights, r.shares, r.scored, metrics_of(PROFILES), REFERENCE, MONTHS, r.start, 5
-    ).select("profile", "eligible_universe_size", "top", "displaced", "effective_weights")
+    )
+    entry = document.select("profile", "eligible_universe_size", F.explode("top").alias("e"))
+    return entry.select(
+        "profile", "eligible_universe_size", "e.rank", "e.entity", "e.score",
+        F.col("e.appearance_rate_variable_only").alias("moving_rate"), F.col("e.metrics.fee").alias("fee"),
+    )
 
 
 @query("bt6_replayed_rankings", "BT-6 BT-5")

@@ -24,7 +24,7 @@ HEADLINE = (
     "ord4_top_five_per_profile",
     "sco7_twin_pairs",
     "sco9_gated_selection",
-    "res3_resampled_metrics",
+    "res3_thousand_draws",
     "res5_rank_stability",
     "bt3_random_portfolios",
     "bt5_evaluated_selections",

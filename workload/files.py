@@ -70,20 +70,23 @@ def _(t: Tables):
 def _(t: Tables):
     path = scratch_path(t.spark, "months")
     monthly = t.panel.withColumn("month", F.date_format("ts", "yyyyMM"))
-    monthly.repartition("month").write.partitionBy("month").parquet(path)
+    spread = F.pmod(F.xxhash64("entity"), F.lit(8))
+    monthly.repartition("month", spread).write.partitionBy("month").parquet(path)
     return read_months(t.spark, path, START, REFERENCE).select("entity", "ts", "price", "assets")
 
 
 @query(
     "snk2_fingerprints", "SNK-2",
-    """SELECT lang, sha256(string_agg(doc_id || ':' || n_chars || chr(10), '' ORDER BY doc_id)) AS sha256, sum(length(doc_id || ':' || n_chars) + 1)::BIGINT AS size_bytes
+    """SELECT doc_id // 100 AS part, sha256(string_agg(doc_id || ':' || n_chars || chr(10), '' ORDER BY doc_id)) AS sha256, sum(length(doc_id || ':' || n_chars) + 1)::BIGINT AS size_bytes
       FROM documents GROUP BY 1""",
 )
 def _(t: Tables):
-    """An index file per language, hashed by the task that reads it."""
+    """An index file for every hundred documents, hashed by the task that reads it."""
     path = scratch_path(t.spark, "index")
-    lines = t.documents.select("lang", "doc_id", F.concat_ws(":", "doc_id", "n_chars").alias("value"))
-    ordered = lines.repartition("lang").sortWithinPartitions("lang", "doc_id")
-    ordered.select("lang", "value").write.partitionBy("lang").text(path)
-    language = F.regexp_extract("path", "lang=([^/]*)", 1)
-    return fingerprints(t.spark, f"{path}/lang=*").select(language.alias("lang"), "sha256", "size_bytes")
+    lines = t.documents.select(
+        F.floor(F.col("doc_id") / 100).alias("part"), "doc_id", F.concat_ws(":", "doc_id", "n_chars").alias("value")
+    )
+    ordered = lines.repartition("part").sortWithinPartitions("part", "doc_id")
+    ordered.select("part", "value").write.partitionBy("part").text(path)
+    part = F.regexp_extract("path", "part=([0-9]+)", 1).cast("bigint")
+    return fingerprints(t.spark, f"{path}/part=*").select(part.alias("part"), "sha256", "size_bytes")

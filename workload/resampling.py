@@ -91,6 +91,25 @@ def _(t: Tables):
     return draws(t)
 
 
+MANY = Resampling(draws=1000, block=6, seed=20250101, periods=PERIODS)
+MANY_SQL = PATH_SQL.replace(f"range({SETTINGS.draws})", f"range({MANY.draws})")
+
+
+@query(
+    "res3_thousand_draws", "RES-3",
+    with_clause(PANEL_SQL, SERIES_SQL, RATES_SQL, HISTORY_SQL, MANY_SQL)
+    + f"""SELECT entity, count(*) AS draws, {r6('avg(excess_return)', 'mean_excess')}, {r6('avg(volatility)', 'mean_volatility')},
+      {r6('min(max_drawdown)', 'worst_drawdown')}, {r6('avg(return_per_risk)', 'mean_ratio')} FROM draws GROUP BY 1""",
+)
+def _(t: Tables):
+    """The delivered number of draws, summed up per supplier."""
+    drawn = rs.resample_metrics(histories(t), MANY)
+    return drawn.groupBy("entity").agg(
+        F.count(F.lit(1)).alias("draws"), F.avg("excess_return").alias("mean_excess"), F.avg("volatility").alias("mean_volatility"),
+        F.min("max_drawdown").alias("worst_drawdown"), F.avg("return_per_risk").alias("mean_ratio"),
+    )
+
+
 def jittered_sql(name: str, source: str, value: str, where: str = "true") -> str:
     return f"""{name} AS (WITH spread AS (SELECT *, unnest(range({SETTINGS.draws})) AS draw, {code_sql('profile')} AS code FROM {source} WHERE {where}),
     moved AS (SELECT *, greatest(0, {value} + (u * 2 - 1) * jitter) AS m FROM {hashed_sql('spread', SETTINGS.seed, 'draw', 'code', 'ord')}),

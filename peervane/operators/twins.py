@@ -4,13 +4,15 @@ Two entities are twins when one manager runs both and the annualised standard
 deviation of the difference of their returns, over the days both have, is at
 most a threshold.
 
-All pairs of a manager are never formed. Entities present on every day get a
-coordinate: their returns weighted by the centred market return. By
-Cauchy-Schwarz two twins cannot lie further apart on it than a radius known in
-advance, so a grid of that width puts each twin in the same or the next cell.
-Cells are split into tiles of bounded size, and a task compares one pair of
-tiles with matrix products. Entities with gaps have no coordinate and are
-compared with every tile of their manager, so nothing is missed.
+All pairs of a manager are never formed. An entity present on every day of a
+stretch of the calendar gets a coordinate there: its returns weighted by the
+centred market return. By Cauchy-Schwarz two twins cannot lie further apart on it
+than a radius known in advance, so a grid of that width puts each twin in the same
+or the next cell. The stretches are the whole calendar, for entities without gaps,
+and a few parts of it, for the others; a pair is judged in the first stretch both
+fill, and only pairs that fill no stretch together are compared without a grid.
+Cells are split into tiles of bounded size, and a task compares one pair of tiles
+with matrix products. Nothing within the threshold is missed.
 """
 
 from __future__ import annotations
@@ -28,8 +30,10 @@ from peervane.operators.series import (
 from peervane.session import materialise, wide_parallelism
 
 TILE = 128
-TILE_PAIR = ("manager", "cell_a", "tile_a", "cell_b", "tile_b")
-GAPS = -(2**62)
+PARTS = 4
+WHOLE, APART = 0, -1  # stretches: the whole calendar, and none in common
+TILE_KEY = ("cell", "gaps", "tile")
+TILE_PAIR = ("manager", "stretch", *[f"{k}_{side}" for side in "ab" for k in TILE_KEY])
 
 
 def pool_returns(panel: DataFrame, members: DataFrame, cols: PanelColumns = PANEL) -> DataFrame:
@@ -70,8 +74,8 @@ def _vectors(returns: DataFrame) -> DataFrame:
     )
 
 
-def _market(vectors: DataFrame) -> list[float]:
-    """The centred mean return of each day of the calendar, in order.
+def _market(vectors: DataFrame) -> list[tuple[int, float]]:
+    """(day, mean return) of each day of the calendar, in order.
 
     A few hundred numbers a year reach the driver; as literals they put an entity
     into the same cell in every branch of the plan and after every retry.
@@ -79,40 +83,80 @@ def _market(vectors: DataFrame) -> list[float]:
     daily = vectors.select(F.explode(F.arrays_zip("days", "rets")).alias("_x")).groupBy("_x.days").agg(
         F.avg("_x.rets").alias("mean")
     )
-    means = [row["mean"] for row in daily.orderBy("days").collect()]
-    middle = sum(means) / len(means) if means else 0.0
-    return [m - middle for m in means]
+    return sorted((row["days"], row["mean"]) for row in daily.collect())
+
+
+def _stretches(market: list[tuple[int, float]]) -> list[tuple[int, list[tuple[int, float]]]]:
+    """(number, days) of the whole calendar and of its parts, which need two days each."""
+    parts = min(PARTS, len(market) // 2)
+    edges = [len(market) * k // parts for k in range(parts + 1)] if parts else []
+    found = [(k + 1, market[edges[k] : edges[k + 1]]) for k in range(parts)]
+    return [(WHOLE, market), *found] if market else []
 
 
 def _with_cells(vectors: DataFrame, threshold: float, periods: int) -> DataFrame:
-    """Add the grid cell: of the market coordinate, or the cell of those with gaps."""
-    weights = _market(vectors)
-    days = len(weights)
-    norm = sum(w * w for w in weights) ** 0.5
-    radius = norm * days**0.5 * threshold / periods**0.5 * (1 + 1e-9) + 1e-12
-    literal = F.array(*[F.lit(w) for w in weights]).cast("array<double>")
-    products = F.zip_with("rets", literal, lambda r, w: r * w)
-    z = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
-    cell = F.when(F.size("rets") == days, F.floor(z / F.lit(radius))).otherwise(F.lit(GAPS))
-    return vectors.withColumn("cell", cell.cast("bigint"))
+    """A row per entity and stretch it fills: (.., stretch, cell, gaps, filled).
+
+    `filled` has a bit for each part an entity fills. One more row per entity, of
+    stretch APART, has these bits as its cell, for pairs that fill no part together.
+    """
+    market = _market(vectors)
+    sigma = threshold / periods**0.5
+    cells, filled = [], F.lit(0)
+    for number, days in _stretches(market):
+        middle = sum(m for _, m in days) / len(days)
+        weights = [m - middle for _, m in days]
+        radius = sum(w * w for w in weights) ** 0.5 * len(market) ** 0.5 * sigma * (1 + 1e-9) + 1e-12
+        first, last = days[0][0], days[-1][0]
+        inside = F.filter(F.arrays_zip("days", "rets"), lambda x: x["days"].between(first, last))
+        literal = F.expr(f"array({', '.join(f'{w!r}D' for w in weights)})")
+        z = F.aggregate(
+            F.zip_with(inside, literal, lambda x, w: x["rets"] * w), F.lit(0.0), lambda total, x: total + x
+        )
+        fills = F.size(inside) == len(days)
+        cell = F.when(fills, F.floor(z / F.lit(radius)).cast("bigint"))
+        cells.append(F.struct(F.lit(number).alias("stretch"), cell.alias("cell")))
+        if number != WHOLE:
+            filled = filled + F.when(fills, 1 << (number - 1)).otherwise(0)
+    none = F.array().cast("array<struct<stretch:int,cell:bigint>>")
+    known = F.filter(F.array(*cells), lambda c: c["cell"].isNotNull()) if cells else none
+    placed = vectors.withColumns({"filled": filled, "_places": known})
+    gaps = ~F.exists("_places", lambda c: c["stretch"] == WHOLE)
+    apart = F.array(F.struct(F.lit(APART).alias("stretch"), F.col("filled").cast("bigint").alias("cell")))
+    return placed.withColumn("gaps", gaps).select(
+        "manager", "entity", "days", "rets", "filled", "gaps", F.inline(F.concat("_places", apart))
+    )
 
 
 def _tile_pairs(cells: DataFrame) -> DataFrame:
-    """Pairs of tiles to compare, from (manager, cell, tiles)."""
-    other = cells.select("manager", F.col("cell").alias("cell_b"), F.col("tiles").alias("_tiles_b"))
-    gridded = cells.filter(F.col("cell") != GAPS)
-    near = gridded.select(
-        "manager", F.col("cell").alias("cell_a"), F.col("tiles").alias("_tiles_a"),
-        F.explode(F.array(F.col("cell"), F.col("cell") + 1)).alias("cell_b"),
-    ).join(other, ["manager", "cell_b"])
-    gaps = cells.filter(F.col("cell") == GAPS).select(
-        "manager", F.col("cell").alias("cell_a"), F.col("tiles").alias("_tiles_a")
-    ).join(other, "manager")
-    pairs = near.unionByName(gaps)
+    """Pairs of tiles to compare, from (manager, stretch, cell, gaps, tiles).
+
+    In the whole calendar neighbouring cells meet. In a part, cells of entities with
+    gaps meet each other and the neighbouring cells of the rest. Apart, cells meet
+    whose bits have nothing in common, of at most 2^PARTS cells per manager.
+    """
+    other = cells.select(
+        "manager", "stretch", F.col("cell").alias("cell_b"), F.col("gaps").alias("gaps_b"), F.col("tiles").alias("_tiles_b")
+    )
+    mine = cells.select(
+        "manager", "stretch", F.col("cell").alias("cell_a"), F.col("gaps").alias("gaps_a"), F.col("tiles").alias("_tiles_a")
+    )
+    steps = F.when(F.col("stretch") == WHOLE, F.array(F.lit(0), F.lit(1))).otherwise(
+        F.array(F.lit(-1), F.lit(0), F.lit(1))
+    )
+    looking = mine.filter((F.col("stretch") == WHOLE) | ((F.col("stretch") > WHOLE) & F.col("gaps_a")))
+    near = looking.withColumn("cell_b", F.explode(F.transform(steps, lambda k: F.col("cell_a") + k))).join(
+        other, ["manager", "stretch", "cell_b"]
+    ).filter((F.col("stretch") == WHOLE) | ~F.col("gaps_b") | (F.col("cell_b") >= F.col("cell_a")))
+    apart = mine.filter(F.col("stretch") == APART).join(
+        other.filter(F.col("stretch") == APART), ["manager", "stretch"]
+    ).filter((F.col("cell_a").bitwiseAND(F.col("cell_b")) == 0) & (F.col("cell_a") <= F.col("cell_b")))
+    pairs = near.unionByName(apart)
     spread = pairs.withColumn("tile_a", F.explode(F.sequence(F.lit(0), F.col("_tiles_a") - 1))).withColumn(
         "tile_b", F.explode(F.sequence(F.lit(0), F.col("_tiles_b") - 1))
     )
-    return spread.filter("cell_a <> cell_b OR tile_a <= tile_b").select(*TILE_PAIR)
+    same = (F.col("cell_a") == F.col("cell_b")) & (F.col("gaps_a") == F.col("gaps_b"))
+    return spread.filter(~same | (F.col("tile_a") <= F.col("tile_b"))).select(*TILE_PAIR)
 
 
 def twin_pairs(
@@ -121,19 +165,23 @@ def twin_pairs(
 ) -> DataFrame:
     """(a, b, distance, overlap) with a < b for every pair within the threshold."""
     vectors = _with_cells(materialise(_vectors(returns), "vectors"), threshold, periods)
-    cells = vectors.groupBy("manager", "cell").agg(
+    where = ["manager", "stretch", "cell", "gaps"]
+    cells = vectors.groupBy(*where).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(float(tile))).cast("int").alias("tiles")
     )
-    tiled = vectors.join(cells, ["manager", "cell"]).withColumn(
+    tiled = vectors.join(cells, where).withColumn(
         "tile", F.pmod(F.xxhash64("entity"), F.col("tiles")).cast("int")
     ).drop("tiles")
     pairs = _tile_pairs(cells)
 
     def side(name: str) -> DataFrame:
-        members = tiled.withColumnsRenamed({"cell": f"cell_{name}", "tile": f"tile_{name}"})
-        keyed = pairs if name == "a" else pairs.filter("cell_a <> cell_b OR tile_a <> tile_b")
-        return keyed.join(members, ["manager", f"cell_{name}", f"tile_{name}"]).select(
-            *TILE_PAIR, "entity", "days", "rets", F.lit(name).alias("side")
+        members = tiled.withColumnsRenamed({k: f"{k}_{name}" for k in TILE_KEY})
+        twice = F.lit(True)
+        for k in TILE_KEY:
+            twice = twice & (F.col(f"{k}_a") == F.col(f"{k}_b"))
+        keyed = pairs if name == "a" else pairs.filter(~twice)
+        return keyed.join(members, ["manager", "stretch", *[f"{k}_{name}" for k in TILE_KEY]]).select(
+            *TILE_PAIR, "entity", "days", "rets", "filled", F.lit(name).alias("side")
         )
 
     entity_type = vectors.schema["entity"].dataType.simpleString()
@@ -162,6 +210,11 @@ def twin_pairs(
             mean = (va @ mb.T - ma @ vb.T) / shared
         near = np.sqrt(np.maximum(square - mean**2, 0.0) * periods) <= threshold * (1 + 1e-6) + 1e-6
         near &= shared >= max(min_overlap, 1)
+        stretch = int(group["stretch"].iloc[0])
+        if stretch != WHOLE:
+            filled = group["filled"].to_numpy(dtype=np.int64)
+            common = filled[first][:, None] & filled[second][None, :]
+            near &= (common & -common) == (0 if stretch == APART else 1 << (stretch - 1))
         if within:
             near &= np.triu(np.ones_like(near), k=1)
         found = []

@@ -188,11 +188,30 @@ def test_twins_prune_tiles(spark):
     rows = [("m", e, d, 0.01 * ((-1) ** d) * (1 + e)) for e in range(300) for d in range(70)]
     returns = spark.createDataFrame(rows, "manager string, entity int, day_index int, ret double")
     vectors = tw._with_cells(tw._vectors(returns), 0.001, 252)
-    cells = vectors.groupBy("manager", "cell").agg(F.lit(1).alias("tiles"))
-    assert cells.count() == 300
+    cells = vectors.groupBy("manager", "stretch", "cell", "gaps").agg(F.lit(1).alias("tiles"))
+    assert cells.filter("stretch = 0").count() == 300
     assert tw._tile_pairs(cells).count() <= 600
 
 
+def test_twins_with_gaps_are_gridded_too(spark):
+    rng = random.Random(5)
+    late, rows = set(range(0, 60, 3)), []
+    for e in range(60):
+        own = random.Random(e // 2)
+        for d in range(120):
+            r = 0.01 * ((-1) ** d) * (1 + e // 2) + own.gauss(0, 0.001) + rng.gauss(0, 0.00002)
+            absent = (e in late and d < 20) or (e % 10 == 4 and d % 29 == 3) or (e % 10 == 5 and d > 70)
+            if not absent:
+                rows.append(("m", e, d, r))
+    returns = spark.createDataFrame(rows, "manager string, entity int, day_index int, ret double")
+    want = {(r["a"], r["b"]) for r in tw.pair_distances(returns).filter("distance <= 0.002 AND overlap >= 30").collect()}
+    found = [(r["a"], r["b"]) for r in tw.twin_pairs(returns, 0.002, 30, 252, 4).collect()]
+    assert len(found) == len(set(found)) and set(found) == want and len(want) == 30
+    cells = tw._with_cells(tw._vectors(returns), 0.002, 252)
+    tiles = cells.groupBy("manager", "stretch", "cell", "gaps").agg(F.lit(1).alias("tiles"))
+    assert tw._tile_pairs(tiles).filter("stretch > 0").count() < 400
+
+
 def test_manager_share(spark):
     rows = [("p", m) for m in "aaaabbbccddefg"] + [("p", None)]
     got = se.manager_share(spark.createDataFrame(rows, "profile string, manager string")).collect()

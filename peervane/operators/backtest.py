@@ -20,6 +20,7 @@ from peervane.params import Backtest
 GROUP = ("cut_date", "profile")
 MEMBER_RANGES = 256
 MIN_PRICED = 8
+COMPARED_DIGITS = 12
 
 
 def by_cut(frame: DataFrame, cuts: Sequence, rule) -> DataFrame:
@@ -147,9 +148,15 @@ def cheapest_quartile(members: DataFrame, fee: str = "fee", groups: Sequence[str
 
 
 def share_below(distribution: DataFrame, values: DataFrame, groups: Sequence[str], at: str, value: str, name: str) -> DataFrame:
-    """(groups, name): the share of each group's distribution under a value."""
-    below = F.avg((F.col(at) < F.col(value)).cast("double"))
-    return distribution.join(values, list(groups)).groupBy(*groups).agg(below.alias(name))
+    """(groups, name): the share of each group's distribution under a value.
+
+    Both are rounded first: a portfolio of the very entities that were selected must
+    tie with them, whatever order their returns were added in.
+    """
+    under = F.round(at, COMPARED_DIGITS) < F.round(value, COMPARED_DIGITS)
+    return distribution.join(values, list(groups)).groupBy(*groups).agg(
+        F.avg(under.cast("double")).alias(name)
+    )
 
 
 def medians(members: DataFrame, value: str, groups: Sequence[str] = GROUP) -> DataFrame:

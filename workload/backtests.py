@@ -145,8 +145,8 @@ middle AS (SELECT cut_date, profile, median(forward_return) AS median FROM reali
 basic AS (SELECT cut_date, profile, avg(coalesce(forward_return, 0)) AS selected_return, count(*) FILTER (WHERE coalesce(forward_return, 0) > median) AS beat_median,
   count(*) FILTER (WHERE forward_return IS NULL) AS carried, any_value(median) AS median FROM picked LEFT JOIN middle USING (cut_date, profile) GROUP BY 1, 2),
 outcomes AS (SELECT b.*, benchmark_return,
-  coalesce((SELECT avg(CASE WHEN portfolio_return < b.selected_return THEN 1.0 ELSE 0.0 END::DOUBLE) FROM chance c WHERE c.cut_date = b.cut_date AND c.profile = b.profile), 0) AS random_percentile,
-  coalesce((SELECT avg(CASE WHEN portfolio_return < b.selected_return THEN 1.0 ELSE 0.0 END::DOUBLE) FROM low c WHERE c.cut_date = b.cut_date AND c.profile = b.profile), 0) AS cheap_percentile
+  coalesce((SELECT avg(CASE WHEN round(portfolio_return, 12) < round(b.selected_return, 12) THEN 1.0 ELSE 0.0 END::DOUBLE) FROM chance c WHERE c.cut_date = b.cut_date AND c.profile = b.profile), 0) AS random_percentile,
+  coalesce((SELECT avg(CASE WHEN round(portfolio_return, 12) < round(b.selected_return, 12) THEN 1.0 ELSE 0.0 END::DOUBLE) FROM low c WHERE c.cut_date = b.cut_date AND c.profile = b.profile), 0) AS cheap_percentile
   FROM basic b JOIN bench_after USING (cut_date))"""
 OUTCOME_CTES = (
     *BT_CTES, CHEAP_SQL, numbered_sql("numbered", "realised"), numbered_sql("numbered_low", "cheap"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from peervane.functions.numbers import usable_price
 from peervane.functions.uniform import uniform
 from peervane.operators.order_stats import quantiles, value_counts
-from peervane.operators.series import PANEL, PanelColumns, compounded, endpoint_return
+from peervane.operators.series import PANEL, PanelColumns, endpoint_return
 from peervane.params import Backtest
 
 GROUP = ("cut_date", "profile")
@@ -56,12 +56,6 @@ def benchmark_returns(rates: DataFrame, rules: Backtest, ts: str = "ts", rate: s
     )
 
 
-def compounded_between(rates: DataFrame, after, upto, ts: str = "ts", rate: str = "rate") -> DataFrame:
-    day = F.col(ts)
-    inside = rates.filter((day > F.lit(after)) & (day <= F.lit(upto)))
-    return inside.agg(compounded(F.col(rate)).alias("benchmark_return"))
-
-
 def discontinued(panel: DataFrame, rules: Backtest, cols: PanelColumns = PANEL) -> DataFrame:
     """Entities whose series stops well before the end."""
     last = panel.groupBy(F.col(cols.entity).alias("entity")).agg(F.max(cols.ts).alias("last_date"))

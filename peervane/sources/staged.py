@@ -27,7 +27,7 @@ def read_parts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 def read_months(spark: SparkSession, path: str, start: dt.date, end: dt.date) -> DataFrame:
     """The staged months a window touches; other partitions are not listed for reading."""
-    return spark.read.parquet(path).filter(F.col("month").isin(months_touched(start, end)))
+    return read_parts(spark, [path]).filter(F.col("month").isin(months_touched(start, end)))
 
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:

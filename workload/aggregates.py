@@ -18,11 +18,9 @@ from workload.base import (
     METRIC_CTES,
     PANEL_SQL,
     PERIODS,
-    PROFILES,
     RATES_SQL,
     REFERENCE,
     REGISTRY_SQL,
-    SERIES_SQL,
     START,
     Tables,
     columns_r6,

@@ -19,7 +19,6 @@ from workload.base import (
     REFERENCE,
     REGISTRY_SQL,
     SERIES_SQL,
-    START,
     TERMS_SQL,
     Tables,
     columns_r6,

@@ -13,7 +13,6 @@ from workload.base import (
     PANEL_SQL,
     REGISTRY_SQL,
     Tables,
-    columns_r6,
     pools_sql,
     query,
     r6,

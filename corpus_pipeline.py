@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import mixing, ngram_join, quality, sharding
+from llm import decontaminate, mixing, ngram_join, quality, sharding
 from llm.tables import materialise, table
 
 #: SQL can express neither the classifier nor the shuffle.
@@ -31,10 +31,15 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
 
 
+def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no copy of a benchmark item, edited or not."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    taken = mixing.mixed(docs.withColumn("record", F.struct(*docs.columns)), keep=["record"])
-    return taken.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("record.*")
+    taken = mixing.mixed(docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("row")), keep=["row"])
+    return taken.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,6 +50,7 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality", good_quality),
     ("near_duplicates", one_of_near_copies),
+    ("decontamination", without_test_items),
     ("mixing", mixed_sources),
     ("sharding", shards),
 ]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import exact_dedup, line_dedup, mixing, ngram_join, quality, sharding
+from llm import chat, decontaminate, exact_dedup, licences, line_dedup, mixing, ngram_join, pii, quality, sharding
 from llm.tables import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -39,6 +39,18 @@ FROM documents d LEFT JOIN sizes s USING (doc_id)
 JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r USING (doc_id)"""
 
 
+def op2_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.private_spans(table(spark, sf_dir, "documents"))
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_lines(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_bitmaps(table(spark, sf_dir, "documents")).drop("kept_lines")
 
@@ -109,10 +121,15 @@ def op9_two_pass_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"))
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_ngram_jaccard_join, op5_line_dedup, op6_pareto_mixing, op7_quality_classifier, op8_exact_dedup, op9_two_pass_sharding,
+        op1_ngram_jaccard_join, op2_private_spans, op3_benchmark_decontamination, op4_licence_scan, op5_line_dedup,
+        op6_pareto_mixing, op7_quality_classifier, op8_exact_dedup, op9_two_pass_sharding, op10_chat_format,
     )
 }
 ORACLES = {

@@ -28,7 +28,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Of documents linked by five-word shingles at 0.8 or more, the one with the smallest id; rows without id stay."""
     found = ngram_join.jaccard_components(docs, k=5, num=8, den=10)
     others = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(others.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

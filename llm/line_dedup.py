@@ -168,5 +168,5 @@ def line_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, with_t
     settled = found.filter("settled").select("doc_id", "body", "line")
     # Lines repeated within a text may come both ways.
     gone = dropped.unionByName(settled).groupBy("doc_id", "body").agg(F.collect_set("line").alias("gone"))
-    joined = texts.join(gone, ["doc_id", "body"], "left").select("doc_id", "text", "gone")
+    joined = texts.join(gone.hint("merge"), ["doc_id", "body"], "left").select("doc_id", "text", "gone")
     return joined.mapInArrow(partial(kept_rows, with_text=with_text), KEPT + (", kept_text string" if with_text else ""))

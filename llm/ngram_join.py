@@ -307,7 +307,8 @@ def verified(pairs: DataFrame, points: DataFrame, texts: DataFrame, k: int, num:
     near = pairs.join(at("a"), "a").join(at("b"), "b").mapInArrow(partial(near_points, num=num, den=den), "a long, b long")
     near = near.distinct()
     side = lambda s: texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"text_{s}"))
-    full = near.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
+    # Sorted joins at every size: pairs are few, texts are many, and a text with very many pairs can be split.
+    full = near.hint("merge").join(side("b"), "b").hint("merge").join(side("a"), "a").select("a", "b", "text_a", "text_b")
     return full.mapInArrow(partial(linked_rows, k=k, num=num, den=den), "a long, b long").distinct()
 
 

@@ -43,10 +43,11 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", normalised(F.col("text")).alias("plain")).withColumn(
         "hash", F.unhex(F.md5(F.encode("plain", "UTF-8")))
     )
-    members = texts.join(repeated, "hash")
-    # One text of each group, the smallest among rows with the smallest id: the hash decides which rows are looked at.
-    first = members.filter("doc_id <=> first_id").groupBy("hash").agg(F.min("plain").alias("first_plain"))
-    strays = members.join(first, "hash").filter("plain <> first_plain").select("doc_id", "hash", "plain")
+    # Sorted joins at every size, each between stored tables, so that a hash with very many rows can be split.
+    members = materialise(texts.join(repeated.hint("merge"), "hash"), "hash-members")
+    # One text of each group: the smallest among rows with the smallest id.
+    first = materialise(members.filter("doc_id <=> first_id").groupBy("hash").agg(F.min("plain").alias("first_plain")), "first-texts")
+    strays = members.join(first.hint("merge"), "hash").filter("plain <> first_plain").select("doc_id", "hash", "plain")
     strays = materialise(strays, "hash-collisions")
     apart = strays.groupBy("hash", "plain").agg(F.min("doc_id").alias("stray_id"), F.count(F.lit(1)).alias("stray_n"))
     # The SHA-256 of a stray tells its rows from the others of the same MD5.

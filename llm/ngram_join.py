@@ -228,29 +228,26 @@ def tree_pairs(a: Node, b: Node, points, sizes, labels, num, den) -> Iterator[tu
 
 
 def block_pairs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Candidates of every block, or of every pair of tiles of a large one."""
+    """Candidates of every block, or of every pair of tiles of a large one; a pair comes from the first block it shares."""
     for rows in groups_of(batches, ["key", "left", "right"]):
         left, right = rows.column("left")[0].as_py(), rows.column("right")[0].as_py()
-        tile = rows.column("tile").to_numpy()
+        if left != right:
+            rows = rows.sort_by([("tile", "ascending")])
         node, label, size = (rows.column(c).to_numpy() for c in ("node", "component", "n_shingles"))
         points = np.frombuffer(b"".join(rows.column("counts").to_pylist()), "<i4").reshape(len(node), AXES)
+        earlier = [frozenset(x) for x in rows.column("earlier").to_pylist()]
         if left == right:
-            tree = bulk_load(points, size, label)
-            found = [(tree, tree, np.arange(len(node)))]
-            sides = [(points, size, label)]
+            one = two = bulk_load(points, size, label)
         else:
-            order = np.argsort(tile != left, kind="stable")
-            points, size, label, node = points[order], size[order], label[order], node[order]
-            m = int((tile == left).sum())
+            m = int((rows.column("tile").to_numpy() == left).sum())
             one = bulk_load(points[:m], size[:m], label[:m])
             two = bulk_load(points[m:], size[m:], label[m:])
             shift(two, m)
-            found, sides = [(one, two, None)], [(points, size, label)]
-        for x, y, _ in found:
-            for i, j in tree_pairs(x, y, *sides[0], num, den):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], names=["a", "b"]
-                )
+        for i, j in tree_pairs(one, two, points, size, label, num, den):
+            here = np.array([earlier[x].isdisjoint(earlier[y]) for x, y in zip(i, j)], bool)
+            if here.any():
+                x, y = node[i[here]], node[j[here]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
 
 def shift(tree: Node, by: int) -> None:
@@ -361,14 +358,18 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10)
     blocks = sizes.groupBy("members", "mark").agg(F.min("key").alias("key")).select(
         "key", F.ceil(F.col("members") / TILE).cast("int").alias("tiles")
     )
+    # The smaller keys of the blocks a member is in, so that a pair is taken up in the first block it shares.
+    kept = members.join(blocks, "key")
+    marks = kept.groupBy("node").agg(F.collect_list("key").alias("marks"))
     tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
     dealt = (
-        members.join(blocks, "key").join(points, "node")
+        kept.join(points, "node").join(marks, "node")
+        .withColumn("earlier", F.filter("marks", lambda k: k < F.col("key")))
         .withColumn("tile", tile)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         .select(
             "key", F.least("tile", "other").alias("left"), F.greatest("tile", "other").alias("right"),
-            "tile", "node", "component", "n_shingles", "counts",
+            "tile", "node", "component", "n_shingles", "counts", "earlier",
         )
     )
     grouped = dealt.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")

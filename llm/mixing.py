@@ -80,7 +80,8 @@ def mixed(
     key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
     rows = docs.select(
         "doc_id", n_words(F.col("text")).alias("size"), F.col("source").cast("string").alias("source"),
-        uniform(key, seed).alias("u"), (emphasis if emphasis is not None else F.lit(1.0)).cast("double").alias("emphasis"), *keep,
+        uniform(key, seed).alias("u"), (emphasis if emphasis is not None else F.lit(1.0)).cast("double").alias("emphasis"),
+        *([F.struct(*keep).alias("kept")] if keep else []),
     )
     sized = materialise(rows, "mix-sizes")
     aims = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
@@ -116,5 +117,5 @@ def mixed(
     ).drop("reached")
     return clear.unionByName(near).select(
         "doc_id", "size", "source_size", "target", ((F.col("whole") + F.col("more")) * F.col("size")).alias("taken"),
-        (F.col("whole") + F.col("more")).alias("copies"), *keep,
+        (F.col("whole") + F.col("more")).alias("copies"), *(F.col(f"kept.{c}").alias(c) for c in keep),
     )

@@ -240,6 +240,8 @@ def block_pairs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterat
             one = two = bulk_load(points, size, label)
         else:
             m = int((rows.column("tile").to_numpy() == left).sum())
+            if m in (0, len(node)):
+                continue
             one = bulk_load(points[:m], size[:m], label[:m])
             two = bulk_load(points[m:], size[m:], label[m:])
             shift(two, m)
@@ -298,14 +300,18 @@ def linked_rows(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -
         yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b")], names=["a", "b"])
 
 
-def verified(pairs: DataFrame, points: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The linked ones of candidate pairs (a, b): bounded by their points, then compared as sets."""
+def bounded(pairs: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
+    """The candidate pairs (a, b) whose points may be near enough."""
     at = lambda s: points.select(F.col("node").alias(s), F.col("counts").alias(f"counts_{s}"), F.col("n_shingles").alias(f"n_{s}"))
-    near = pairs.join(at("a"), "a").join(at("b"), "b").mapInArrow(partial(near_points, num=num, den=den), "a long, b long")
-    near = near.distinct()
+    near = pairs.join(at("a"), "a").join(at("b"), "b")
+    return near.mapInArrow(partial(near_points, num=num, den=den), "a long, b long").distinct()
+
+
+def verified(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The linked ones of bounded pairs (a, b), compared as sets."""
     side = lambda s: texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"text_{s}"))
     # Sorted joins at every size: pairs are few, texts are many, and a text with very many pairs can be split.
-    full = near.hint("merge").join(side("b"), "b").hint("merge").join(side("a"), "a").select("a", "b", "text_a", "text_b")
+    full = pairs.hint("merge").join(side("b"), "b").hint("merge").join(side("a"), "a").select("a", "b", "text_a", "text_b")
     return full.mapInArrow(partial(linked_rows, k=k, num=num, den=den), "a long, b long").distinct()
 
 
@@ -324,7 +330,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10)
 
     stars = ties.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct()
     stars = materialise(stars, "star-pairs")
-    links = materialise(verified(stars, points, texts, k, num, den), "star-links")
+    links = materialise(verified(bounded(stars, points, num, den), texts, k, num, den), "star-links")
     found = materialise(components(links), "star-components")
 
     named = lambda s: found.select(F.col("node").alias(s), F.col("component").alias(f"{s}_component"))
@@ -375,7 +381,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10)
     grouped = dealt.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
     more = grouped.mapInArrow(partial(block_pairs, num=num, den=den), "a long, b long").distinct()
     more = materialise(more.join(stars, ["a", "b"], "left_anti"), "tree-pairs")
-    every = links.unionByName(verified(more, points, texts, k, num, den))
+    every = links.unionByName(verified(more, texts, k, num, den))
     final = components(every)
     return (
         rows.select("doc_id", "n_shingles", "node")

@@ -47,6 +47,7 @@ AXES = 64
 TILE = 2048
 LEAF = 32
 FANOUT = 8
+MARKS = 16
 #: Groups beyond those that d differences can touch; a set with fewer empty groups need not send the empty ones.
 SPARE = 2
 
@@ -228,7 +229,10 @@ def tree_pairs(a: Node, b: Node, points, sizes, labels, num, den) -> Iterator[tu
 
 
 def block_pairs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Candidates of every block, or of every pair of tiles of a large one; a pair comes from the first block it shares."""
+    """Candidates of every block, or of every pair of tiles of a large one.
+
+    A pair that shares one of the first blocks of both its members is left to that block.
+    """
     for rows in groups_of(batches, ["key", "left", "right"]):
         left, right = rows.column("left")[0].as_py(), rows.column("right")[0].as_py()
         if left != right:
@@ -364,9 +368,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10)
     blocks = sizes.groupBy("members", "mark").agg(F.min("key").alias("key")).select(
         "key", F.ceil(F.col("members") / TILE).cast("int").alias("tiles")
     )
-    # The smaller keys of the blocks a member is in, so that a pair is taken up in the first block it shares.
+    # The first few blocks a member is in: a pair that shares one of them is taken up there. It saves repeats and loses no pair.
     kept = members.join(blocks, "key")
-    marks = kept.groupBy("node").agg(F.collect_list("key").alias("marks"))
+    marks = kept.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("key")), 1, MARKS).alias("marks"))
     tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
     dealt = (
         kept.join(points, "node").join(marks, "node")

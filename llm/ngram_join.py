@@ -9,7 +9,7 @@ so at most d = (1 - t) / (1 + t) * (x + y) shingles are in only one of them.
    the overlap of their sets from above.
 2. *Blocks.* To place points that can be near on the same machine, shingles are
    also hashed into more groups than d; then two linked sets agree on the whole
-   content of at least one group. A document sends one key per group, and only
+   content of at least one group. A document sends one key per group, small groups left out as far as the others suffice, and only
    documents with an equal key ever meet. The number of groups depends on the
    size class, and a set at the edge of its class sends the keys of the next one too.
    Keys of one Arrow batch are merged before the shuffle.
@@ -43,16 +43,17 @@ from pyspark.sql import functions as F
 from llm.tables import components, groups_of, materialise
 from llm.textkit import mix64, shingle_sets, slices
 
+#: Axes of the trees; a document of many shingles has a finer point too, with about `PER_AXIS` shingles an axis.
 AXES = 64
+FINEST = 4096
+PER_AXIS = 4
 TILE = 2048
 LEAF = 32
 FANOUT = 8
 MARKS = 16
-#: Groups beyond those that d differences can touch; a set with fewer empty groups need not send the empty ones.
-SPARE = 2
 
 POINTS = (
-    "doc_id long, n_shingles long, node long, counts binary, keys array<long>, "
+    "doc_id long, n_shingles long, node long, counts binary, fine binary, keys array<long>, "
     "tied_keys array<long>, tied_heads array<long>"
 )
 
@@ -61,7 +62,7 @@ def class_edges(limit: int = 1 << 40) -> list[int]:
     """Smallest set size of each size class."""
     edges = [1]
     while edges[-1] < limit:
-        edges.append(max(edges[-1] + 1, edges[-1] * 3 // 2))
+        edges.append(max(edges[-1] + 1, edges[-1] * 5 // 4))
     return edges
 
 
@@ -81,27 +82,57 @@ def block_keys(hashes: np.ndarray, num: int, den: int) -> np.ndarray:
     while c == own or EDGES[c] * num <= n * den:
         top = EDGES[c + 1] - 1
         differ = 2 * top * (den - num) // (den + num)
-        groups = differ + 1 + SPARE
+        groups = (differ + 1) * 3 // 2 + 1
         group = (high * np.uint64(groups)) >> np.uint64(32)
         firsts = np.flatnonzero(np.diff(group, prepend=np.uint64(groups)))
-        sums = np.add.reduceat(content, firsts)
-        used = group[firsts]
-        if groups - len(used) >= groups - differ:
+        sums, used = np.add.reduceat(content, firsts), group[firsts]
+        # At least groups - differ contents agree. As many as the others may be left out, the smallest first: both sets
+        # leave out agreeing groups by the same sizes, and one that neither leaves out remains.
+        spare, empty = groups - differ - 1, groups - len(used)
+        if empty > spare:
             whole = np.zeros(groups, np.uint64)
             whole[used] = sums
             used, sums = np.arange(groups, dtype=np.uint64), whole
+        else:
+            sizes = np.diff(firsts, append=n)
+            small = empty + np.cumsum(np.bincount(sizes))
+            large = sizes >= np.searchsorted(small, spare, "right")
+            used, sums = used[large], sums[large]
         keys.append(mix64(sums ^ mix64(used + np.uint64(c << 40))))
         c += 1
     return np.concatenate(keys)
 
 
+def point_of(hashes: np.ndarray) -> bytes:
+    """Group counts of a set, on a power of two of axes that grows with it; the first byte is the width of a count."""
+    axes = AXES
+    while axes < FINEST and axes * PER_AXIS < len(hashes):
+        axes *= 2
+    counts = np.bincount((hashes & np.uint64(axes - 1)).astype(np.int64), minlength=axes)
+    width = 1 if counts.max() < 256 else 4
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def counts_in(point: bytes, axes: int | None = None) -> np.ndarray:
+    """The group counts of a point, folded to fewer axes if asked: groups are low bits of the hash, so halves add up."""
+    counts = np.frombuffer(point, f"<u{point[0]}", offset=1).astype(np.int32)
+    return counts if axes is None else counts.reshape(-1, axes).sum(0)
+
+
+def shared_at_most(one: bytes, two: bytes) -> int:
+    """The summed coordinate minima of two points on the axes that both have."""
+    x, y = counts_in(one), counts_in(two)
+    axes = min(len(x), len(y))
+    return int(np.minimum(x.reshape(-1, axes).sum(0), y.reshape(-1, axes).sum(0)).sum())
+
+
 def point_rows(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
     """One row per document: its size, its point, and the keys it has to send."""
     for batch in batches:
         ids = batch.column(0).to_pylist()
         sizes = np.zeros(len(ids), np.int64)
         marks: list[bytes | None] = [None] * len(ids)
-        counts: list[bytes | None] = [None] * len(ids)
+        fine: list[bytes | None] = [None] * len(ids)
         least: dict[bytes, int] = {}
         sent: dict[bytes, np.ndarray] = {}
         for at, words in slices(batch.column(1)):
@@ -114,7 +145,7 @@ def point_rows(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) ->
                 if mark not in least:
                     sent[mark] = block_keys(s, num, den)
                 least[mark] = min(ids[i], least.get(mark, ids[i]))
-                counts[i] = np.bincount((s & np.uint64(AXES - 1)).astype(np.int64), minlength=AXES).astype("<i4").tobytes()
+                fine[i] = point_of(s)
         nodes = [None if m is None else least[m] for m in marks]
         order = sorted(sent, key=least.__getitem__)
         lengths = [len(sent[m]) for m in order]
@@ -142,10 +173,11 @@ def point_rows(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) ->
             lists[2].append(heads[a:b][tied])
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(ids, pa.int64()), pa.array(sizes), pa.array(nodes, pa.int64()), pa.array(counts, pa.binary()),
+                pa.array(ids, pa.int64()), pa.array(sizes), pa.array(nodes, pa.int64()),
+                pa.array([None if f is None else counts_in(f, AXES).astype("<i4").tobytes() for f in fine], pa.binary()), pa.array(fine, pa.binary()),
                 *(pa.array(x, pa.list_(pa.int64())) for x in lists),
             ],
-            names=["doc_id", "n_shingles", "node", "counts", "keys", "tied_keys", "tied_heads"],
+            names=["doc_id", "n_shingles", "node", "counts", "fine", "keys", "tied_keys", "tied_heads"],
         )
 
 
@@ -269,11 +301,10 @@ def near_points(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterat
     for batch in batches:
         if not batch.num_rows:
             continue
-        one, two = (
-            np.frombuffer(b"".join(batch.column(c).to_pylist()), "<i4").reshape(-1, AXES) for c in ("counts_a", "counts_b")
-        )
+        points = zip(batch.column("fine_a").to_pylist(), batch.column("fine_b").to_pylist())
+        shared = np.array([shared_at_most(one, two) for one, two in points], np.int64)
         total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-        near = np.minimum(one, two).sum(1) >= least_overlap(total, num, den)
+        near = shared >= least_overlap(total, num, den)
         yield pa.RecordBatch.from_arrays(
             [pa.array(batch.column(c).to_numpy()[near]) for c in ("a", "b")], names=["a", "b"]
         )
@@ -306,7 +337,7 @@ def linked_rows(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -
 
 def bounded(pairs: DataFrame, points: DataFrame, num: int, den: int) -> DataFrame:
     """The candidate pairs (a, b) whose points may be near enough."""
-    at = lambda s: points.select(F.col("node").alias(s), F.col("counts").alias(f"counts_{s}"), F.col("n_shingles").alias(f"n_{s}"))
+    at = lambda s: points.select(F.col("node").alias(s), F.col("fine").alias(f"fine_{s}"), F.col("n_shingles").alias(f"n_{s}"))
     near = pairs.join(at("a"), "a").join(at("b"), "b")
     return near.mapInArrow(partial(near_points, num=num, den=den), "a long, b long").distinct()
 
@@ -323,7 +354,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10)
     """(doc_id, n_shingles, component_id) of documents (doc_id, text), linked at Jaccard num / den or more."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = materialise(texts.mapInArrow(partial(point_rows, k=k, num=num, den=den), POINTS), "points")
-    points = rows.filter("node = doc_id").select("node", "n_shingles", "counts").dropDuplicates(["node", "counts"])
+    points = rows.filter("node = doc_id").select("node", "n_shingles", "counts", "fine").dropDuplicates(["node", "fine"])
 
     sent = rows.select(F.explode("keys").alias("key"), "node")
     across = sent.repartition("key").sortWithinPartitions("key", "node").mapInArrow(tie_rows, "key long, head long, node long")
@@ -373,7 +404,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10)
     marks = kept.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("key")), 1, MARKS).alias("marks"))
     tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
     dealt = (
-        kept.join(points, "node").join(marks, "node")
+        kept.join(points.drop("fine"), "node").join(marks, "node")
         .withColumn("earlier", F.filter("marks", lambda k: k < F.col("key")))
         .withColumn("tile", tile)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
@@ -385,7 +416,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10)
     grouped = dealt.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
     more = grouped.mapInArrow(partial(block_pairs, num=num, den=den), "a long, b long").distinct()
     more = materialise(more.join(stars, ["a", "b"], "left_anti"), "tree-pairs")
-    every = links.unionByName(verified(more, texts, k, num, den))
+    every = links.unionByName(verified(bounded(more, points, num, den), texts, k, num, den))
     final = components(every)
     return (
         rows.select("doc_id", "n_shingles", "node")

@@ -12,7 +12,7 @@ so at most d = (1 - t) / (1 + t) * (x + y) shingles are in only one of them.
    content of at least one group. A document sends one key per group, small groups left out as far as the others suffice, and only
    documents with an equal key ever meet. The number of groups depends on the
    size class, and a set at the edge of its class sends the keys of the next one too.
-   Keys of one Arrow batch are merged before the shuffle.
+   Keys of up to `TOGETHER` documents are merged before the shuffle.
 3. *First links.* Every member of a block is compared with the first member,
    which is linear and joins whole families of near copies.
 4. *R-trees.* Blocks that still hold members of different components are
@@ -51,6 +51,7 @@ TILE = 2048
 LEAF = 32
 FANOUT = 8
 MARKS = 16
+TOGETHER = 1000
 
 POINTS = (
     "doc_id long, n_shingles long, node long, counts binary, fine binary, keys array<long>, "
@@ -127,8 +128,8 @@ def shared_at_most(one: bytes, two: bytes) -> int:
 
 
 def point_rows(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """One row per document: its size, its point, and the keys it has to send."""
-    for batch in batches:
+    """One row per document: its size, its point, and the keys it has to send; keys are merged within `TOGETHER` documents."""
+    for batch in (b.slice(at, TOGETHER) for b in batches for at in range(0, b.num_rows, TOGETHER)):
         ids = batch.column(0).to_pylist()
         sizes = np.zeros(len(ids), np.int64)
         marks: list[bytes | None] = [None] * len(ids)

@@ -21,6 +21,8 @@ GROUP = ("cut_date", "profile")
 MEMBER_RANGES = 256
 MIN_PRICED = 8
 COMPARED_DIGITS = 12
+# Portfolio size against which a pool without a selection is set.
+UNSELECTED_SIZE = 5
 
 
 def by_cut(frame: DataFrame, cuts: Sequence, rule) -> DataFrame:
@@ -167,17 +169,20 @@ def evaluate(
     `selected` is (cut_date, profile, entity), `pools` the same with `fee`: all
     that could have been chosen. A selected entity without a later price is held
     flat and counted as carried. Pools need their own forward return; selected
-    entities are looked up among all.
+    entities are looked up among all. A pool from which nothing was selected has a
+    row as well: its return is 0 and is set against portfolios of `UNSELECTED_SIZE`.
     """
     groups = list(GROUP)
     picked = selected.select(*groups, "entity").join(forward, ["cut_date", "entity"], "left").join(
         stopped.select("entity", F.lit(True).alias("_stopped")), "entity", "left"
     )
+    every = pools.select(*groups).unionByName(selected.select(*groups)).distinct()
+    chosen = F.col("entity").isNotNull()
     held = F.coalesce("forward_return", F.lit(0.0))
     realised = pools.select(*groups, "entity", "fee").join(forward, ["cut_date", "entity"])
-    outcome = picked.groupBy(*groups).agg(
-        F.avg(held).alias("selected_return"),
-        F.count(F.lit(1)).alias("size"),
+    outcome = every.join(picked, groups, "left").groupBy(*groups).agg(
+        F.coalesce(F.avg(F.when(chosen, held)), F.lit(0.0)).alias("selected_return"),
+        F.coalesce(F.nullif(F.count("entity"), F.lit(0)), F.lit(UNSELECTED_SIZE)).alias("size"),
         F.sort_array(F.collect_list("entity")).alias("selected"),
         F.sort_array(F.collect_list(F.when(F.col("forward_return").isNull(), F.col("entity")))).alias("carried"),
         F.sort_array(F.collect_list(F.when(F.col("_stopped"), F.col("entity")))).alias("discontinued"),

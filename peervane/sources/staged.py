@@ -20,6 +20,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def whole_path(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and root, as file listings name it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
 def read_parts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Many Parquet parts as one table; filters and columns still reach the scan."""
     return spark.read.parquet(*paths)
@@ -81,7 +87,7 @@ def stage_daily(
     listed = {row["path"]: row["sha256"] for row in fingerprints(spark, list(paths.values())).select("path", "sha256").collect()}
     written = []
     for month, path in paths.items():
-        sha = next(h for p, h in listed.items() if p.endswith("/" + path.rsplit("/", 1)[-1]))[:HASH_DIGITS]
+        sha = listed[whole_path(spark, path)][:HASH_DIGITS]
         part = f"{target.rstrip('/')}/month={month}/src_sha={sha}"
         if path_exists(spark, part + "/_SUCCESS"):
             continue

@@ -15,31 +15,48 @@ from peervane.operators.dedup import last_per_key
 ORIGIN = ("src_file", "src_block", "src_row")
 
 
-def read_delimited(
+def read_releases(
     spark: SparkSession, path: str | Sequence[str], separator: str = ";", with_origin: bool = False
-) -> DataFrame:
-    """Latin-1 text with a header, quoting off, every column a string.
+) -> list[DataFrame]:
+    """Latin-1 text with a header, quoting off, every column a string: a frame per header that occurs.
 
     One record per line, so files split across tasks. Free text may hold stray
-    quotes; extra fields are dropped and missing ones become null.
+    quotes; extra fields are dropped and missing ones become null. Every path is
+    asked for its header, and paths of equal headers are read together. A file
+    within one path whose header differs from the others fails the read.
     """
-    frame = (
+    reader = (
         spark.read.option("sep", separator)
         .option("header", True)
         .option("encoding", "ISO-8859-1")
         .option("quote", "")
         .option("escape", "")
         .option("inferSchema", False)
-        .csv(path if isinstance(path, str) else list(path))
+        .option("enforceSchema", False)
     )
+    paths = [path] if isinstance(path, str) else list(path)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for one in paths:
+        by_header.setdefault(tuple(reader.csv(one).columns), []).append(one)
+    frames = [reader.csv(same) for same in by_header.values()]
     if not with_origin:
-        return frame
-    return frame.select(
-        "*",
-        F.col("_metadata.file_path").alias("src_file"),
-        F.col("_metadata.file_block_start").alias("src_block"),
-        F.monotonically_increasing_id().alias("src_row"),
-    )
+        return frames
+    return [
+        frame.select(
+            "*",
+            F.col("_metadata.file_path").alias("src_file"),
+            F.col("_metadata.file_block_start").alias("src_block"),
+            F.monotonically_increasing_id().alias("src_row"),
+        )
+        for frame in frames
+    ]
+
+
+def read_delimited(
+    spark: SparkSession, path: str | Sequence[str], separator: str = ";", with_origin: bool = False
+) -> DataFrame:
+    """All releases as one table, matched by column name; what a release lacks is null."""
+    return union_drifting(read_releases(spark, path, separator, with_origin))
 
 
 def select_and_rename(frame: DataFrame, mapping: Mapping[str, str]) -> DataFrame:

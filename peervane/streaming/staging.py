@@ -28,6 +28,7 @@ def stream_daily_reports(spark: SparkSession, folder: str, header: list[str]) ->
         .option("header", True)
         .option("encoding", "ISO-8859-1")
         .option("quote", "")
+        .option("enforceSchema", False)
         .csv(folder)
     )
     named = raw.select(*[F.col(r).alias(n) for r, n in DAILY_REPORT.items() if r in header])

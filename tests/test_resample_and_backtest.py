@@ -128,6 +128,36 @@ def test_evaluation_and_verdict(spark):
     assert (row["dates_passed"], row["dates_tested"], row["passed"], row["method_passed"]) == (1, 2, False, False)
 
 
+def test_a_pool_without_a_selection_keeps_its_row(spark):
+    cut = RULES.cut_dates[0]
+    pools = spark.createDataFrame([(cut, p, f"e{i}", 0.01 * i) for p in "ab" for i in range(10)], "cut_date date, profile string, entity string, fee double")
+    forward = spark.createDataFrame([(cut, f"e{i}", (i + 1) / 100) for i in range(10)], "cut_date date, entity string, forward_return double")
+    chosen = spark.createDataFrame([(cut, "a", "e9")], "cut_date date, profile string, entity string")
+    rates = spark.createDataFrame([(DAY, 0.001)], "ts date, rate double")
+    stopped = spark.createDataFrame([], "entity string")
+    got = {r["profile"]: r for r in bt.evaluate(chosen, pools, forward, bt.benchmark_returns(rates, RULES), stopped, RULES).collect()}
+    assert got["a"]["selected"] == ["e9"] and got["a"]["beat_median"] == 1
+    row = got["b"]
+    assert (row["selected"], row["carried"], row["discontinued"]) == ([], [], [])
+    assert (row["selected_return"], row["random_percentile"], row["beat_median"]) == (0.0, 0.0, 0)
+    assert row["peer_median_return"] == pytest.approx(0.055)
+
+
+def test_members_without_draws_stay_in_every_draw(spark):
+    draws = spark.createDataFrame([("x", d, 0.1) for d in range(3)], "entity string, draw int, volatility double")
+    pool = spark.createDataFrame([("p", e, "g", 2, 2) for e in ("x", "y")], "profile string, entity string, peer_group string, peer_size long, pool_size long")
+    got = sorted((r["entity"], r["draw"], r["volatility"]) for r in rs.draws_of_pools(draws, pool, 3).collect())
+    assert got == [("x", d, 0.1) for d in range(3)] + [("y", d, None) for d in range(3)]
+
+
+def test_a_metric_the_pool_lacks_is_left_out_of_the_draws(spark):
+    pool = spark.createDataFrame([("p", e, "g", 2, 2, pct) for e, pct in (("x", 0.0), ("y", 1.0))], "profile string, entity string, peer_group string, peer_size long, pool_size long, volatility_pct double")
+    draws = spark.createDataFrame([(e, d, v) for d in range(2) for e, v in (("x", 0.1), ("y", 0.2))], "entity string, draw int, volatility double")
+    weights = spark.createDataFrame([("p", "volatility"), ("p", "absent")], "profile string, metric string")
+    got = rs.ranked_draws(pool, draws, weights, ["volatility", "absent"], {"volatility": "low", "absent": "high"}, 2)
+    assert got.columns == ["profile", "draw", "entity", "volatility_pct"] and got.count() == 4
+
+
 def test_few_priced_members_keep_everyone(spark):
     rows = [(DAY, "p", i, None if i > 6 else float(i), 0.1) for i in range(12)] + [(DAY, "q", i, float(i), 0.1) for i in range(9)]
     members = spark.createDataFrame(rows, "cut_date date, profile string, entity int, fee double, forward_return double")

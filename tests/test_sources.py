@@ -55,6 +55,25 @@ def test_old_layout_is_refused(spark, folder):
         fl.read_daily_report(spark, put(folder, "old.csv", "CNPJ_FUNDO;DT_COMPTC", "1;2023-01-01"))
 
 
+def test_releases_of_other_column_order_are_matched_by_name(spark, folder):
+    one = daily(folder)
+    moved = "ID_SUBCLASSE;CNPJ_FUNDO_CLASSE;DT_COMPTC;VL_PATRIM_LIQ;VL_QUOTA;NR_COTST"
+    two = put(folder, "e.csv", moved, ";00017024000153;2025-10-02;500;10.75;9")
+    got = {r["data"]: r for r in fl.read_daily_report(spark, [one, two]).filter("valor_cota IS NOT NULL AND data IS NOT NULL").collect()}
+    row = got[dt.date(2025, 10, 2)]
+    assert (row["valor_cota"], row["patrimonio_liquido"], row["cotistas"], row["captacao"]) == (10.75, 500.0, 9, None)
+    assert got[dt.date(2025, 10, 1)]["valor_cota"] == 10.5
+    with pytest.raises(fl.UnsupportedLayoutError):
+        fl.read_daily_report(spark, [one, put(folder, "old.csv", "CNPJ_FUNDO;DT_COMPTC", "1;2023-01-01")])
+
+
+def test_a_folder_of_unequal_headers_is_refused(spark, folder):
+    put(folder, "a.csv", "A;B", "1;2")
+    put(folder, "b.csv", "B;A", "2;1")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_delimited(spark, folder).collect()
+
+
 def test_registry_keeps_the_last_repeat_and_every_class(spark, folder):
     classes = put(folder, "c.csv", "ID_Registro_Fundo;ID_Registro_Classe;CNPJ_Classe;Denominacao_Social;Data_Inicio;Patrimonio_Liquido", "1;10;11.111.111/0001-11;Um;2025-01-01;5.5", "1;11;2;Dois;x;y", "9;12;3;Três;;", "1;10;4;Um corrigido;2025-01-02;6")
     funds = put(folder, "f.csv", "ID_Registro_Fundo;CNPJ_Fundo;Denominacao_Social;Data_Constituicao;Gestor", "1;5;Velho;2001-01-01;A", "1;5;Novo;2002-01-01;B")
@@ -103,6 +122,17 @@ def test_staging_parses_each_content_once(spark, folder):
     assert sg.read_months(spark, target, dt.date(2024, 1, 1), dt.date(2024, 2, 1)).count() == 0
 
 
+def test_months_of_equal_file_names_are_told_apart(spark, folder):
+    other, target = tempfile.mkdtemp(prefix="spark-", dir="/tmp"), f"{folder}/staged"
+    line = "FI;00017024000153;;2025-1{};1;{};100;1;2;7"
+    paths = {"202510": put(folder, "inf.csv", HEADER, line.format("0-02", 11)), "202511": put(other, "inf.csv", HEADER, line.format("1-03", 12))}
+    assert sg.stage_daily(spark, paths, target, fl.read_daily_report) == ["202510", "202511"]
+    put(other, "inf.csv", HEADER, line.format("1-03", 13))
+    assert sg.stage_daily(spark, paths, target, fl.read_daily_report) == ["202511"]
+    current = sg.current_rows(spark.read.parquet(target), sg.fingerprints(spark, list(paths.values())))
+    assert sorted(r["valor_cota"] for r in current.collect()) == [11.0, 13.0]
+
+
 def test_optional_inputs_become_empty_tables(spark, folder):
     schema = T.StructType([T.StructField("cnpj_classe", T.StringType())])
     assert sg.read_or_empty(spark, f"{folder}/absent.csv", fl.read_holdings, schema).count() == 0

@@ -50,6 +50,24 @@ def _(t: Tables):
     return read_daily_report(t.spark, path)
 
 
+@query(
+    "src1_drifting_releases", "SRC-1 SRC-2",
+    with_clause(PANEL_SQL) + f"""SELECT key AS cnpj_classe, ts AS data, CASE WHEN ts <= DATE '{REFERENCE}' THEN holders END AS cotistas, {r6('price', 'valor_cota')}, {r6('assets', 'patrimonio_liquido')}
+      FROM {full_key_sql('panel', "lpad(entity::VARCHAR, 12, '0')")} WHERE price <= 1600""",
+)
+def _(t: Tables):
+    """Two releases of the panel: the later one has its columns in another order and no holders."""
+    columns = ["CNPJ_FUNDO_CLASSE", "DT_COMPTC", "ID_SUBCLASSE", "VL_QUOTA", "VL_PATRIM_LIQ", "NR_COTST"]
+    panel = published_panel(t)
+    late = F.col("DT_COMPTC") > F.lit(REFERENCE)
+    paths = [scratch_path(t.spark, name) for name in ("early", "late")]
+    for rows, names, path in ((panel.filter(~late), columns, paths[0]), (panel.filter(late), columns[4::-1], paths[1])):
+        writer = rows.select(*names).write.option("sep", ";").option("header", True).option("encoding", "ISO-8859-1")
+        writer.option("quote", "").option("escapeQuotes", False).csv(path)
+    found = read_daily_report(t.spark, paths)
+    return found.select("cnpj_classe", "data", "cotistas", "valor_cota", "patrimonio_liquido")
+
+
 @query(
     "src9_rates_json_array", "SRC-9 SCL-4 SCL-5",
     with_clause(RATES_SQL) + f"SELECT ts AS data, {r6('rate', 'taxa')} FROM rates",

@@ -167,7 +167,7 @@ STABILITY_CTES = (
 )
 def _(t: Tables):
     scored, _ = scored_pools(t)
-    return rs.draws_of_pools(draws(t), scored).select("profile", "entity", "draw", "peer_group", "volatility")
+    return rs.draws_of_pools(draws(t), scored, SETTINGS.draws).select("profile", "entity", "draw", "peer_group", "volatility")
 
 
 @query(

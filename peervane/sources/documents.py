@@ -128,15 +128,16 @@ def ranking_document(
 
 
 def validate_document(document: DataFrame) -> None:
-    """Top lists fit, ranks run from 1 and no entity is listed twice; one job."""
+    """Top lists fit, ranks run from 1 without repeats or gaps and no entity is listed twice; one job."""
     ranks = F.transform("top", lambda r: r["rank"])
     names = F.transform("top", lambda r: r["entity"])
     sound = (
         (F.size("top") <= F.col("top_n"))
         & (F.size(F.array_distinct(names)) == F.size(names))
+        & (F.size(F.array_distinct(ranks)) == F.size(ranks))
         & F.forall(ranks, lambda r: (r >= 1) & (r <= F.size(ranks)))
     )
-    broken = document.filter(~sound).select("profile").limit(5).collect()
+    broken = document.filter(~F.coalesce(sound, F.lit(False))).select("profile").limit(5).collect()
     if broken:
         raise DocumentError(f"invalid top lists: {[r['profile'] for r in broken]}")
 

@@ -169,3 +169,6 @@ def test_document_fields_are_sorted_and_checked(spark, folder):
     assert json.loads(spark.read.text(f"{folder}/doc").first()[0])["top"][1] == {"entity": "b", "rank": 2}
     with pytest.raises(dc.DocumentError):
         dc.validate_document(good.withColumn("top_n", F.lit(1)))
+    for rank in ("1", "3", "CAST(NULL AS INT)"):
+        with pytest.raises(dc.DocumentError):
+            dc.validate_document(good.withColumn("top", F.expr(f"transform(top, (t, i) -> named_struct('rank', if(i = 0, 1, {rank}), 'entity', t.entity))")))

@@ -13,6 +13,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 sys.path.insert(0, ROOT)
 
 from llm import chat, decontaminate, exact_dedup, licences, line_dedup, mixing, ngram_join, pii, quality, sharding  # noqa: E402
+from llm.tables import components  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 BASE = " ".join(f"word{i}" for i in range(60))
@@ -62,6 +63,25 @@ def linked(rows, k, num, den):
     return {(i, len(s), root(i)) for i, s in sets}
 
 
+def test_components_of_paths_stars_and_rings(spark):
+    path, ring = [(i, i + 1) for i in range(40, 70)], [(200 + i, 200 + (i + 1) % 9) for i in range(9)]
+    star, turned, chained = [(1, i) for i in range(2, 20)], [(99, i) for i in range(80, 99)], [(300, 301), (302, 301), (301, 303)]
+    links = path + ring + star + turned + chained + [(1, 2), (7, 7)]
+    up = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((root(a), root(b)))
+        up[high] = low
+    got = components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert sorted(map(tuple, got)) == sorted((x, root(x)) for x in up if root(x) != x or any(root(y) == x and y != x for y in up))
+    assert not components(spark.createDataFrame([], "a long, b long")).count()
+
+
 @pytest.mark.parametrize(("k", "num", "den"), [(3, 90, 100), (5, 8, 10)])
 @pytest.mark.parametrize("tile", [3, 2048])
 def test_near_copies(spark, docs, monkeypatch, k, num, den, tile):

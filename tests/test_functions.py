@@ -107,3 +107,13 @@ def test_uniforms_are_even_and_reproducible(spark):
     assert sorted(tenths) == list(range(10)) and all(1800 < n < 2200 for n in tenths.values())
     a = frame.select(F.sum(hashed_integer(7, draw, F.col("c"), F.lit(3)))).first()[0]
     assert a == frame.repartition(5).select(F.sum(hashed_integer(7, draw, F.col("c"), F.lit(3)))).first()[0]
+
+
+def test_streams_of_many_entities_differ(spark):
+    """A million entities, each with the uniforms of two draws: a pair that agrees in both shares its stream."""
+    code = entity_code(F.col("id"))
+    both = spark.range(1_000_000).select(
+        code.alias("c"), *[hashed_integer(7, F.lit(d), code, F.lit(0)).alias(f"u{d}") for d in range(2)]
+    )
+    assert both.select("c").distinct().count() == 1_000_000
+    assert both.select("u0", "u1").distinct().count() == 1_000_000

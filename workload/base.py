@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from peervane.functions.dates import window_start_date
 from peervane.functions.numbers import log_size
 from peervane.functions.tax import tax_efficiency
-from peervane.operators.series import benchmark_over, metric_panel
+from peervane.operators.series import benchmark_over, metric_panel, sound_series
 from peervane.params import Eligibility, Profile
 from peervane.session import materialise
 
@@ -111,6 +111,11 @@ class Tables:
             F.col("user_id").alias("entity"), F.col("ts").cast("date").alias("ts")
         ).agg(F.avg("value").alias("price"), F.sum("value").alias("assets"), F.count(F.lit(1)).alias("holders"))
 
+    @cached_property
+    def sound_daily(self) -> DataFrame:
+        """The daily panel without entities that have an unusable price or a single day."""
+        return self.daily.join(sound_series(self.daily), "entity", "left_semi")
+
     @cached_property
     def rates(self) -> DataFrame:
         """Month-on-month return of the whole market; the window holds a row per month."""
@@ -246,6 +251,9 @@ PANEL_SQL = """panel AS (
   FROM lineitem GROUP BY 1, 2)"""
 SERIES_SQL = f"""series AS (
   SELECT * FROM panel WHERE ts BETWEEN DATE '{START}' AND DATE '{REFERENCE}')"""
+SOUND_SQL = """sound AS (SELECT entity FROM daily GROUP BY 1
+    HAVING count(*) >= 2 AND count(*) FILTER (WHERE price IS NULL OR price <= 0) = 0)"""
+
 DAILY_SQL = """daily AS (
   SELECT user_id AS entity, CAST(ts AS DATE) AS ts, avg(value) AS price, sum(value) AS assets, count(*) AS holders
   FROM events GROUP BY 1, 2)"""
@@ -339,14 +347,14 @@ def weights_sql(name: str = "declared") -> str:
 
 def hashed_sql(source: str, seed: int, draw: str, code: str, position: str) -> str:
     """The rows of `source` with `u`, the uniform of (seed, draw, code, position)."""
-    from peervane.functions.uniform import ADDED, DRAW_STEP, MIX, MODULUS, POSITION_STEP
+    from peervane.functions.uniform import ADDED, DRAW_STEP, HALF, MIX, MODULUS, POSITION_STEP
 
     m = MODULUS
-    return f"""(SELECT * EXCLUDE (h1, h2, h3, h4), ((h4 * {MIX} % {m}) * (h4 * {MIX} % {m}) + {ADDED[2]}) % {m} / {float(m)}::DOUBLE AS u FROM (
+    return f"""(SELECT * EXCLUDE (h1, h2, h3, h4, high), ((h4 * {MIX} % {m}) * (h4 * {MIX} % {m}) + {ADDED[2]}) % {m} / {float(m)}::DOUBLE AS u FROM (
       SELECT *, (h3 * h3 + {ADDED[1]}) % {m} AS h4 FROM (
-        SELECT *, ((h1 * h1 + {ADDED[0]}) % {m}) AS h2, (((h1 * h1 + {ADDED[0]}) % {m}) * {MIX} + ({position})::BIGINT * {POSITION_STEP}) % {m} AS h3 FROM (
-          SELECT *, ((({draw})::BIGINT * {DRAW_STEP} + {seed}) % {m} + ({code})::BIGINT) % {m} AS h1 FROM {source}))))"""
+        SELECT *, ((h1 * h1 + {ADDED[0]} + high) % {m}) AS h2, (((h1 * h1 + {ADDED[0]} + high) % {m}) * {MIX} + ({position})::BIGINT * {POSITION_STEP}) % {m} AS h3 FROM (
+          SELECT *, ((({draw})::BIGINT * {DRAW_STEP} + {seed}) % {m} + ({code})::BIGINT % {1 << HALF}) % {m} AS h1, ({code})::BIGINT // {1 << HALF} AS high FROM {source}))))"""
 
 
 def code_sql(key: str) -> str:
-    return f"('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 7))::BIGINT"
+    return f"('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 15))::BIGINT"

@@ -185,8 +185,11 @@ def manager_share(pool: DataFrame, by: Sequence[str] = ("profile",), manager: st
 
 
 def in_listed_order(frame: DataFrame, key: str, listed: Sequence) -> DataFrame:
-    """Rows whose key is listed, with `list_position`, in the order of the list."""
+    """Rows whose key is listed, with `list_position`, in the order of the list.
+
+    Equal positions follow the other columns, so a value with many rows is cut into ranges and not one task.
+    """
     places = frame.sparkSession.range(1).select(
         F.posexplode(F.array(*[F.lit(v) for v in listed])).alias("list_position", key)
     )
-    return frame.join(places, key).orderBy("list_position")
+    return frame.join(places, key).orderBy("list_position", *[c for c in frame.columns if c != key])

@@ -15,6 +15,7 @@ from peervane.sources.documents import benchmark_by_group
 from workload.base import (
     BENCHMARK_SQL,
     DAILY_SQL,
+    SOUND_SQL,
     METRIC_CTES,
     PANEL_SQL,
     PERIODS,
@@ -135,11 +136,11 @@ def _(t: Tables):
 
 @query(
     "agg13_max_drawdown", "AGG-13",
-    with_clause(DAILY_SQL) + f"""SELECT entity, {r6('min(price / peak - 1)', 'max_drawdown')} FROM (
-      SELECT *, max(price) OVER (PARTITION BY entity ORDER BY ts ROWS UNBOUNDED PRECEDING) AS peak FROM daily WHERE price > 0) GROUP BY entity""",
+    with_clause(DAILY_SQL, SOUND_SQL) + f"""SELECT entity, {r6('min(price / peak - 1)', 'max_drawdown')} FROM (
+      SELECT *, max(price) OVER (PARTITION BY entity ORDER BY ts ROWS UNBOUNDED PRECEDING) AS peak FROM daily JOIN sound USING (entity)) GROUP BY entity""",
 )
 def _(t: Tables):
-    peaks = sr.with_running_peak(t.daily.filter("price > 0"))
+    peaks = sr.with_running_peak(t.sound_daily)
     return peaks.groupBy("entity").agg(sr.worst_drawdown(F.col("price"), F.col("peak")).alias("max_drawdown"))
 
 
@@ -175,10 +176,10 @@ def _(t: Tables):
 @query(
     "agg24_share_below", "AGG-24",
     f"""SELECT c_mktsegment, {r6('avg(CASE WHEN c_acctbal < m THEN 1.0 ELSE 0.0 END::DOUBLE)', 'beaten')} FROM customer
-      JOIN (SELECT c_mktsegment, avg(c_acctbal) AS m FROM customer WHERE c_nationkey < 12 GROUP BY 1) USING (c_mktsegment) GROUP BY 1""",
+      JOIN (SELECT c_mktsegment, avg(c_acctbal) AS m FROM customer GROUP BY 1) USING (c_mktsegment) GROUP BY 1""",
 )
 def _(t: Tables):
-    values = t.customer.filter("c_nationkey < 12").groupBy("c_mktsegment").agg(F.avg("c_acctbal").alias("m"))
+    values = t.customer.groupBy("c_mktsegment").agg(F.avg("c_acctbal").alias("m"))
     pool = t.customer.select("c_mktsegment", "c_acctbal")
     return bt.share_below(pool, values, ["c_mktsegment"], "c_acctbal", "m", "beaten")
 

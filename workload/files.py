@@ -95,14 +95,14 @@ def _(t: Tables):
 
 @query(
     "snk2_fingerprints", "SNK-2",
-    """SELECT doc_id // 100 AS part, sha256(string_agg(doc_id || ':' || n_chars || chr(10), '' ORDER BY doc_id)) AS sha256, sum(length(doc_id || ':' || n_chars) + 1)::BIGINT AS size_bytes
+    """SELECT doc_id // 100 AS part, sha256(string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id)) AS sha256, sum(strlen(coalesce(text, '')) + 1)::BIGINT AS size_bytes
       FROM documents GROUP BY 1""",
 )
 def _(t: Tables):
-    """An index file for every hundred documents, hashed by the task that reads it."""
-    path = scratch_path(t.spark, "index")
+    """A file of whole texts for every hundred documents, hashed by the task that reads it."""
+    path = scratch_path(t.spark, "texts")
     lines = t.documents.select(
-        F.floor(F.col("doc_id") / 100).alias("part"), "doc_id", F.concat_ws(":", "doc_id", "n_chars").alias("value")
+        F.floor(F.col("doc_id") / 100).alias("part"), "doc_id", F.coalesce("text", F.lit("")).alias("value")
     )
     ordered = lines.repartition("part").sortWithinPartitions("part", "doc_id")
     ordered.select("part", "value").write.partitionBy("part").text(path)

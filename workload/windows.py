@@ -9,6 +9,7 @@ from peervane.operators.order_stats import average_rank, range_of
 from peervane.operators.peers import with_peer_groups
 from workload.base import (
     DAILY_SQL,
+    SOUND_SQL,
     FUND_CTES,
     PANEL_SQL,
     REGISTRY_SQL,
@@ -22,10 +23,10 @@ from workload.base import (
 
 @query(
     "win1_daily_returns", "WIN-1",
-    with_clause(DAILY_SQL) + f"SELECT entity, ts, {r6('price / lag(price) OVER (PARTITION BY entity ORDER BY ts) - 1', 'ret')} FROM daily WHERE price > 0",
+    with_clause(DAILY_SQL, SOUND_SQL) + f"SELECT entity, ts, {r6('price / lag(price) OVER (PARTITION BY entity ORDER BY ts) - 1', 'ret')} FROM daily JOIN sound USING (entity)",
 )
 def _(t: Tables):
-    return sr.with_returns(t.daily.filter("price > 0")).select("entity", "ts", "ret")
+    return sr.with_returns(t.sound_daily).select("entity", "ts", "ret")
 
 
 @query(

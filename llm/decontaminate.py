@@ -6,11 +6,14 @@ Texts are lowered, words are parted by white space and ASCII punctuation.
    that goes to every task, and each document meets every block. A larger benchmark means more blocks.
 2. A first pass counts in how many documents each n-gram of the block occurs, summed per task before the shuffle.
 3. An n-gram is a rare seed of an item if no more than `rare` of all documents hold it, or no more than
-   `factor` times as many as hold the item's rarest n-gram that occurs at all. So a leak that is itself frequent keeps its seeds.
-4. A second pass looks the seeds up in whole texts. A seed at word p of a text and word o of an item puts the item at p - o; each such
-   place is a window around the item's length, and the item is aligned in it, word by word, by Smith-Waterman (equal
+   `factor` times as many as hold the item's rarest n-gram that occurs at all.
+4. A second pass looks all n-grams up in whole texts. One at word p of a text and word o of an item puts the item at p - o; each such
+   place is a window around the item's length. A window with a rare seed is aligned. One with frequent n-grams only is aligned
+   unless too few words of the item stand in it for a score of `least` (`within_reach`): that bound is exact, so
+   `rare` and `factor` decide what is computed, never what is found.
+5. The item is aligned in the window, word by word, by Smith-Waterman (equal
    words `MATCH`, other words and gaps `MISS`). All windows of a slice of texts advance together, one item word at a time.
-   The score is the best local alignment over that of an exact copy.
+   The score is the best local alignment over that of an exact copy. A copy that keeps no `n` words of the item in a row has no window.
 
 Texts are never shuffled, and a hot document or item is only more windows in its own task.
 
@@ -30,9 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.tables import materialise
-from llm.textkit import LETTER_WORDS, Words, rolling, slices
+from llm.textkit import LETTER_WORDS, Words, mix64, rolling, slices
 
 MATCH, MISS = 2, -1
+#: Places of n-grams that are spread out at a time.
+PLACES = 1 << 20
 PAIRS = "doc_id long, item_id long, score double, end_word long"
 
 
@@ -100,14 +105,14 @@ def frequencies(batches: Iterator[pa.RecordBatch], items: Items, n: int) -> Iter
     )
 
 
-def rare_seeds(items: Items, docs: np.ndarray, total: int, rare: float, factor: int) -> Items:
-    """Only the places of n-grams that are rare for their item."""
+def seen_seeds(items: Items, docs: np.ndarray, total: int, rare: float, factor: int) -> tuple[Items, np.ndarray]:
+    """Only the places of n-grams that occur, and which of them are rare for their item."""
     held = np.repeat(docs, np.diff(items.spans))
     seen = held > 0
     least = np.full(len(items.ids), np.iinfo(np.int64).max)
     np.minimum.at(least, items.owner[seen], held[seen])
     bound = np.maximum(rare * total, factor * least[items.owner].astype(float))
-    return items.only(seen & (held <= bound))
+    return items.only(seen), (held <= bound)[seen]
 
 
 def aligned(items: np.ndarray, lengths: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,48 +139,82 @@ def aligned(items: np.ndarray, lengths: np.ndarray, texts: np.ndarray) -> tuple[
     return best, end
 
 
-def window_scores(words: Words, items: Items, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, item, score, last word) of every window of a slice that holds a seed."""
-    doc, place, gram = hits(words, items.grams, n)
-    counts = items.spans[gram + 1] - items.spans[gram]
-    which = np.repeat(items.spans[gram], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    doc, place = np.repeat(doc, counts), np.repeat(place, counts)
-    item = items.owner[which]
-    length = np.diff(items.first)[item]
-    tile = (place - items.offset[which]) // length
-    keys = np.unique(np.column_stack([item, doc, tile]), axis=0) if len(doc) else np.zeros((0, 3), np.int64)
-    out = []
-    for part in np.array_split(keys, max(1, -(-len(keys) // 256))):
-        if not len(part):
+def within_reach(items: np.ndarray, lengths: np.ndarray, texts: np.ndarray, least: float) -> np.ndarray:
+    """Whether a window has enough of its item's words for a score of `least`, for rows as in `aligned`.
+
+    Every match takes a word of the item and an equal one of the window, so that share of the words has to meet.
+    """
+    salt = mix64(np.arange(len(items), dtype=np.uint64))[:, None]
+    row, column = np.nonzero(np.arange(items.shape[1]) < lengths[:, None])
+    sought, at, wanted = np.unique((items ^ salt)[row, column], return_index=True, return_counts=True)
+    there = (texts ^ salt)[texts != 0]
+    place = np.minimum(np.searchsorted(sought, there), len(sought) - 1)
+    found = np.bincount(place[sought[place] == there], minlength=len(sought))
+    return np.bincount(row[at], np.minimum(wanted, found), len(items)) >= least * lengths - 1e-9
+
+
+def windows(words: Words, items: Items, rare: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(item, document, tile) of the windows of a slice that hold an n-gram, and whether it is a rare seed; some may come twice."""
+    every_doc, every_place, every_gram = hits(words, items.grams, n)
+    ends = np.cumsum(np.diff(items.spans)[every_gram])
+    cuts = np.flatnonzero(np.diff(ends // PLACES, prepend=0))
+    for at in np.split(np.arange(len(ends)), cuts):
+        if not len(at):
             continue
-        item, doc, tile = part.T
-        length = np.diff(items.first)[item]
-        slack = length // 4 + n
-        start = np.maximum(tile * length - slack, 0)
-        size = words.first[doc + 1] - words.first[doc]
-        stop = np.minimum((tile + 2) * length + slack, size)
-        wide, deep = int((stop - start).max()), int(length.max())
-        column = start[:, None] + np.arange(wide)
-        index = np.minimum(words.first[doc][:, None] + column, len(words.hashes) - 1)
-        texts = np.where(column < stop[:, None], words.hashes[index], np.uint64(0))
-        row = np.arange(deep)
-        sought = items.words[np.minimum(items.first[item][:, None] + row, len(items.words) - 1)]
-        best, end = aligned(sought, length, texts)
-        out.append((doc, item, best / (MATCH * length), start + end))
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else tuple(np.zeros(0, t) for t in (int, int, float, int))
-
-
-def scored_windows(batches: Iterator[pa.RecordBatch], items: Items, n: int, least: float) -> Iterator[pa.RecordBatch]:
+        doc, place, gram = every_doc[at], every_place[at], every_gram[at]
+        counts = items.spans[gram + 1] - items.spans[gram]
+        which = np.repeat(items.spans[gram], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        doc, place = np.repeat(doc, counts), np.repeat(place, counts)
+        item = items.owner[which]
+        tile = (place - items.offset[which]) // np.diff(items.first)[item]
+        order = np.lexsort((~rare[which], tile, doc, item))
+        keys = np.column_stack([item, doc, tile])[order]
+        first = np.ones(len(keys), bool)
+        first[1:] = (keys[1:] != keys[:-1]).any(1)
+        yield keys[first], rare[which][order][first]
+
+
+def window_scores(
+    words: Words, items: Items, rare: np.ndarray, n: int, least: float
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(document, item, score, last word) of the windows of a slice that reach `least`."""
+    for keys, seeded in windows(words, items, rare, n):
+        for at in np.array_split(np.arange(len(keys)), -(-len(keys) // 256)):
+            item, doc, tile = keys[at].T
+            length = np.diff(items.first)[item]
+            slack = length // 4 + n
+            start = np.maximum(tile * length - slack, 0)
+            size = words.first[doc + 1] - words.first[doc]
+            stop = np.minimum((tile + 2) * length + slack, size)
+            wide, deep = int((stop - start).max()), int(length.max())
+            column = start[:, None] + np.arange(wide)
+            index = np.minimum(words.first[doc][:, None] + column, len(words.hashes) - 1)
+            texts = np.where(column < stop[:, None], words.hashes[index], np.uint64(0))
+            row = np.arange(deep)
+            sought = items.words[np.minimum(items.first[item][:, None] + row, len(items.words) - 1)]
+            go = seeded[at].copy()
+            if not go.all():
+                go[~go] = within_reach(sought[~go], length[~go], texts[~go], least)
+            if not go.any():
+                continue
+            best, end = aligned(sought[go], length[go], texts[go])
+            score = best / (MATCH * length[go])
+            keep = score >= least
+            yield doc[go][keep], item[go][keep], score[keep], (start[go] + end)[keep]
+
+
+def scored_windows(
+    batches: Iterator[pa.RecordBatch], items: Items, rare: np.ndarray, n: int, least: float
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0)
         for at, words in slices(batch.column(1), LETTER_WORDS):
-            doc, item, score, end = window_scores(words, items, n)
-            keep = score >= least
-            if keep.any():
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(doc[keep] + at)), pa.array(items.ids[item[keep]]), pa.array(score[keep]), pa.array(end[keep])],
-                    names=["doc_id", "item_id", "score", "end_word"],
-                )
+            for doc, item, score, end in window_scores(words, items, rare, n, least):
+                if len(doc):
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array(doc + at)), pa.array(items.ids[item]), pa.array(score), pa.array(end)],
+                        names=["doc_id", "item_id", "score", "end_word"],
+                    )
 
 
 def contaminated(
@@ -205,9 +244,9 @@ def contaminated(
         docs_with = np.zeros(len(block.grams), np.int64)
         number = sums.pop(-1, 0)
         docs_with[list(sums)] = list(sums.values())
-        seeds = rare_seeds(block, docs_with, number, rare, factor)
+        seeds, are_rare = seen_seeds(block, docs_with, number, rare, factor)
         if len(seeds.grams):
-            found.append(texts.mapInArrow(partial(scored_windows, items=seeds, n=n, least=least), PAIRS))
+            found.append(texts.mapInArrow(partial(scored_windows, items=seeds, rare=are_rare, n=n, least=least), PAIRS))
     if not found:
         return spark.createDataFrame([], PAIRS)
     return (

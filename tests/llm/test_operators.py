@@ -188,6 +188,29 @@ def test_benchmark_copies(spark, docs):
     assert left.columns == ["doc_id", "text"] and left.count() == len(ROWS) + 2
 
 
+def test_frequent_truncated_copies_keep_a_window(spark):
+    item = " ".join(f"leak{i}" for i in range(20))
+    start = " ".join(item.split()[:12])
+    rows = [(0, item)] + [(i, f"a{i} b{i} {start} c{i} d{i}") for i in range(1, 61)] + [(i, f"e{i} {item[-23:]}") for i in range(61, 64)]
+    frame, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    for options in ({}, {"rare": 0.0, "factor": 1}, {"rare": 1.0}):
+        got = {r.doc_id: r.score for r in decontaminate.contaminated(frame, bench, **options).collect()}
+        assert got == {0: 1.0} | {i: 0.6 for i in range(1, 61)}, options
+
+
+def test_reach_is_a_bound_of_the_score():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    items, texts = rng.integers(1, 9, (400, 12)).astype(np.uint64), rng.integers(1, 12, (400, 30)).astype(np.uint64)
+    lengths = rng.integers(4, 13, 400)
+    texts[::3, 20:] = 0
+    scores = decontaminate.aligned(items, lengths, texts)[0] / (2 * lengths)
+    for least in (0.5, 0.75, 0.9):
+        near = decontaminate.within_reach(items, lengths, texts, least)
+        assert near[scores >= least].all() and (~near).any()
+
+
 def smith_waterman(a, b):
     table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a, 1):

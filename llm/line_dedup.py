@@ -101,13 +101,13 @@ def streamed_drops(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator
         goes_on = key == (high[0], low[0])
         if goes_on:
             fresh[0] = doc[0] != last
-        counts = np.add.reduceat(np.where(fresh, np.where(common, min_docs, 1), 0), starts)
+        counts = np.add.reduceat(fresh + min_docs * common, starts)
         keepers = doc[starts]
         if goes_on:
             counts[0] += count
             keepers[0] = keeper
-        if held and (not goes_on or counts[0] >= min_docs):
-            if goes_on:
+        if held and (not goes_on or counts[0] >= min_docs or len(starts) > 1):
+            if goes_on and counts[0] >= min_docs:
                 yield dropped_rows([np.concatenate(x) for x in zip(*held)])
             held = []
         lower = doc != np.repeat(keepers, sizes)

@@ -268,6 +268,21 @@ def test_line_stream_over_batches():
         assert sorted(out) == [(2, 7, 1), (3, 7, 2), (5, 7, 0)], size
 
 
+def test_line_stream_forgets_a_key_of_too_few_documents():
+    import pyarrow as pa
+
+    names = ["high", "low", "doc_id", "body", "line", "common"]
+    rare = [(1, 1, d, 7, n, False) for d, n in ((9, 0), (5, 1), (5, 2), (5, 3))]
+    often = [(2, 1, d, 7, 0, False) for d in (8, 7, 6)]
+    # The same document from two batches, of which only the second saw enough documents.
+    mixed = [(3, 1, 8, 7, 0, False), (3, 1, 8, 7, 4, True), (3, 1, 2, 7, 0, False)]
+    for rows, want in ((rare + often, [(6, 7, 0), (7, 7, 0)]), (rare + often + mixed, [(2, 7, 0), (6, 7, 0), (7, 7, 0)])):
+        for size in (1, 2, 3, 4):
+            parts = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + size])], names=names) for i in range(0, len(rows), size)]
+            out = [tuple(r.values()) for b in line_dedup.streamed_drops(iter(parts), 3) for r in b.to_pylist()]
+            assert sorted(out) == want, (size, out)
+
+
 def test_mixing(spark, docs):
     got = mixing.mixed(docs).collect()
     assert len(got) == len(ROWS)

@@ -237,6 +237,19 @@ def test_licence_lines(spark, docs):
     assert got == {(400, 1): "apache", (400, 2): "unknown", (401, 0): "mit", (402, 0): "cc-by-nc", (403, 0): "gpl", (404, 0): "unknown"}
 
 
+def test_wrapped_and_short_licences(spark):
+    gpl = licences.TEMPLATES["gpl"][1].split()
+    rows = [(n, "Prose before it.\n\n" + "\n".join(" * " + " ".join(gpl[i : i + n]) for i in range(0, len(gpl), n)) + "\n\nA new part.") for n in (3, 4, 9)]
+    names = {"CC-BY-SA 4.0": "cc-by-sa", "GPLv3": "gpl", "MPL-2.0": "mozilla", "BSD 3-Clause": "bsd", "GNU/GPL": "gpl", "the public\nwas free": None, "GPL": "unknown"}
+    rows += list(enumerate(names, 100))
+    rows += [(200, "SPDX-License-Identifier: MIT\nSPDX-License-Identifier: Apache-2.0")]
+    got = {(r.doc_id, r.line): r.family for r in licences.licence_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for n in (3, 4, 9):
+        assert {k[1]: f for k, f in got.items() if k[0] == n} == dict.fromkeys(range(2, 2 + -(-len(gpl) // n)), "gpl"), n
+    assert {i: got.get((i, 0)) for i in range(100, 107)} == dict(enumerate(names.values(), 100))
+    assert (got[200, 0], got[200, 1]) == ("mit", "apache")
+
+
 def test_line_dedup(docs):
     holders = defaultdict(set)
     strip = lambda x: x.encode().strip().lower()

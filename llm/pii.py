@@ -1,8 +1,9 @@
 """Personal data: overlapping candidate spans, boosted trees over their format and context, a calibrated threshold.
 
 Generators are regular expressions with high recall. Four of them, with their checks, are the *base* and always
-count; other matches, and those that fail a check, are candidates. A candidate's label is whether a base span of its kind overlaps it. Trees
-over format (digits, separators, leading plus) and context (neighbouring characters, a hint before it) are boosted on the counts of all
+count; other matches, and those that fail a check, are candidates. Trees are fitted on the matches of the base generators, of which
+those that pass their check are positive and those that fail it negative. Their features are shared by all generators: kind,
+format (digits, Luhn's check of a card, separators, leading plus) and context (neighbouring characters, a hint before it). They are boosted on the counts of all
 feature combinations, four fifths of the documents for the fit and one for the threshold: the lowest score from which
 on the calibrated share of base spans in that fifth is at least `precision`. Candidates above it that overlap no base span are added.
 
@@ -40,7 +41,7 @@ GENERATORS = {
     "local_phone": (3, "plain", r"(?<![0-9+])(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])", False),
 }
 HINTS = ("tel|phone|call|fon|móvil|tél", "card|visa|carte|tarjeta|karte", "mail|contact|kontakt", "host|addr|server", "token|key|secret|=")
-FEATURES = ["kind", "generator", "digits", "separators", "plus", "char_before", "char_after", "hint"]
+FEATURES = ["kind", "digits", "luhn", "separators", "plus", "char_before", "char_after", "hint"]
 
 
 def luhn(digits: Column) -> Column:
@@ -112,7 +113,8 @@ def checked(found: DataFrame) -> DataFrame:
     )
     return placed.select(
         "doc_id", "row", "kind", "generator", "start", (F.col("start") + F.length("match")).alias("end"),
-        (F.col("base") & valid).alias("base"), F.least(n, F.lit(20)).alias("digits"),
+        F.col("base").alias("fitted"), (F.col("base") & valid).alias("base"), F.least(n, F.lit(20)).alias("digits"),
+        F.when(F.col("kind") == 2, luhn(digits).cast("int")).otherwise(0).alias("luhn"),
         F.least(F.length(F.regexp_replace("match", "[A-Za-z0-9]", "")), F.lit(4)).alias("separators"),
         F.col("match").startswith("+").cast("int").alias("plus"), char_class(F.substring("before", -1, 1)).alias("char_before"),
         char_class(F.col("after")).alias("char_after"), hint.alias("hint"),
@@ -129,15 +131,15 @@ def overlapped(*by: str) -> Column:
 
 
 def with_overlap(spans: DataFrame) -> DataFrame:
-    """Spans with the label, an overlap with a base span of their kind, and with one of any kind."""
-    return spans.withColumn("label", overlapped("row", "kind")).withColumn("overlaps", overlapped("row"))
+    """Spans with whether a base span of any kind overlaps them."""
+    return spans.withColumn("overlaps", overlapped("row"))
 
 
 def redactions(spans: DataFrame, precision: float = 0.9) -> tuple[Column, Column]:
-    """Score of a candidate and whether it is to be redacted, fitted on all candidates (from `with_overlap`)."""
+    """Score of a candidate and whether it is to be redacted, fitted on the matches of the base generators (from `with_overlap`)."""
     fold = (F.pmod(F.xxhash64("row"), F.lit(5)) == 0).cast("int").alias("fold")
-    counts = spans.filter("kind IS NOT NULL").groupBy(*FEATURES, fold).agg(
-        F.sum((~F.col("label")).cast("long")).alias("no"), F.sum(F.col("label").cast("long")).alias("yes")
+    counts = spans.filter("fitted").groupBy(*FEATURES, fold).agg(
+        F.sum((~F.col("base")).cast("long")).alias("no"), F.sum(F.col("base").cast("long")).alias("yes")
     )
     table = np.array(sorted(map(tuple, counts.collect())), np.int64).reshape(-1, len(FEATURES) + 3)
     x, late, no, yes = table[:, : len(FEATURES)], table[:, -3] == 1, table[:, -2].astype(float), table[:, -1].astype(float)

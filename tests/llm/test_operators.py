@@ -173,6 +173,19 @@ def test_private_spans(spark, docs):
     assert hidden.startswith("mail me at <email> or <phone> now, 10.0.0.256 <ip>, <card>")
 
 
+def test_private_spans_of_other_forms_are_added(spark):
+    good, bad = ("4111 1111 1111 1111", "5500 0000 0000 0004", "3400 0000 0000 009"), ("4111 1111 1111 1112", "5500 0000 0000 0005", "3400 0000 0000 001")
+    forms = [*(f"card {c} ok" for c in good), *(f"card {c} no" for c in bad), "mail a.b@c.org now", "host 10.0.0.1 up", "host 10.0.0.256 up", "call +1 555 010 9999 now", "see +12 34 x"]
+    rows = [(i, forms[i % len(forms)]) for i in range(30 * len(forms))]
+    # Many of each, as on a corpus.
+    planted = {"card 4111.1111.1111.1111 ok": "card:5:24", "card 4111.1111.1111.1112 ok": "", "mail joe (at) host.com now": "email:5:22"}
+    rows += [(1000 + i, list(planted)[i % 3]) for i in range(600)]
+    got = {r.doc_id: r.spans for r in pii.private_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in range(600):
+        want = list(planted.values())[i % 3]
+        assert (want in got[1000 + i].split(",")) if want else got[1000 + i] == "", (rows[len(rows) - 600 + i], got[1000 + i])
+
+
 def test_benchmark_copies(spark, docs):
     item = "The quick, brown fox jumps over the lazy dog while seven wizards brew potent quince jelly for kings."
     edited = item.replace("lazy", "sleepy").replace("potent", "strong").upper()

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from llm import chat, decontaminate, exact_dedup, licences, line_dedup, mixing, ngram_join, pii, quality, sharding
+from llm import chat, decontaminate, exact_dedup, licences, line_dedup, merkle, mixing, ngram_join, pii, quality, sharding
 from llm.tables import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -125,13 +126,82 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted(table(spark, sf_dir, "conversations"))
 
 
+def crc32_sql(text: str) -> str:
+    """The unsigned CRC-32 of a short ASCII string, bit by bit."""
+    step = "list_reduce([xor(c, b)] || list_transform(range(8), lambda i: 0::BIGINT), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    bytes_of = f"list_transform(regexp_extract_all({text}, '.'), lambda ch: ascii(ch)::BIGINT)"
+    return f"xor(list_reduce([4294967295::BIGINT] || {bytes_of}, lambda c, b: {step}), 4294967295)"
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(tampered, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    found = merkle.manifest(docs, text)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
+def _leaf_sql(text: str) -> str:
+    parts = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({p})::VARCHAR || ':' || {p}, '-')" for p in parts) + ")"
+
+
+OP11_SQL = f"""WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, {_leaf_sql('text')} AS leaf,
+    {_leaf_sql(f"CASE WHEN {crc32_sql('CAST(doc_id AS VARCHAR)')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")} AS shown
+  FROM documents),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank, count(*) OVER (PARTITION BY source) AS n FROM leaves),
+nodes AS (
+  SELECT 0 AS level, source, rank AS place, n, leaf AS digest FROM ranked
+  UNION ALL
+  SELECT level + 1, source, place // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY place)) FROM nodes WHERE n > 1
+  GROUP BY level, source, place // 3, n),
+crowns AS (
+  SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS rank, count(*) OVER () AS n FROM nodes WHERE n = 1),
+upper_nodes AS (
+  SELECT 0 AS level, rank AS place, n, subroot AS digest FROM crowns
+  UNION ALL
+  SELECT level + 1, place // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY place)) FROM upper_nodes WHERE n > 1 GROUP BY level, place // 3, n),
+ways AS (
+  SELECT r.doc_id, r.leaf, r.shown, r.source, r.rank, c.subroot, c.rank AS crown, 0 AS level, false AS above, r.rank AS place, r.n
+  FROM ranked r JOIN crowns c ON r.source IS NOT DISTINCT FROM c.source
+  UNION ALL
+  SELECT doc_id, leaf, shown, source, rank, subroot, crown, CASE WHEN n = 1 THEN 0 ELSE level + 1 END, above OR n = 1,
+    CASE WHEN n = 1 THEN crown ELSE place // 3 END, CASE WHEN n = 1 THEN (SELECT count(*) FROM crowns) ELSE (n + 2) // 3 END
+  FROM ways WHERE NOT (above AND n = 1)),
+steps AS (
+  SELECT w.doc_id, w.source, w.rank, w.above, w.level,
+    coalesce(string_agg(coalesce(a.digest, b.digest), '' ORDER BY coalesce(a.place, b.place)) FILTER (WHERE coalesce(a.place, b.place) < w.place), '') AS l,
+    coalesce(string_agg(coalesce(a.digest, b.digest), '' ORDER BY coalesce(a.place, b.place)) FILTER (WHERE coalesce(a.place, b.place) > w.place), '') AS r
+  FROM ways w
+  LEFT JOIN nodes a ON NOT w.above AND a.level = w.level AND a.source IS NOT DISTINCT FROM w.source AND a.place // 3 = w.place // 3
+  LEFT JOIN upper_nodes b ON w.above AND b.level = w.level AND b.place // 3 = w.place // 3
+  WHERE w.n > 1 GROUP BY w.doc_id, w.source, w.rank, w.above, w.level, w.place),
+paths AS (
+  SELECT source, rank, list({{'l': l, 'r': r}} ORDER BY above, level) AS path, string_agg(l || r, '' ORDER BY above, level) AS proof
+  FROM steps GROUP BY source, rank),
+folded AS (
+  SELECT r.source, r.rank, coalesce(p.path, []) AS path, coalesce(p.proof, '') AS proof, r.shown AS node, 0 AS i
+  FROM ranked r LEFT JOIN paths p ON r.source IS NOT DISTINCT FROM p.source AND r.rank = p.rank
+  UNION ALL
+  SELECT source, rank, path, proof, sha256(path[i + 1].l || node || path[i + 1].r), i + 1 FROM folded WHERE i < len(path))
+SELECT r.doc_id, r.leaf, c.subroot, u.digest AS root, sha256(f.proof) AS proof_sha256, f.node AS folded_root, f.node = u.digest AS verified
+FROM ranked r JOIN crowns c ON r.source IS NOT DISTINCT FROM c.source
+JOIN folded f ON r.source IS NOT DISTINCT FROM f.source AND r.rank = f.rank AND f.i = len(f.path)
+JOIN upper_nodes u ON u.n = 1"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_private_spans, op3_benchmark_decontamination, op4_licence_scan, op5_line_dedup,
-        op6_pareto_mixing, op7_quality_classifier, op8_exact_dedup, op9_two_pass_sharding, op10_chat_format,
+        op6_pareto_mixing, op7_quality_classifier, op8_exact_dedup, op9_two_pass_sharding, op10_chat_format, op11_merkle_manifest,
     )
 }
 ORACLES = {
     "op1_ngram_jaccard_join": OP1_SQL, "op5_line_dedup": OP5_SQL, "op6_pareto_mixing": OP6_SQL, "op8_exact_dedup": OP8_SQL,
+    "op11_merkle_manifest": OP11_SQL,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, decontaminate, exact_dedup, licences, line_dedup, merkle, mixing, ngram_join, pii, quality, sharding
+from llm import chat, decontaminate, exact_dedup, licences, line_dedup, merkle, mixing, ngram_join, pii, prefix_trie, quality, sharding
 from llm.tables import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -194,14 +194,45 @@ JOIN folded f ON r.source IS NOT DISTINCT FROM f.source AND r.rank = f.rank AND
 JOIN upper_nodes u ON u.n = 1"""
 
 
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = prefix_trie.conversations_of(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv_id")
+    rebuilt = prefix_trie.spliced(whole, conv - conv % 100, F.crc32(conv.cast("string").cast("binary")) % 6)
+    return prefix_trie.trie(rebuilt)
+
+
+OP13_SQL = f"""WITH given AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+lent AS (
+  SELECT c.conv_id, c.turns, coalesce(b.turns, []) AS head, {crc32_sql('CAST(c.conv_id AS VARCHAR)')} % 6 AS h
+  FROM given c LEFT JOIN given b ON b.conv_id = c.conv_id - c.conv_id % 100),
+rebuilt AS (SELECT conv_id, head[1:h] || turns[h + 1:] AS turns FROM lent),
+begun AS (SELECT conv_id, d AS depth, turns[1:d] AS path, d = len(turns) AS ended FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(length(path[depth].t), 0) AS length,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ended), '')) AS ends_sha256
+  FROM begun GROUP BY depth, path),
+fertile AS (SELECT depth - 1 AS depth, path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+known AS (
+  SELECT n.*, coalesce(f.n_children, 0) AS n_children, (n.n_convs - 1) * n.length AS saved
+  FROM nodes n LEFT JOIN fertile f ON f.depth = n.depth AND f.path = n.path),
+under AS (SELECT unnest(range(depth + 1)) AS up, path, n_children = 0 AS leaf, saved FROM known),
+sums AS (SELECT up AS depth, path[1:up] AS path, count(*) FILTER (WHERE leaf) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM under GROUP BY 1, 2)
+SELECT k.conv_id, k.depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children, s.n_leaves, s.saved_tokens, k.ends_sha256
+FROM known k JOIN sums s ON s.depth = k.depth AND s.path = k.path
+LEFT JOIN nodes p ON p.depth = k.depth - 1 AND p.path = k.path[1:k.depth - 1]"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_private_spans, op3_benchmark_decontamination, op4_licence_scan, op5_line_dedup,
         op6_pareto_mixing, op7_quality_classifier, op8_exact_dedup, op9_two_pass_sharding, op10_chat_format, op11_merkle_manifest,
+        op13_conversation_prefix_trie,
     )
 }
 ORACLES = {
     "op1_ngram_jaccard_join": OP1_SQL, "op5_line_dedup": OP5_SQL, "op6_pareto_mixing": OP6_SQL, "op8_exact_dedup": OP8_SQL,
-    "op11_merkle_manifest": OP11_SQL,
+    "op11_merkle_manifest": OP11_SQL, "op13_conversation_prefix_trie": OP13_SQL,
 }

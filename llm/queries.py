@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import chat, decontaminate, exact_dedup, licences, line_dedup, merkle, mixing, ngram_join, pii, prefix_trie, quality, sharding
+from llm import (
+    chat, decontaminate, exact_dedup, language_model, licences, line_dedup, merkle, mixing, ngram_join, pii, prefix_trie, quality, sharding,
+)
 from llm.tables import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -194,6 +196,11 @@ JOIN folded f ON r.source IS NOT DISTINCT FROM f.source AND r.rank = f.rank AND
 JOIN upper_nodes u ON u.n = 1"""
 
 
+def op12_language_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learned = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2
+    return language_model.scores(table(spark, sf_dir, "documents"), learned)
+
+
 def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = prefix_trie.conversations_of(table(spark, sf_dir, "conversations"))
     conv = F.col("conv_id")
@@ -229,7 +236,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_ngram_jaccard_join, op2_private_spans, op3_benchmark_decontamination, op4_licence_scan, op5_line_dedup,
         op6_pareto_mixing, op7_quality_classifier, op8_exact_dedup, op9_two_pass_sharding, op10_chat_format, op11_merkle_manifest,
-        op13_conversation_prefix_trie,
+        op12_language_model_scores, op13_conversation_prefix_trie,
     )
 }
 ORACLES = {

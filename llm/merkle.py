@@ -23,6 +23,7 @@ from llm.tables import materialise
 
 ARITY = 3
 DIGITS = 6
+PATH = "array<struct<left:string,right:string>>"
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -81,7 +82,7 @@ def nested(leaves: DataFrame) -> DataFrame:
     return split
 
 
-def leaf_proofs(kids: Column, n: Column, above: Column, level: int = DIGITS - 1) -> Column:
+def leaf_proofs(kids: Column, n: Column, above: Column, level: int) -> Column:
     """All (item, digest, path) of a block, as one array; `path` is an array of (left, right) digests, from the leaf upwards."""
 
     def down(kid: Column, place: Column) -> Column:
@@ -89,7 +90,7 @@ def leaf_proofs(kids: Column, n: Column, above: Column, level: int = DIGITS - 1)
         step = F.struct(
             side(lambda k: k["digit"] < kid["digit"]).alias("left"), side(lambda k: k["digit"] > kid["digit"]).alias("right")
         )
-        path = F.when(n <= ARITY**level, above).otherwise(F.concat(F.array(step), above))
+        path = F.concat(F.when(n > ARITY**level, F.array(step)).otherwise(F.array().cast(PATH)), above)
         if level:
             return leaf_proofs(kid["kids"], n, path, level - 1)
         return F.array(F.struct(kid["kids"].alias("item"), kid["digest"].alias("digest"), path.alias("path")))
@@ -111,9 +112,6 @@ def storeys(leaves: DataFrame) -> list[DataFrame]:
         )
 
 
-PATH = "array<struct<left:string,right:string>>"
-
-
 def handed_down(blocks: DataFrame, tops: DataFrame) -> DataFrame:
     """(tree, item, digest, path, subroot, root) of what lies in `blocks`, given (tree, block, path, subroot, root) of every block.
 
@@ -126,7 +124,7 @@ def handed_down(blocks: DataFrame, tops: DataFrame) -> DataFrame:
         *(F.first(c, ignorenulls=True).alias(c) for c in ("n", "kids", "path", "subroot", "root"))
     )
     return whole.select(
-        "tree", "subroot", "root", F.explode(leaf_proofs(F.col("kids"), F.col("n"), F.col("path"))).alias("leaf")
+        "tree", "subroot", "root", F.explode(leaf_proofs(F.col("kids"), F.col("n"), F.col("path"), DIGITS - 1)).alias("leaf")
     ).select("tree", "leaf.item", "leaf.digest", "leaf.path", "subroot", "root")
 
 

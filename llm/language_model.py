@@ -10,7 +10,8 @@ counts of them to buckets of the hash space (so a frequent n-gram is one entry a
 totals in the order asked. With them a block builds the part of the automaton its texts can reach, and traverses it from left to right, all pieces of
 a block in step, carrying a state each. A piece starts some words early, which is enough to be in the state of the whole traversal.
 
-N-grams are compared by 64-bit hashes between blocks (and exactly within one). Log-probabilities are whole multiples of 1e-12, so sums do not depend
+Between blocks, words are compared by 64-bit hashes, and longer n-grams by as many bits as number them all and 30 more (at most 64), so a chance
+collision anywhere is unlikely at every size; within a block they are compared exactly. Log-probabilities are whole multiples of 1e-12, so sums do not depend
 on order or partitioning. No n-gram is pruned. A block, a bucket and the longest text are what a task holds.
 
 Defined results: null texts are empty, and an empty text is one end token. Rows without id are learned from. Repeated rows are all learned from and
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm import textkit
-from llm.tables import materialise
+from llm.tables import materialise, shuffles_released
 
 ORDER = 3
 #: Strength of the prior for contexts of one word, two words, ...
@@ -38,7 +39,10 @@ MASS = (200.0, 50.0)
 PIECE = 1024
 BLOCK_TOKENS = 1 << 20
 BUCKET_GRAMS = 1 << 20
+#: Keys of n-grams of two and more words have so many bits more than numbering all n-grams needs (64 at most; words always have 64).
+SPARE_BITS = 30
 SCALE = 10**12
+CODEC = pa.Codec("zstd", compression_level=1)
 START, END = (textkit.mix64(np.array([n], np.uint64))[0] for n in (11, 12))
 START_ID, END_ID = 0, 1
 
@@ -49,12 +53,14 @@ BLOCKS_DDL = (
 
 
 def planes(values: np.ndarray, width: int) -> bytes:
-    """Little-endian integers byte by byte of equal weight, which leaves long runs of zeros to the shuffle's compression."""
-    return np.ascontiguousarray(values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes()
+    """Little-endian integers as compressed bytes, those of equal weight together; the number of integers comes first."""
+    bare = np.ascontiguousarray(values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes()
+    return len(values).to_bytes(4, "little") + CODEC.compress(bare, asbytes=True)
 
 
 def unplaned(data: bytes, width: int) -> np.ndarray:
-    rows = np.frombuffer(data, np.uint8).reshape(width, -1)
+    n = int.from_bytes(data[:4], "little")
+    rows = np.frombuffer(CODEC.decompress(data[4:], n * width), np.uint8).reshape(width, -1)
     return np.ascontiguousarray(rows.T).view(f"<u{width}").ravel()
 
 
@@ -151,11 +157,13 @@ def block_of(row: dict) -> Block:
     return Block(np.frombuffer(row["words"], "<u8"), unplaned(row["ids"], 4).astype(np.int64), starts, sizes, leads, learned, scored)
 
 
-def levels(block: Block, order: int) -> list[Level]:
+def levels(block: Block, order: int, bits: int) -> list[Level]:
+    """All k-grams of a block; keys of k > 1 keep the upper `bits` of their hash."""
+    spare = np.uint64(64 - bits)
     w, n = len(block.words), len(block.ids)
     place = np.arange(n) - np.repeat(block.starts, block.sizes)
     every = np.arange(w)
-    made = [Level(every, block.ids, np.zeros(w, np.int64), every, np.zeros(w, np.int64), block.words)]
+    made, hashes = [Level(every, block.ids, np.zeros(w, np.int64), every, np.zeros(w, np.int64), block.words)], block.words
     for k in range(2, order + 1):
         below = made[-1]
         ends = np.flatnonzero(place >= k - 1)
@@ -164,8 +172,8 @@ def levels(block: Block, order: int) -> list[Level]:
         at[ends] = found
         prefix, last = codes // w, codes % w
         suffix = np.searchsorted(below.codes, below.suffix[prefix] * w + last)
-        keys = textkit.mix64(below.keys[prefix] * textkit.POWER + block.words[last])
-        made.append(Level(codes, at, prefix, last, suffix, keys))
+        hashes = textkit.mix64(hashes[prefix] * textkit.POWER + block.words[last])
+        made.append(Level(codes, at, prefix, last, suffix, hashes >> spare << spare))
     return made
 
 
@@ -185,23 +193,37 @@ def bucket_cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.append(np.searchsorted(keys, edges), len(keys))
 
 
+def wide_enough(count: int) -> int:
+    return min(64, count.bit_length() + SPARE_BITS)
+
+
 GRAMS = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("k", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
-def grams(batches: Iterator[pa.RecordBatch], order: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def shift_of(k: int, bits: int) -> np.uint64:
+    return np.uint64(64 - bits if k > 1 else 0)
+
+
+def grams(batches: Iterator[pa.RecordBatch], order: int, buckets: int, bits: int) -> Iterator[pa.RecordBatch]:
     """A row per (bucket, block, k): ascending keys as differences, and the block's counts."""
+    for row in rows_of(batches):
+        block, out = block_of(row), []
+        for k, level in enumerate(levels(block, order, bits), 1):
+            rank = np.argsort(level.keys, kind="stable")
+            keys, counts = level.keys[rank], own_counts(block, level, k)[rank]
+            cuts = bucket_cuts(keys, buckets)
+            keys = keys >> shift_of(k, bits)
+            for b in np.flatnonzero(np.diff(cuts)):
+                a, z = cuts[b], cuts[b + 1]
+                steps = np.diff(keys[a:z], prepend=np.uint64(0))
+                out.append((int(b), row["block"], k, planes(steps, 8), planes(counts[a:z], 4)))
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), GRAMS)], schema=GRAMS)
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
-        for row in batch.to_pylist():
-            block, out = block_of(row), []
-            for k, level in enumerate(levels(block, order), 1):
-                rank = np.argsort(level.keys)
-                keys, counts = level.keys[rank], own_counts(block, level, k)[rank]
-                cuts = bucket_cuts(keys, buckets)
-                for b in np.flatnonzero(np.diff(cuts)):
-                    a, z = cuts[b], cuts[b + 1]
-                    steps = np.diff(keys[a:z], prepend=np.uint64(0))
-                    out.append((int(b), row["block"], k, planes(steps, 8), planes(counts[a:z], 4)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), GRAMS)], schema=GRAMS)
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
 
 
 TOTALS_DDL = "block long, bucket int, k int, totals binary, tokens long, words long"
@@ -307,11 +329,11 @@ SCORED = pa.schema([
 SCORED_DDL = "row long, doc_id long, learn boolean, n_tokens long, n_known long, base long, score long"
 
 
-def block_scores(blocks: pa.Table, answers: pa.Table, order: int, tokens: int, words: int, mass: tuple[float, ...]) -> pa.Table:
+def block_scores(blocks: pa.Table, answers: pa.Table, order: int, bits: int, tokens: int, words: int, mass: tuple[float, ...]) -> pa.Table:
     """Per piece of one block: tokens, known tokens, base and model log-probability (in units of 1 / SCALE)."""
     row = blocks.to_pylist()[0]
     block = block_of(row)
-    stack = levels(block, order)
+    stack = levels(block, order, bits)
     by_level: dict[int, list] = {}
     for r in answers.select(["k", "bucket", "totals"]).to_pylist():
         by_level.setdefault(r["k"], []).append((r["bucket"], r["totals"]))
@@ -319,7 +341,7 @@ def block_scores(blocks: pa.Table, answers: pa.Table, order: int, tokens: int, w
     for k, level in enumerate(stack, 1):
         told = [unplaned(t, 8) for _, t in sorted(by_level.get(k, []))]
         counts = np.empty(len(level.codes), np.int64)
-        counts[np.argsort(level.keys)] = np.concatenate(told) if told else []
+        counts[np.argsort(level.keys, kind="stable")] = np.concatenate(told) if told else []
         totals.append(counts)
     machine = automaton(stack, totals, tokens, words, mass)
     scored = traversed(machine, block)
@@ -340,14 +362,15 @@ def scores(docs: DataFrame, learn: Column, order: int = ORDER, mass: tuple[float
     blocks = materialise(rows.mapInArrow(partial(tokenised, order=order), BLOCKS_DDL), "lm-blocks")
     # Three numbers reach the driver: tokens of all texts, and N and V of those learned from.
     every = blocks.agg(F.sum("tokens")).first()[0] or 0
-    buckets = max(1, -(-every * order // (2 * BUCKET_GRAMS)))
-    asked = blocks.mapInArrow(partial(grams, order=order, buckets=buckets), "bucket int, block long, k int, keys binary, counts binary")
-    totals = materialise(asked.groupBy("bucket").applyInArrow(added, TOTALS_DDL), "lm-totals")
+    buckets, bits = max(1, -(-every * order // (2 * BUCKET_GRAMS))), wide_enough(every * order)
+    asked = blocks.mapInArrow(partial(grams, order=order, buckets=buckets, bits=bits), "bucket int, block long, k int, keys binary, counts binary")
+    with shuffles_released(docs.sparkSession):
+        totals = materialise(asked.groupBy("bucket").applyInArrow(added, TOTALS_DDL), "lm-totals")
     tokens, words = totals.filter("block IS NULL").agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
     answers = totals.filter("block IS NOT NULL").select("block", "k", "bucket", "totals")
 
     def told(own: pa.Table, given: pa.Table) -> pa.Table:
-        return block_scores(own, given, order, tokens, words, mass)
+        return block_scores(own, given, order, bits, tokens, words, mass)
 
     pieces = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(told, SCORED_DDL)
     exact = lambda c: (F.sum(F.col(c).cast("decimal(38,0)")).cast("double") / F.lit(float(SCALE)))

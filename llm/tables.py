@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -10,13 +11,26 @@ from pyspark.sql import functions as F
 
 from peervane.session import materialise
 
-__all__ = ["components", "groups_of", "materialise", "table"]
+__all__ = ["components", "groups_of", "materialise", "shuffles_released", "table"]
+
+RELEASE_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def shuffles_released(spark) -> Iterator[None]:
+    """Within it, shuffle files go as soon as the table they made is stored, and do not wait for the driver to forget the plan."""
+    before = spark.conf.get(RELEASE_SETTING, None)
+    spark.conf.set(RELEASE_SETTING, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(RELEASE_SETTING) if before is None else spark.conf.set(RELEASE_SETTING, before)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node on a link (a, b); a component is named by its smallest node.
 

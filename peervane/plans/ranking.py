@@ -168,10 +168,7 @@ def rank(inputs: Inputs, settings: Settings, reference: dt.date) -> Ranking:
     )
     histories = aligned_returns(series.join(members.select("entity"), "entity", "left_semi"), inputs.rates)
     draws = materialise(resample_metrics(histories, resampling), "draws")
-    draw_edges = range_edges(draws, ["excess_return", "volatility", "max_drawdown", "return_per_risk"]) if edges else None
-    rates = stability(
-        scored, draws, weights, metrics, settings.directions, twins, resampling, chosen.top_n, draw_edges
-    )
+    rates = stability(scored, draws, weights, metrics, settings.directions, twins, resampling, chosen.top_n)
     ordered = scored.join(rates, ["profile", "entity"])
     gated = with_gates(ordered, chosen.max_annual_cost, chosen.declared_trusted_above, chosen.performance_floor)
     gated = gated.withColumn(

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from peervane.operators import backtest as bt
+from peervane.operators import peers as pe
 from peervane.operators import resample as rs
 from peervane.params import Backtest, Profile, Resampling, weights_table
 from peervane.session import materialise
@@ -153,9 +154,62 @@ def test_members_without_draws_stay_in_every_draw(spark):
 def test_a_metric_the_pool_lacks_is_left_out_of_the_draws(spark):
     pool = spark.createDataFrame([("p", e, "g", 2, 2, pct) for e, pct in (("x", 0.0), ("y", 1.0))], "profile string, entity string, peer_group string, peer_size long, pool_size long, volatility_pct double")
     draws = spark.createDataFrame([(e, d, v) for d in range(2) for e, v in (("x", 0.1), ("y", 0.2))], "entity string, draw int, volatility double")
-    weights = spark.createDataFrame([("p", "volatility"), ("p", "absent")], "profile string, metric string")
-    got = rs.ranked_draws(pool, draws, weights, ["volatility", "absent"], {"volatility": "low", "absent": "high"}, 2)
-    assert got.columns == ["profile", "draw", "entity", "volatility_pct"] and got.count() == 4
+    weights = spark.createDataFrame([("p", "volatility", 0, 60, 0), ("p", "absent", 1, 40, 0)], "profile string, metric string, ord int, effective_weight int, jitter int")
+    got = rs.scored_draws(pool, draws, weights, ["volatility", "absent"], {"volatility": "low", "absent": "high"}, Resampling(draws=2))
+    assert {(r["entity"], r["draw"], r["score"], r["score_variable_only"]) for r in got.collect()} == {(e, d, s, t) for d in range(2) for e, s, t in (("x", 60.0, 100.0), ("y", 0.0, 0.0))}
+
+
+def test_drawn_scores_equal_ranking_by_windows(spark):
+    rng = random.Random(4)
+    moving, metrics = list(rs.DRAWN_METRICS), ["size", *rs.DRAWN_METRICS]
+    directions = {m: "low" if m in ("volatility", "size") else "high" for m in metrics}
+    ids = range(23)
+    group = {i: "(universo inteiro)" if i % 4 == 0 else f"g{i % 3}" for i in ids}
+    size = {g: sum(x == g for x in group.values()) for g in group.values()}
+    pool = spark.createDataFrame(
+        [(p, i, group[i], len(ids) if i % 4 == 0 else size[group[i]], len(ids), rng.random(), 0.0) for p in ("p", "q") for i in ids],
+        "profile string, entity int, peer_group string, peer_size long, pool_size long, size_pct double, volatility_pct double",
+    )
+    pool = pool.withColumns({f"{m}_pct": F.lit(0.5) for m in moving})
+    drawn = [(i, d, *[None if rng.random() < 0.1 else rng.randrange(5) / 4 for _ in moving]) for i in ids if i != 7 for d in range(3)]
+    draws = spark.createDataFrame(drawn, "entity int, draw int, " + ", ".join(f"{m} double" for m in moving))
+    weights = weights_table(spark, [Profile("p", {"size": 40, "volatility": 60}), Profile("q", {m: 25 for m in moving})]).withColumnRenamed("weight", "effective_weight")
+    settings = Resampling(draws=3)
+    got = {(r["profile"], r["draw"], r["entity"]): (r["score"], r["score_variable_only"]) for r in rs.scored_draws(pool, draws, weights, metrics, directions, settings).collect()}
+
+    rows = pe.metric_rows(rs.draws_of_pools(draws, pool, 3), moving, ["profile", "draw", "entity", "peer_group", "peer_size", "pool_size"])
+    ranked = pe.percentile_rows(rows, moving, directions, ("profile", "draw")).collect()
+    pct = {(r["profile"], r["draw"], r["entity"], r["metric"]): r["pct"] for r in ranked}
+    pct |= {(r["profile"], d, r["entity"], "size"): r["size_pct"] for r in pool.collect() for d in range(3)}
+    own = {"p": {"size": 40, "volatility": 60}, "q": {m: 25 for m in moving}}
+    assert len(got) == 2 * 3 * len(ids)
+    for (p, d, i), (every, only) in got.items():
+        part = lambda m: 0.5 if pct[p, d, i, m] is None else pct[p, d, i, m]
+        assert every == pytest.approx(sum(part(m) * w for m, w in own[p].items()), abs=1e-8)
+        assert only == pytest.approx(part("volatility") * 100 if p == "p" else every, abs=1e-8)
+
+
+@pytest.mark.parametrize("days, block", [(47, 6), (60, 21), (5, 21), (2, 1), (9, 3)])
+@pytest.mark.parametrize("base", [True, False])
+def test_chained_blocks_equal_the_days_themselves(days, block, base):
+    rng = np.random.default_rng(days)
+    rets, rates = rng.normal(0, 0.03, (6, days)), rng.normal(0, 0.001, (6, days))
+    rets[3], rets[4, days // 2] = 0.01, -1.0
+    codes, numbers = rng.integers(0, 1 << 60, 6), np.arange(40, dtype=np.int64)
+    settings = Resampling(draws=40, block=block)
+    excess, volatility, fall, ratio = rs._resampled(rets, rates, codes, numbers, settings, base)
+    size = min(block, days)
+    starts = rs._block_starts(settings.seed, numbers, codes, -(-days // size), days - size + 1)
+    for e in (0, 1, 2, 3, 5):
+        index = (starts[e][:, :, None] + np.arange(size)).reshape(40, -1)[:, :days]
+        drawn = rets[e][index]
+        path = np.cumprod(1 + drawn, axis=1)
+        peak = np.maximum.accumulate(path, axis=1)
+        assert excess[e] == pytest.approx(path[:, -1] - np.prod(1 + rates[e][index], axis=1), abs=1e-12)
+        assert volatility[e] == pytest.approx(0 if e == 3 else np.std(drawn, axis=1, ddof=1) * 252**0.5, abs=1e-12)
+        assert fall[e] == pytest.approx((path / (np.maximum(peak, 1) if base else peak) - 1).min(axis=1), abs=1e-12)
+    assert np.isnan(ratio[3]).all()
+    assert base is False or (fall[4][(starts[4] >= 0).any(axis=1)] >= -1).all()
 
 
 def test_few_priced_members_keep_everyone(spark):

@@ -41,7 +41,7 @@ from workload.peer_scores import SCORE_CTES, TWIN_CTES, walk_sql
 from workload.resampling import DRAW_CTES, STABILITY_CTES
 
 RULES = Backtest(
-    cut_dates=(dt.date(1998, 12, 31), dt.date(1999, 6, 30), dt.date(1999, 12, 31)), end_date=REFERENCE, portfolios=200
+    cut_dates=(dt.date(1998, 12, 31), dt.date(1999, 6, 30), dt.date(1999, 12, 31)), end_date=REFERENCE, portfolios=1000
 )
 CUTS_SQL = "cuts (cut_date) AS (VALUES " + ", ".join(f"(DATE '{c}')" for c in RULES.cut_dates) + ")"
 FORWARD_SQL = f"""forward AS (SELECT cut_date, entity, arg_max(price, ts) / arg_min(price, ts) - 1 AS forward_return FROM panel, cuts
@@ -198,7 +198,7 @@ def _(t: Tables):
 SETTINGS = Settings(
     profiles=PROFILES, filters=replace(FILTERS, min_observations=6, min_holders=1), months=MONTHS, periods=PERIODS,
     scoring=Scoring(min_group=3), selection=Selection(2.2, 24, 0.2, 0.02, 0.0005, 5, 10),
-    resampling=Resampling(draws=24, block=6, seed=20250101, periods=PERIODS), min_fee_overlap=24,
+    resampling=Resampling(draws=1000, block=6, seed=20250101, periods=PERIODS), min_fee_overlap=24,
 )
 
 

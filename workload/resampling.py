@@ -36,7 +36,7 @@ from workload.peer_scores import (
     walk_sql,
 )
 
-SETTINGS = Resampling(draws=24, block=6, seed=20250101, periods=PERIODS)
+SETTINGS = Resampling(draws=1000, block=6, seed=20250101, periods=PERIODS)
 
 HISTORY_SQL = """history AS (SELECT entity, list(ret ORDER BY ts) AS rets, list(rate ORDER BY ts) AS rates, count(*) AS len FROM (
     SELECT entity, s.ts, price / lag(price) OVER (PARTITION BY entity ORDER BY s.ts) - 1 AS ret, coalesce(r.rate, 0) AS rate FROM series s LEFT JOIN rates r ON s.ts = r.ts)
@@ -75,11 +75,19 @@ def _(t: Tables):
 
 @query(
     "res1_block_bootstrap", "RES-1",
-    with_clause(PANEL_SQL, SERIES_SQL, RATES_SQL, *DRAW_CTES) + f"SELECT entity, draw, j, {r6('ret', 'ret')} FROM path",
+    with_clause(PANEL_SQL, SERIES_SQL, RATES_SQL, *DRAW_CTES)
+    + f"""SELECT entity, draw, count(*) AS days, {r6('arg_min(ret, j)', 'first_ret')}, {r6('arg_max(ret, j)', 'last_ret')}, {r6('sum((j + 1) * ret)', 'placed_sum')}
+      FROM path GROUP BY 1, 2""",
 )
 def _(t: Tables):
-    drawn = rs.block_bootstrap(histories(t), SETTINGS)
-    return drawn.select("entity", "draw", F.posexplode("rets").alias("j", "ret"))
+    """Every drawn history in one row: its days, its ends, and a sum in which each day counts by its place."""
+    placed = F.aggregate(
+        F.transform("rets", lambda ret, j: ret * (j + 1)), F.lit(0.0), lambda total, x: total + x
+    )
+    return rs.block_bootstrap(histories(t), SETTINGS).select(
+        "entity", "draw", F.size("rets").alias("days"), F.element_at("rets", 1).alias("first_ret"),
+        F.element_at("rets", -1).alias("last_ret"), placed.alias("placed_sum"),
+    )
 
 
 @query(

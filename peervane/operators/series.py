@@ -59,27 +59,27 @@ def with_running_peak(panel: DataFrame, cols: PanelColumns = PANEL, name: str =
 
 
 def with_adjacent_returns(
-    panel: DataFrame, calendar: DataFrame, cols: PanelColumns = PANEL, name: str = "ret"
+    panel: DataFrame, calendar: DataFrame, cols: PanelColumns = PANEL, name: str = "ret", by: tuple[str, ...] = ()
 ) -> DataFrame:
     """Return over neighbouring dates of a shared calendar; a gap voids two returns.
 
-    `calendar` is (ts, day_index), one row per date.
+    `calendar` is (by, ts, day_index), one row per date of each calendar.
     """
-    indexed = panel.join(calendar, cols.ts)
+    indexed = panel.join(calendar, [*by, cols.ts])
     w = W.partitionBy(cols.entity).orderBy("day_index")
     adjacent = F.lag("day_index").over(w) == F.col("day_index") - 1
     before = F.lag(cols.price).over(w)
     return indexed.withColumn(name, F.when(adjacent, F.try_divide(F.col(cols.price), before) - 1))
 
 
-def calendar_of(panel: DataFrame, ts: str = "ts") -> DataFrame:
-    """Dates present in a panel with their running number from 0.
+def calendar_of(panel: DataFrame, ts: str = "ts", by: tuple[str, ...] = ()) -> DataFrame:
+    """Dates present in a panel with their running number from 0; `by` keeps calendars apart.
 
-    The unpartitioned window sees distinct dates only, a few hundred a year.
+    The window sees distinct dates only, a few hundred a year.
     """
     require_dates(panel, ts)
-    dates = panel.select(ts).distinct()
-    return dates.withColumn("day_index", F.row_number().over(W.orderBy(ts)) - 1)
+    dates = panel.select(*by, ts).distinct()
+    return dates.withColumn("day_index", F.row_number().over(W.partitionBy(*by).orderBy(ts)) - 1)
 
 
 def flag_implausible_moves(

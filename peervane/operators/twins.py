@@ -36,16 +36,19 @@ TILE_KEY = ("cell", "gaps", "tile")
 TILE_PAIR = ("manager", "stretch", *[f"{k}_{side}" for side in "ab" for k in TILE_KEY])
 
 
-def pool_returns(panel: DataFrame, members: DataFrame, cols: PanelColumns = PANEL) -> DataFrame:
+def pool_returns(
+    panel: DataFrame, members: DataFrame, cols: PanelColumns = PANEL, by: tuple[str, ...] = ()
+) -> DataFrame:
     """Returns between neighbouring dates of the pool: (manager, entity, day_index, ret).
 
-    `members` is (entity, manager), one row per entity of the pool.
+    `members` is (entity, manager), one row per entity of the pool. `by` names columns of the panel that part
+    it into pools with calendars of their own.
     """
-    pool = panel.select(cols.entity, cols.ts, cols.price).join(
+    pool = panel.select(*by, cols.entity, cols.ts, cols.price).join(
         members.select(F.col(cols.entity), "manager").filter("manager IS NOT NULL"), cols.entity
     )
-    everyone = panel.select(cols.entity, cols.ts).join(members.select(cols.entity), cols.entity, "left_semi")
-    returns = with_adjacent_returns(pool, calendar_of(everyone, cols.ts), cols)
+    everyone = panel.select(*by, cols.entity, cols.ts).join(members.select(cols.entity), cols.entity, "left_semi")
+    returns = with_adjacent_returns(pool, calendar_of(everyone, cols.ts, by), cols, by=by)
     return returns.filter(F.col("ret").isNotNull()).select(
         "manager", F.col(cols.entity).alias("entity"), "day_index", "ret"
     )

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peervane.functions.dates import track_record, window_start_date
 from peervane.functions.numbers import log_size
 from peervane.functions.tax import tax_efficiency, tax_regime
+from peervane.functions.uniform import entity_code
 from peervane.operators.asof import combine_terms, in_force
 from peervane.operators.joins import assert_unique, without_overlap
 from peervane.operators.links import heaviest_edge, measured_fees, reconcile_fees
@@ -112,27 +113,29 @@ def terms_in_force(inputs: Inputs, settings: Settings, series: DataFrame, refere
     return reconcile_fees(terms, fees.withColumnRenamed("src", "entity"), "entity").drop("holds_funds")
 
 
-def measured_funds(inputs: Inputs, settings: Settings, reference: dt.date) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(funds with every metric, funnel, series of the eligible funds)."""
-    start = window_start_date(reference, settings.months)
-    window = F.col("ts").between(F.lit(start), F.lit(reference))
-    series = inputs.panel.filter(window)
+def measured_funds(
+    inputs: Inputs, settings: Settings, series: DataFrame, benchmark: Column, reference: Column, latest: dt.date
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(funds with every metric, funnel, series of the eligible funds).
+
+    `series` is the panel of the measured window, `benchmark` what the benchmark made of it, `reference` the date
+    the window ends on; the last two may depend on the entity. Nothing is dated after `latest`.
+    """
     assert_unique(inputs.registry, ["entity"])
-    terms = terms_in_force(inputs, settings, series, reference)
+    terms = terms_in_force(inputs, settings, series, latest)
     universe, funnel = build_universe(
-        inputs.registry, summarise_series(series, reference), terms,
+        inputs.registry, summarise_series(series, latest), terms,
         settings.filters.scaled_to(settings.months), inputs.holders,
     )
     universe = materialise(universe, "universe")
     eligible_series = series.join(universe.select("entity"), "entity", "left_semi")
-    benchmark = benchmark_over(inputs.rates, start, reference).scalar()
     panel = metric_panel(eligible_series, benchmark, periods=settings.periods)
     funds = without_overlap(universe, panel, ["entity"]).join(panel, "entity")
     long_term = F.col("long_term")
     funds = funds.withColumns(
         {
             "size": log_size(F.col("average_assets")),
-            "track_record": track_record(F.col("constituted"), F.col("first_date"), F.lit(reference)),
+            "track_record": track_record(F.col("constituted"), F.col("first_date"), reference),
             "tax_efficiency": tax_efficiency(F.col("name"), F.col("grp"), long_term),
             "tax_regime": tax_regime(F.col("name"), F.col("grp"), long_term),
         }
@@ -140,36 +143,47 @@ def measured_funds(inputs: Inputs, settings: Settings, reference: dt.date) -> tu
     return funds, funnel, eligible_series
 
 
-def rank(inputs: Inputs, settings: Settings, reference: dt.date) -> Ranking:
-    """Rank every profile as of one date, using nothing published after it.
+@dataclass(frozen=True)
+class Lists:
+    """What the pools of a ranking come to."""
+
+    scored: DataFrame
+    weights: DataFrame
+    twins: DataFrame
+    listed: DataFrame
+    displaced: DataFrame
+    struck: DataFrame
+
 
-    Three tables are stored on the way: the metrics per entity, the scored pools
-    and the ranked draws. Each is read several times after it, and each is far
-    smaller than the panel.
+def listed_pools(
+    pools: DataFrame, profiles: Sequence[Profile], series: DataFrame, rates: DataFrame, settings: Settings,
+    entity_number: Callable[[Column], Column] = entity_code, profile_number: Callable[[Column], Column] = entity_code,
+    calendars: tuple[str, ...] = (),
+) -> Lists:
+    """Score stored pools, draw their stability, and walk each profile's list.
+
+    Three tables are stored on the way: the scored pools, the twins and the drawn scores. Each is read several
+    times after it, and each is far smaller than the panel. `entity_number` and `profile_number` are what the draws
+    depend on; `calendars` names columns of the series that part it by calendar.
     """
     chosen, resampling = settings.selection, settings.resampling
-    start = window_start_date(reference, settings.months)
-    funds, funnel, series = measured_funds(inputs, settings, reference)
-    if settings.on_deviation == "raise":
-        raise_if_off(compare_funnel(funnel, settings.expected_funnel, settings.funnel_tolerance))
-    metrics = metrics_of(settings.profiles)
-    pools = materialise(profile_pools(funds, settings.profiles), "pools")
+    metrics = metrics_of(profiles)
     edges = range_edges(pools, [m for m in metrics if m in pools.columns])
-    scored, weights = score_profiles(pools, settings.profiles, settings.directions, settings.scoring, edges=edges)
+    scored, weights = score_profiles(pools, profiles, settings.directions, settings.scoring, edges=edges)
     scored = materialise(scored, "scored")
 
     members = pools.select("entity", "manager").distinct()
-    returns = pool_returns(series, members)
+    returns = pool_returns(series, members, by=calendars)
     twins = materialise(
         both_directions(
             twin_pairs(returns, chosen.max_tracking_difference, chosen.min_overlap, settings.periods)
         ),
         "twins",
     )
-    histories = aligned_returns(series.join(members.select("entity"), "entity", "left_semi"), inputs.rates)
-    draws = materialise(resample_metrics(histories, resampling), "draws")
-    rates = stability(scored, draws, weights, metrics, settings.directions, twins, resampling, chosen.top_n)
-    ordered = scored.join(rates, ["profile", "entity"])
+    histories = aligned_returns(series.join(members.select("entity"), "entity", "left_semi"), rates)
+    draws = resample_metrics(histories, resampling, code=entity_number)
+    appearances = stability(scored, draws, weights, metrics, settings.directions, twins, resampling, chosen.top_n, profile_number)
+    ordered = scored.join(appearances, ["profile", "entity"])
     gated = with_gates(ordered, chosen.max_annual_cost, chosen.declared_trusted_above, chosen.performance_floor)
     gated = gated.withColumn(
         "ord_key",
@@ -182,7 +196,20 @@ def rank(inputs: Inputs, settings: Settings, reference: dt.date) -> Ranking:
         gated, ["profile"], "ord_key", twins, chosen.top_n, chosen.comparison_size, settings.prefix
     )
     listed = picks.join(gated, ["profile", "entity"]).drop("ord_key")
+    return Lists(gated, weights, twins, listed, over, struck.drop("ord_key"))
+
+
+def rank(inputs: Inputs, settings: Settings, reference: dt.date) -> Ranking:
+    """Rank every profile as of one date, using nothing published after it."""
+    start = window_start_date(reference, settings.months)
+    series = inputs.panel.filter(F.col("ts").between(F.lit(start), F.lit(reference)))
+    benchmark = benchmark_over(inputs.rates, start, reference).scalar()
+    funds, funnel, series = measured_funds(inputs, settings, series, benchmark, F.lit(reference), reference)
+    if settings.on_deviation == "raise":
+        raise_if_off(compare_funnel(funnel, settings.expected_funnel, settings.funnel_tolerance))
+    pools = materialise(profile_pools(funds, settings.profiles), "pools")
+    lists = listed_pools(pools, settings.profiles, series, inputs.rates, settings)
     return Ranking(
-        funds, funnel, gated, weights, twins, listed, over, struck.drop("ord_key"),
+        funds, funnel, lists.scored, lists.weights, lists.twins, lists.listed, lists.displaced, lists.struck,
         manager_share(pools), start,
     )

@@ -7,6 +7,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from peervane.functions.dates import window_start_date
 from peervane.operators import backtest as bt
 from peervane.params import Backtest, Resampling, Scoring, Selection, metrics_of
 from peervane.plans.ranking import Inputs, Settings, rank
@@ -26,6 +27,7 @@ from workload.base import (
     REFERENCE,
     REGISTRY_SQL,
     SERIES_SQL,
+    START,
     TERMS_SQL,
     Tables,
     columns_r6,
@@ -269,7 +271,30 @@ def _(t: Tables):
     )
 
 
-@query("bt6_replayed_rankings", "BT-6 BT-5")
+def cut_sql(number: int, cut: dt.date) -> str:
+    """The pools of a ranking as of a cut, with the place on the final list: the statement of one date, read at another."""
+    dates = {f"DATE '{REFERENCE}'": f"DATE '{cut}'", f"DATE '{START}'": f"DATE '{window_start_date(cut, MONTHS)}'"}
+    moved = []
+    for cte in RANK_CTES:
+        if cte != REGISTRY_SQL:  # the registry knows no date
+            for there, here in dates.items():
+                cte = cte.replace(there, here)
+        moved.append(cte)
+    return f"ranked_{number} AS MATERIALIZED ({with_clause(*moved)} SELECT profile, entity, p.fee, f.pick FROM pools p LEFT JOIN final_list f USING (profile, entity))"
+
+
+REPLAY_CTES = (
+    PANEL_SQL, RATES_SQL, CUTS_SQL, FORWARD_SQL, BENCH_SQL, *[cut_sql(n, c) for n, c in enumerate(RULES.cut_dates)],
+    "replayed AS (" + " UNION ALL ".join(f"SELECT DATE '{c}' AS cut_date, * FROM ranked_{n}" for n, c in enumerate(RULES.cut_dates)) + ")",
+    "bt_pools AS (SELECT cut_date, profile, entity, fee FROM replayed)", "selected AS (SELECT cut_date, profile, entity FROM replayed WHERE pick <= 5)",
+    REALISED_SQL, SIZES_SQL, *OUTCOME_CTES[len(BT_CTES) :],
+)
+
+
+@query(
+    "bt6_replayed_rankings", "BT-6 BT-5",
+    with_clause(*REPLAY_CTES) + f"""SELECT cut_date, profile, beat_median, {columns_r6('selected_return', 'benchmark_return', 'random_percentile', 'cheap_percentile')},
+      {r6('median', 'peer_median_return')}, {r6('(selected_return - median) * 10000', 'edge_bp')} FROM outcomes""",
+)
 def _(t: Tables):
-    rules = replace(RULES, cut_dates=RULES.cut_dates[1:])
-    return bt.outcome_report(replay(inputs(t), replace(SETTINGS, months=24, filters=replace(SETTINGS.filters, min_observations=6)), rules)[0])
+    return bt.outcome_report(replay(inputs(t), SETTINGS, RULES)[0])

@@ -1,92 +1,60 @@
-"""Exact ranks and quantiles that hold when one group owns much of the table.
+"""Exact ranks and quantiles that hold when one group owns the whole table.
 
-A window orders a whole group in one task, which is right while groups are
-small. Beyond `PLAIN_ROWS` the values are first cut into ranges by fixed edges;
-each (group, range) is counted on its own, and the few range totals of a group
-are summed in order. Edges are literals, so a lost task recomputes the same
-ranges, and any edges give the same exact ranks: they only balance the work.
+Equal values are counted before anything is ordered. The distinct values of all groups are then sorted in ranges and stored with the number
+of their range; each range is summed on its own, and the few range totals of a group are summed in order. A group spans as many
+ranges as it needs, so no task orders a whole group, at any size: there is no other path for small tables.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-PLAIN_ROWS = 1_000_000
-RANGES = 128
+from peervane.session import materialise
 
-Edges = Mapping[str, Sequence[float]]
 
+def distinct_values(frame: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """(keys, value, n): how often each value occurs in its group; nulls are left out.
 
-def range_edges(
-    table: DataFrame, columns: Sequence[str], plain_rows: int = PLAIN_ROWS, ranges: int = RANGES
-) -> Edges | None:
-    """Edges that split each column evenly, or None while plain windows do.
-
-    Give it a stored table: it counts the rows and, for a large one, sketches
-    all columns in one pass. At most `ranges` numbers per column reach the driver.
+    Equal values collapse on the map side, so a value a third of the rows share
+    is one row per map task.
     """
-    if table.count() <= plain_rows:
-        return None
-    probabilities = [i / ranges for i in range(1, ranges)]
-    found = table.approxQuantile(list(columns), probabilities, 0.5 / ranges)
-    return {c: sorted(set(e)) for c, e in zip(columns, found)}
-
-
-def range_of(value: Column, edges: Sequence[float]) -> Column:
-    """Number of edges at or below a value, by nested comparison (log depth)."""
-
-    def descend(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value < F.lit(edges[middle]), descend(low, middle)).otherwise(
-            descend(middle + 1, high)
-        )
-
-    return descend(0, len(edges))
+    return frame.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def value_counts(
-    frame: DataFrame, keys: Sequence[str], value: str, ranges: Column | None = None
-) -> DataFrame:
-    """(keys, value, n, below, total): rows at and under each distinct value.
+def value_counts(frame: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """(keys, value, n, below, total): rows at and under each distinct value of its group.
 
-    Equal values collapse on the map side, so a value a third of the rows share
-    is one row per map task. Nulls are left out. `ranges` numbers the range of a
-    value and must not fall as the value grows.
+    The sorted ranges are stored, so a retried task sees the same ranges. A window here holds one range of one
+    group, or a row per range.
     """
     keys = list(keys)
-    present = frame.filter(F.col(value).isNotNull())
-    if ranges is None:
-        counts = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-        w = W.partitionBy(*keys).orderBy(value)
-        upto = F.sum("n").over(w.rowsBetween(W.unboundedPreceding, W.currentRow))
-        return counts.select(
-            *keys, value, "n", (upto - F.col("n")).alias("below"),
-            F.sum("n").over(W.partitionBy(*keys)).alias("total"),
-        )
-    ranged = present.select(*keys, value, ranges.alias("_range"))
-    counts = ranged.groupBy(*keys, "_range", value).agg(F.count(F.lit(1)).alias("n"))
+    sorted_ranges = distinct_values(frame, keys, value).repartitionByRange(*keys, value)
+    counts = materialise(sorted_ranges.withColumn("_range", F.spark_partition_id()), "value-counts")
     per_range = counts.groupBy(*keys, "_range").agg(F.sum("n").alias("_n"))
-    w = W.partitionBy(*keys).orderBy("_range")
-    upto = F.sum("_n").over(w.rowsBetween(W.unboundedPreceding, W.currentRow))
+    w = W.partitionBy(*keys)
+    upto = F.sum("_n").over(w.orderBy("_range").rowsBetween(W.unboundedPreceding, W.currentRow))
     offsets = per_range.select(
-        *keys, "_range", (upto - F.col("_n")).alias("_before"),
-        F.sum("_n").over(W.partitionBy(*keys)).alias("total"),
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_range").alias("_k_range"), (upto - F.col("_n")).alias("_before"),
+        F.sum("_n").over(w).alias("total"),
     )
     inside = W.partitionBy(*keys, "_range").orderBy(value)
     upto = F.sum("n").over(inside.rowsBetween(W.unboundedPreceding, W.currentRow))
-    return counts.withColumn("_inside", upto - F.col("n")).join(
-        offsets, [*keys, "_range"]
-    ).select(
+    same = same_keys(keys) & (F.col("_range") == F.col("_k_range"))
+    return counts.withColumn("_inside", upto - F.col("n")).join(offsets, same).select(
         *keys, value, "n", (F.col("_before") + F.col("_inside")).alias("below"), "total"
     )
 
 
+def same_keys(keys: Sequence[str]) -> Column:
+    """Whether keys equal their `_k_` copies, null keys included."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.lit(True))
+
+
 def quantiles(
     counts: DataFrame, keys: Sequence[str], value: str, named: Mapping[str, float]
 ) -> DataFrame:
@@ -108,27 +76,20 @@ def quantiles(
 
 
 def dispersion(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Share of rows off the most common value, from `value_counts`."""
-    return counts.groupBy(*keys).agg(
-        (1 - F.max("n") / F.max("total")).alias("dispersion")
-    )
+    """Share of rows off the most common value, from `distinct_values` or `value_counts`."""
+    return counts.groupBy(*keys).agg((1 - F.max("n") / F.sum("n")).alias("dispersion"))
 
 
-def average_rank(
-    frame: DataFrame, keys: Sequence[str], value: str, name: str, ranges: Column | None = None
-) -> DataFrame:
+def average_rank(frame: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Ascending rank from 1 within `keys`, ties sharing their mean rank; null stays null.
 
-    With `ranges`, ranks come from `value_counts` and a join back on the value;
-    a value many rows share is a skewed key there, which AQE splits.
+    Ranks come from `value_counts` and a join back on the value; a value many rows share is a skewed key
+    there, which AQE splits.
     """
     keys = list(keys)
-    if ranges is None:
-        w = W.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last())
-        ties = F.count(value).over(w.rangeBetween(W.currentRow, W.currentRow))
-        rank = F.rank().over(w) + (ties - 1) / F.lit(2.0)
-        return frame.withColumn(name, F.when(F.col(value).isNotNull(), rank))
-    ranks = value_counts(frame, keys, value, ranges).select(
-        *keys, value, (F.col("below") + (F.col("n") + 1) / F.lit(2.0)).alias(name)
+    ranks = value_counts(frame, keys, value).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col(value).alias("_value"),
+        (F.col("below") + (F.col("n") + 1) / F.lit(2.0)).alias(name),
     )
-    return frame.join(ranks, [*keys, value], "left")
+    same = same_keys(keys) & (F.col(value) == F.col("_value"))
+    return frame.join(ranks, same, "left").drop("_value", *[f"_k_{k}" for k in keys])

@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 
 from peervane.functions.numbers import clip
 from peervane.operators.order_stats import (
-    Edges,
     average_rank,
     dispersion,
+    distinct_values,
     quantiles,
-    range_of,
     value_counts,
 )
 from peervane.params import Profile, Scoring, literal_table, metrics_of, weights_table
+from peervane.session import materialise
 
 # Fixed value: the label of the group that stands for the whole pool.
 WHOLE_POOL = "(universo inteiro)"
@@ -81,26 +81,15 @@ def metric_rows(pool: DataFrame, metrics: Sequence[str], carried: Sequence[str])
     return pool.selectExpr(*carried, f"stack({len(metrics)}, {pairs}) AS (metric, value)")
 
 
-def metric_range(edges: Edges | None, value: str = "value", negated: Sequence[str] = ()) -> Column | None:
-    """The range number of a long row's value under the edges of its metric."""
-    if edges is None:
-        return None
-    number = None
-    for m, at in edges.items():
-        cuts = sorted(-e for e in at) if m in negated else at
-        here = range_of(F.col(value), cuts)
-        is_metric = F.col("metric") == m
-        number = F.when(is_metric, here) if number is None else number.when(is_metric, here)
-    return F.coalesce(number, F.lit(0))
+def metric_counts(pool: DataFrame, metrics: Sequence[str], by: Sequence[str] = ("profile",)) -> DataFrame:
+    """`value_counts` of many metrics at once, keyed by (by, metric)."""
+    return value_counts(metric_rows(pool, metrics, by), [*by, "metric"], "value")
 
 
-def metric_counts(
-    pool: DataFrame, metrics: Sequence[str], by: Sequence[str] = ("profile",),
-    edges: Edges | None = None,
-) -> DataFrame:
-    """`value_counts` of many metrics at once, keyed by (by, metric)."""
-    rows = metric_rows(pool, metrics, by)
-    return value_counts(rows, [*by, "metric"], "value", metric_range(edges))
+def metric_dispersion(pool: DataFrame, metrics: Sequence[str], by: Sequence[str] = ("profile",)) -> DataFrame:
+    """(by, metric, dispersion): counts alone, nothing is ordered."""
+    keys = [*by, "metric"]
+    return dispersion(distinct_values(metric_rows(pool, metrics, by), keys, "value"), keys)
 
 
 def clip_bounds(counts: DataFrame, lower: float, upper: float, by: Sequence[str] = ("profile",)) -> DataFrame:
@@ -186,21 +175,23 @@ def low_is_good(metrics: Sequence[str], directions: Mapping[str, str]) -> list[s
 
 def percentile_rows(
     rows: DataFrame, metrics: Sequence[str], directions: Mapping[str, str],
-    by: Sequence[str] = ("profile",), edges: Edges | None = None,
+    by: Sequence[str] = ("profile",),
 ) -> DataFrame:
     """Add `pct` within the peer group and `pool_pct` in the whole pool to long rows.
 
     Expects `peer_group`, `peer_size` and `pool_size`. Values of metrics where low
     is good are negated, so that the same ascending rank is always best last. The
-    denominator counts rows whose metric is null, the ranks do not.
+    denominator counts rows whose metric is null, the ranks do not. The rows are stored: both ranks read them.
     """
     negated = low_is_good(metrics, directions)
     signed = F.when(F.col("metric").isin(negated), -F.col("value")).otherwise(F.col("value"))
-    rows = rows.withColumn("value", signed)
-    ranges = metric_range(edges, negated=negated)
+    rows = materialise(rows.withColumn("value", signed), "metric-rows")
     keys = [*by, "metric"]
-    ranked = average_rank(rows, [*keys, "peer_group"], "value", "_rank", ranges)
-    ranked = average_rank(ranked, keys, "value", "_pool_rank", ranges)
+    ranked = average_rank(rows, [*keys, "peer_group"], "value", "_rank")
+    pool_ranks = value_counts(rows, keys, "value").select(
+        *keys, "value", (F.col("below") + (F.col("n") + 1) / F.lit(2.0)).alias("_pool_rank")
+    )
+    ranked = ranked.join(pool_ranks, [*keys, "value"], "left")
     pool_pct = as_percentile(F.col("_pool_rank"), F.col("pool_size"))
     peer_pct = as_percentile(F.col("_rank"), F.col("peer_size"))
     return ranked.withColumns(
@@ -236,8 +227,7 @@ STATISTICS = (
 
 
 def pool_statistics(
-    pool: DataFrame, profiles: Sequence[Profile], metrics: Sequence[str], scoring: Scoring,
-    edges: Edges | None = None,
+    pool: DataFrame, profiles: Sequence[Profile], metrics: Sequence[str], scoring: Scoring
 ) -> DataFrame:
     """Weights in force and clip bounds per (profile, metric), as a literal table.
 
@@ -245,7 +235,7 @@ def pool_statistics(
     parameters bound, so they pass through the driver and become part of the plan.
     """
     spark = pool.sparkSession
-    counts = metric_counts(pool, metrics, edges=edges)
+    counts = metric_counts(pool, metrics)
     keys = ["profile", "metric"]
     weights = effective_weights(
         weights_table(spark, profiles), dispersion(counts, keys), scoring.min_dispersion
@@ -256,7 +246,7 @@ def pool_statistics(
 
 def score_profiles(
     pool: DataFrame, profiles: Sequence[Profile], directions: Mapping[str, str],
-    scoring: Scoring = Scoring(), group: str = "grp", edges: Edges | None = None,
+    scoring: Scoring = Scoring(), group: str = "grp",
 ) -> tuple[DataFrame, DataFrame]:
     """Scores of every profile's pool, and the weights that made them.
 
@@ -265,12 +255,12 @@ def score_profiles(
     counts and again for the scores.
     """
     metrics = [m for m in metrics_of(profiles) if m in pool.columns]
-    weights = pool_statistics(pool, profiles, metrics, scoring, edges)
+    weights = pool_statistics(pool, profiles, metrics, scoring)
     grouped = with_peer_groups(pool, group, scoring.min_group)
     sizes = ["peer_group", "peer_size", "pool_size"]
     rows = metric_rows(grouped, metrics, ["profile", "entity", *sizes])
     rows = clipped_rows(rows, weights.select("profile", "metric", "low", "high"))
-    ranked = percentile_rows(rows, metrics, directions, edges=edges)
+    ranked = percentile_rows(rows, metrics, directions)
     percentiles = widened(
         ranked, ["profile", "entity", *sizes], metrics, {"pct": "_pct", "pool_pct": "_pool_pct"}
     )

@@ -16,7 +16,6 @@ from peervane.functions.uniform import entity_code
 from peervane.operators.asof import combine_terms, in_force
 from peervane.operators.joins import assert_unique, without_overlap
 from peervane.operators.links import heaviest_edge, measured_fees, reconcile_fees
-from peervane.operators.order_stats import range_edges
 from peervane.operators.peers import profile_pools, score_profiles
 from peervane.operators.resample import aligned_returns, resample_metrics, stability
 from peervane.operators.selection import gated_selection, manager_share, with_gates
@@ -168,8 +167,7 @@ def listed_pools(
     """
     chosen, resampling = settings.selection, settings.resampling
     metrics = metrics_of(profiles)
-    edges = range_edges(pools, [m for m in metrics if m in pools.columns])
-    scored, weights = score_profiles(pools, profiles, settings.directions, settings.scoring, edges=edges)
+    scored, weights = score_profiles(pools, profiles, settings.directions, settings.scoring)
     scored = materialise(scored, "scored")
 
     members = pools.select("entity", "manager").distinct()

@@ -10,8 +10,6 @@ from peervane.operators import twins as tw
 from peervane.operators.order_stats import (
     average_rank,
     quantiles,
-    range_edges,
-    range_of,
     value_counts,
 )
 from peervane.params import (
@@ -30,25 +28,36 @@ def ranks_by_hand(values):
     return {v: statistics.mean(i for i, x in enumerate(known, 1) if x == v) for v in known}
 
 
-def test_ranks_and_quantiles_agree_with_and_without_ranges(spark):
+def test_ranks_and_quantiles_equal_sorting_by_hand(spark):
     rng = random.Random(3)
-    rows = [("hot" if rng.random() < 0.6 else f"g{rng.randrange(5)}", i, 0.0 if rng.random() < 0.3 else (None if rng.random() < 0.1 else round(rng.gauss(0, 1), 2))) for i in range(900)]
+    rows = [("hot" if rng.random() < 0.6 else None if rng.random() < 0.1 else f"g{rng.randrange(5)}", i, 0.0 if rng.random() < 0.3 else (None if rng.random() < 0.1 else round(rng.gauss(0, 1), 2))) for i in range(900)]
     frame = materialise(spark.createDataFrame(rows, "g string, id int, v double"), "ranks")
-    edges = range_edges(frame, ["v"], plain_rows=10, ranges=8)["v"]
-    assert len(edges) >= 4 and range_edges(frame, ["v"]) is None
-    ranges = range_of(F.col("v"), edges)
     expected = {}
     for g in {r[0] for r in rows}:
         table = ranks_by_hand([r[2] for r in rows if r[0] == g])
         expected |= {r[1]: table.get(r[2]) for r in rows if r[0] == g}
-    for by_range in (None, ranges):
-        got = {r["id"]: r["rank"] for r in average_rank(frame, ["g"], "v", "rank", by_range).collect()}
-        assert got == pytest.approx(expected)
+    assert {r["id"]: r["rank"] for r in average_rank(frame, ["g"], "v", "rank").collect()} == pytest.approx(expected)
     exact = {r["g"]: r for r in frame.groupBy("g").agg(F.percentile("v", F.array(F.lit(0.01), F.lit(0.5), F.lit(0.99))).alias("q")).collect()}
-    for by_range in (None, ranges):
-        found = quantiles(value_counts(frame, ["g"], "v", by_range), ["g"], "v", {"a": 0.01, "b": 0.5, "c": 0.99})
-        for r in found.collect():
-            assert [r["a"], r["b"], r["c"]] == pytest.approx(exact[r["g"]]["q"])
+    found = quantiles(value_counts(frame, ["g"], "v"), ["g"], "v", {"a": 0.01, "b": 0.5, "c": 0.99}).collect()
+    assert len(found) == len(exact)
+    for r in found:
+        assert [r["a"], r["b"], r["c"]] == pytest.approx(exact[r["g"]]["q"])
+
+
+def test_a_group_spans_many_ranges(spark):
+    frame = materialise(spark.range(40_000).selectExpr("'hot' AS g", "CAST(id % 20000 AS double) AS v"), "hot")
+    ranged = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        counts = value_counts(frame, ["g"], "v")
+        windows = counts._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", ranged)
+    assert windows.count("Window [") == 3
+    # Every window that orders values parts them by range as well.
+    assert "[g#" in windows and all("_range" in line for line in windows.splitlines() if "Window [" in line and "sum(n#" in line)
+    found = counts.agg(F.max("below"), F.min("total"), F.count(F.lit(1))).first()
+    assert tuple(found) == (39_998, 40_000, 20_000)
 
 
 def pool(spark, rows):

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from peervane.operators import backtest as bt
 from peervane.operators import series as sr
-from peervane.operators.order_stats import dispersion, quantiles, range_of, value_counts
-from peervane.operators.peers import metric_counts
+from peervane.operators.order_stats import quantiles, value_counts
+from peervane.operators.peers import metric_dispersion
 from peervane.operators.selection import manager_share
 from peervane.operators.universe import count_by
 from peervane.params import Backtest
@@ -73,7 +73,7 @@ def long_pool(t: Tables):
       SELECT profile, metric, value, count(*) AS n FROM long GROUP BY ALL) GROUP BY 1, 2""",
 )
 def _(t: Tables):
-    return dispersion(metric_counts(long_pool(t), ["quantity", "tax", "late"]), ["profile", "metric"])
+    return metric_dispersion(long_pool(t), ["quantity", "tax", "late"])
 
 
 @query(
@@ -82,9 +82,8 @@ def _(t: Tables):
       FROM lineitem GROUP BY 1""",
 )
 def _(t: Tables):
-    """Three flags hold a third of the lines each; each is counted in value ranges."""
-    ranges = range_of(F.col("l_extendedprice"), [2000.0 * k for k in range(1, 60)])
-    counts = value_counts(t.lineitem, ["l_returnflag"], "l_extendedprice", ranges)
+    """Three flags hold a third of the lines each; their values are counted and sorted in ranges."""
+    counts = value_counts(t.lineitem, ["l_returnflag"], "l_extendedprice")
     return quantiles(counts, ["l_returnflag"], "l_extendedprice", {"low": 0.01, "high": 0.99, "quarter": 0.25})
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from peervane.operators import peers as pe
 from peervane.operators import selection as se
 from peervane.operators import twins as tw
-from peervane.operators.order_stats import dispersion
 from peervane.params import DIRECTIONS, Scoring, metrics_of, weights_table
 from peervane.session import materialise
 from workload.base import (
@@ -106,7 +105,7 @@ def _(t: Tables):
     with_clause(*POOL_CTES) + f"SELECT profile, metric, ord::BIGINT AS ord, weight::BIGINT AS weight, jitter::BIGINT AS jitter, {r6('dispersion', 'dispersion')}, effective_weight, inert FROM weights",
 )
 def _(t: Tables):
-    spread = dispersion(pe.metric_counts(stored_pools(t), METRICS), ["profile", "metric"])
+    spread = pe.metric_dispersion(stored_pools(t), METRICS)
     return pe.effective_weights(weights_table(t.spark, PROFILES), spread, SCORING.min_dispersion)
 
 
@@ -116,7 +115,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     declared = weights_table(t.spark, PROFILES)
-    spread = dispersion(pe.metric_counts(stored_pools(t), METRICS), ["profile", "metric"])
+    spread = pe.metric_dispersion(stored_pools(t), METRICS)
     return pe.inert_metrics(declared, spread.filter(F.col("dispersion") >= SCORING.min_dispersion))
 
 

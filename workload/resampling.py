@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from peervane.operators import resample as rs
 from peervane.operators import twins as tw
-from peervane.operators.order_stats import dispersion
-from peervane.operators.peers import effective_weights, metric_counts
+from peervane.operators.peers import effective_weights, metric_dispersion
 from peervane.params import DIRECTIONS, Resampling, metrics_of, weights_table
 from peervane.session import materialise
 from workload.base import (
@@ -133,7 +132,7 @@ def jittered_sql(name: str, source: str, value: str, where: str = "true") -> str
     + "SELECT profile, draw, metric, ord::BIGINT AS ord, drawn_weight FROM jittered",
 )
 def _(t: Tables):
-    spread = dispersion(metric_counts(stored_pools(t), METRICS), ["profile", "metric"])
+    spread = metric_dispersion(stored_pools(t), METRICS)
     weights = effective_weights(weights_table(t.spark, PROFILES), spread, SCORING.min_dispersion)
     return rs.jitter_weights(weights.filter("effective_weight > 0"), SETTINGS, "effective_weight")
 

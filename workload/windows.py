@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from peervane.operators import series as sr
-from peervane.operators.order_stats import average_rank, range_of
+from peervane.operators.order_stats import average_rank
 from peervane.operators.peers import with_peer_groups
 from workload.base import (
     DAILY_SQL,
@@ -76,12 +76,11 @@ AVERAGE_RANK = "rank() OVER (PARTITION BY {g} ORDER BY {v}) + (count(*) OVER (PA
       SELECT *, {AVERAGE_RANK.format(g='l_returnflag', v='l_quantity')} AS a, {AVERAGE_RANK.format(g='1', v='l_quantity')} AS b FROM lineitem)""",
 )
 def _(t: Tables):
-    """Over a third of the lines share a flag: ranks come from counts by value range."""
+    """Over a third of the lines share a flag: ranks come from counts of values sorted in ranges."""
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     lines = t.lineitem.select(*keys, "l_returnflag", "l_quantity", F.lit(1).alias("_all"))
-    ranges = range_of(F.col("l_quantity"), [float(q) for q in range(2, 51)])
-    grouped = average_rank(lines, ["l_returnflag"], "l_quantity", "rank_in_group", ranges)
-    return average_rank(grouped, ["_all"], "l_quantity", "rank_in_all", ranges).select(*keys, "rank_in_group", "rank_in_all")
+    grouped = average_rank(lines, ["l_returnflag"], "l_quantity", "rank_in_group")
+    return average_rank(grouped, ["_all"], "l_quantity", "rank_in_all").select(*keys, "rank_in_group", "rank_in_all")
 
 
 @query(

@@ -83,8 +83,8 @@ def check_digits_match(key: Column) -> Column:
 
 def key_problem(key: Column) -> Column:
     """Why a cleaned key cannot be used, or null when it can."""
-    return F.when(key.isNull() | (F.length(key) != KEY_LENGTH), "cnpj: not 14 digits").when(
-        ~check_digits_match(key), "cnpj: check digits do not match"
+    return F.when(key.isNull() | (F.length(key) != KEY_LENGTH), "key must have 14 digits").when(
+        ~check_digits_match(key), "key fails its check digits"
     )
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peervane.functions.keys import check_digits_match, key_problem
-from peervane.operators.dedup import last_per_key
 
 CLEAN, QUARANTINED, FUTURE, DUPLICATE = "clean", "quarantined", "future", "deduplicated"
 
@@ -25,22 +24,27 @@ def rejection_reason(key: Column, ts: Column, price: Column, assets: Column) ->
     """The first thing wrong with a row, or null."""
     return F.coalesce(
         key_problem(key),
-        F.when(ts.isNull(), "date: could not be parsed")
-        .when(price.isNull(), "quota: missing")
-        .when(price <= 0, "quota: not positive")
-        .when(assets < 0, "net assets: negative"),
+        F.when(ts.isNull(), "no readable date")
+        .when(price.isNull(), "no price")
+        .when(price <= 0, "price at or below zero")
+        .when(assets < 0, "assets below zero"),
     )
 
 
 def triage(
     frame: DataFrame, keys: Sequence[str], ts: str, reason: Column, reference, order: Sequence[Column]
 ) -> DataFrame:
-    """One row per natural key with `disposition` and `reason`.
+    """One row per natural key with `disposition`, `reason` and `copies`, the rows received under the key.
 
     Deduplication comes first and keeps the last row, then rows after the
-    reference date are set aside, then the reason is sought.
+    reference date are set aside, then the reason is sought. Copies are counted by the aggregate that
+    picks the last of them, with partial results on the map side: the input is read once, and a hot key is one row per task.
     """
-    kept = last_per_key(frame, keys, order)
+    keys = list(keys)
+    last = F.max_by(F.struct(*frame.columns), F.struct(*order, F.struct(*frame.columns)))
+    kept = frame.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+        last.alias("_last"), F.count(F.lit(1)).alias("copies")
+    ).select("_last.*", "copies")
     late = F.coalesce(F.col(ts) > F.lit(reference), F.lit(False))
     judged = kept.withColumn("reason", F.when(~late, reason))
     return judged.withColumn(
@@ -50,36 +54,35 @@ def triage(
 
 
 def clean_rows(judged: DataFrame) -> DataFrame:
-    return judged.filter(F.col("disposition") == CLEAN).drop("disposition", "reason")
+    return judged.filter(F.col("disposition") == CLEAN).drop("disposition", "reason", "copies")
 
 
 def quarantine(judged: DataFrame) -> DataFrame:
-    return judged.filter(F.col("disposition") == QUARANTINED).drop("disposition")
+    return judged.filter(F.col("disposition") == QUARANTINED).drop("disposition", "copies")
 
 
-def _totals(received: DataFrame, judged: DataFrame) -> DataFrame:
-    """One row of counts; the rows received are counted without reading their columns."""
-    counts = judged.agg(
+def _totals(judged: DataFrame) -> DataFrame:
+    """One row of counts, from the triaged rows alone."""
+    return judged.agg(
         *[F.count_if(F.col("disposition") == d).alias(d) for d in (CLEAN, QUARANTINED, FUTURE)],
-        F.count(F.lit(1)).alias("_kept"),
+        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias(DUPLICATE),
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("received"),
     )
-    return counts.withColumn("received", received.agg(F.count(F.lit(1)).alias("n")).scalar())
 
 
-def accounting(received: DataFrame, judged: DataFrame) -> DataFrame:
+def accounting(judged: DataFrame) -> DataFrame:
     """(disposition, n_rows) for the four fates; they add up to the rows received."""
-    totals = _totals(received, judged).withColumn(DUPLICATE, F.col("received") - F.col("_kept"))
-    return totals.unpivot([], [CLEAN, QUARANTINED, FUTURE, DUPLICATE], "disposition", "n_rows")
+    return _totals(judged).unpivot([], [CLEAN, QUARANTINED, FUTURE, DUPLICATE], "disposition", "n_rows")
 
 
-def quarantine_share(received: DataFrame, judged: DataFrame) -> DataFrame:
+def quarantine_share(judged: DataFrame) -> DataFrame:
     """One row: rows received, rows quarantined, and their share."""
     share = F.when(F.col("received") > 0, F.col(QUARANTINED) / F.col("received")).otherwise(0.0)
-    return _totals(received, judged).select("received", QUARANTINED, share.alias("share"))
+    return _totals(judged).select("received", QUARANTINED, share.alias("share"))
 
 
-def assert_quarantine_within(received: DataFrame, judged: DataFrame, limit: float) -> float:
-    row = quarantine_share(received, judged).first()
+def assert_quarantine_within(judged: DataFrame, limit: float) -> float:
+    row = quarantine_share(judged).first()
     if row["share"] > limit:
         raise TooMuchQuarantinedError(
             f"{row['quarantined']} of {row['received']} rows quarantined, above {limit:.0%}"

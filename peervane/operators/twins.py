@@ -11,8 +11,8 @@ than a radius known in advance, so a grid of that width puts each twin in the sa
 or the next cell. The stretches are the whole calendar, for entities without gaps,
 and a few parts of it, for the others; a pair is judged in the first stretch both
 fill, and only pairs that fill no stretch together are compared without a grid.
-Cells are split into tiles of bounded size, and a task compares one pair of tiles
-with matrix products. Nothing within the threshold is missed.
+Cells are split into tiles of bounded size, and a task compares one pair of tiles,
+a series of one against all of the other. Nothing within the threshold is missed.
 """
 
 from __future__ import annotations
@@ -204,29 +204,27 @@ def twin_pairs(
         within = second.size == 0
         if within:
             second = first
-        seen = np.isfinite(dense)
-        value, mask = np.where(seen, dense, 0.0), seen.astype(float)
-        va, vb, ma, mb = value[first], value[second], mask[first], mask[second]
-        shared = ma @ mb.T
-        with np.errstate(divide="ignore", invalid="ignore"):
-            square = ((va**2) @ mb.T + ma @ (vb**2).T - 2 * va @ vb.T) / shared
-            mean = (va @ mb.T - ma @ vb.T) / shared
-        near = np.sqrt(np.maximum(square - mean**2, 0.0) * periods) <= threshold * (1 + 1e-6) + 1e-6
-        near &= shared >= max(min_overlap, 1)
-        stretch = int(group["stretch"].iloc[0])
-        if stretch != WHOLE:
-            filled = group["filled"].to_numpy(dtype=np.int64)
-            common = filled[first][:, None] & filled[second][None, :]
-            near &= (common & -common) == (0 if stretch == APART else 1 << (stretch - 1))
-        if within:
-            near &= np.triu(np.ones_like(near), k=1)
+        # Each series is centred on its own mean: a gap is then small, and its spread keeps all its digits.
+        dense -= np.nanmean(dense, axis=1, keepdims=True)
+        stretch, filled = int(group["stretch"].iloc[0]), group["filled"].to_numpy(dtype=np.int64)
         found = []
-        for i, j in zip(*np.nonzero(near)):
-            gap = (dense[first[i]] - dense[second[j]])[seen[first[i]] & seen[second[j]]]
-            distance = float(np.std(gap) * np.sqrt(periods))
-            if distance <= threshold:
-                a, b = sorted((ids[first[i]], ids[second[j]]))
-                found.append((a, b, distance, int(gap.size)))
+        for place, i in enumerate(first):
+            others = second[place + 1 :] if within else second
+            if stretch != WHOLE:
+                # A pair is judged in the first part of the calendar that both fill, or apart if there is none.
+                common = filled[i] & filled[others]
+                others = others[(common & -common) == (0 if stretch == APART else 1 << (stretch - 1))]
+            gaps = dense[others] - dense[i]
+            shared = np.isfinite(gaps)
+            days = shared.sum(axis=1)
+            others, gaps, shared, days = (x[days >= max(min_overlap, 1)] for x in (others, gaps, shared, days))
+            off = np.where(shared, gaps, 0.0)
+            off = np.where(shared, off - (off.sum(axis=1) / days)[:, None], 0.0)
+            distances = np.sqrt((off * off).sum(axis=1) / days * periods)
+            for j, distance, n in zip(others, distances, days):
+                if distance <= threshold:
+                    a, b = sorted((ids[i], ids[j]))
+                    found.append((a, b, float(distance), int(n)))
         return pd.DataFrame(found, columns=columns)
 
     rows = side("a").unionByName(side("b")).repartition(wide_parallelism(returns.sparkSession), *TILE_PAIR)

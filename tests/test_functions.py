@@ -38,7 +38,7 @@ def test_cleaning_keeps_digits_and_names_the_problem(spark):
     frame = spark.createDataFrame([("00.017.024/0001-53",), ("123",), ("00017024000154",), (None,)], "raw string")
     rows = keys.with_normalised_key(frame, "raw", "clean", "problem").collect()
     assert [r["clean"] for r in rows] == ["00017024000153", None, None, None]
-    assert [r["problem"] for r in rows] == [None, "cnpj: not 14 digits", "cnpj: check digits do not match", "cnpj: not 14 digits"]
+    assert [r["problem"] for r in rows] == [None, "key must have 14 digits", "key fails its check digits", "key must have 14 digits"]
 
 
 @pytest.mark.parametrize(

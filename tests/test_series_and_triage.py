@@ -109,19 +109,22 @@ def test_each_defect_has_its_reason(spark):
     _, judged = dirty(spark)
     fate = {r["seq"]: (r["disposition"], r["reason"]) for r in judged.collect()}
     assert fate == {
-        1: ("clean", None), 3: ("clean", None), 4: ("quarantined", "quota: not positive"), 5: ("quarantined", "quota: missing"),
-        6: ("future", None), 7: ("quarantined", "cnpj: not 14 digits"), 8: ("quarantined", "cnpj: check digits do not match"),
-        9: ("quarantined", "net assets: negative"), 10: ("quarantined", "date: could not be parsed"),
+        1: ("clean", None), 3: ("clean", None), 4: ("quarantined", "price at or below zero"), 5: ("quarantined", "no price"),
+        6: ("future", None), 7: ("quarantined", "key must have 14 digits"), 8: ("quarantined", "key fails its check digits"),
+        9: ("quarantined", "assets below zero"), 10: ("quarantined", "no readable date"),
     }
 
 
 def test_rows_add_up(spark):
     frame, judged = dirty(spark)
-    counts = {r["disposition"]: r["n_rows"] for r in tr.accounting(frame, judged).collect()}
+    plan = tr.accounting(judged)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+    assert dict(judged.select("seq", "copies").collect())[3] == 2 and frame.count() == judged.agg(F.sum("copies")).first()[0]
+    counts = {r["disposition"]: r["n_rows"] for r in tr.accounting(judged).collect()}
     assert counts == {"clean": 2, "quarantined": 6, "future": 1, "deduplicated": 1}
     with pytest.raises(tr.TooMuchQuarantinedError):
-        tr.assert_quarantine_within(frame, judged, 0.05)
-    assert tr.assert_quarantine_within(frame, judged, 0.7) == pytest.approx(0.6)
+        tr.assert_quarantine_within(judged, 0.05)
+    assert tr.assert_quarantine_within(judged, 0.7) == pytest.approx(0.6)
 
 
 def test_contract_on_clean_rows(spark):

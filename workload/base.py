@@ -147,12 +147,12 @@ class Tables:
             )
         )
 
-    def filings(self, status: str) -> DataFrame:
-        """Monthly terms of each supplier, one table per line status."""
+    def filings(self, status: str | None = None) -> DataFrame:
+        """Monthly terms of each supplier, of all lines or of one line status."""
         month = F.trunc(F.col("l_shipdate").cast("date"), "month")
+        lines = self.lineitem if status is None else self.lineitem.filter(F.col("l_linestatus") == status)
         return (
-            self.lineitem.filter(F.col("l_linestatus") == status)
-            .groupBy(F.col("l_suppkey").alias("entity"), month.alias("ts"))
+            lines.groupBy(F.col("l_suppkey").alias("entity"), month.alias("ts"))
             .agg(
                 F.round(F.avg("l_tax") / 4, 9).alias("fee"),
                 F.floor(F.avg("l_quantity")).cast("bigint").alias("redemption_days"),
@@ -286,11 +286,12 @@ holdings AS (
   SELECT s_suppkey, last_key, 100.0 FROM supplier JOIN ends USING (s_nationkey) WHERE s_suppkey <> last_key)"""
 
 
-def filings_sql(name: str, status: str) -> str:
+def filings_sql(name: str, status: str | None = None) -> str:
+    kept = "" if status is None else f" WHERE l_linestatus = '{status}'"
     return f"""{name} AS (
   SELECT l_suppkey AS entity, CAST(date_trunc('month', l_shipdate) AS DATE) AS ts, round(avg(l_tax) / 4, 9) AS fee,
     CAST(floor(avg(l_quantity)) AS BIGINT) AS redemption_days, min(l_extendedprice) AS minimum_investment
-  FROM lineitem WHERE l_linestatus = '{status}' GROUP BY 1, 2)"""
+  FROM lineitem{kept} GROUP BY 1, 2)"""
 
 
 METRICS_SQL = f"""moves AS (

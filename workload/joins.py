@@ -184,7 +184,7 @@ STEPS = [
 
 def universe(t: Tables):
     """The funnel over the suppliers; holders are the orders each supplier's nation shares."""
-    terms = in_force(t.filings("F"), "entity", "ts", REFERENCE).filter("fee > 0.005").drop("ts")
+    terms = in_force(t.filings(), "entity", "ts", REFERENCE).drop("ts")
     holders = t.lineitem.select(
         F.col("l_suppkey").alias("entity"),
         (F.col("l_quantity") > 49.5).cast("int").alias("individuals"),
@@ -197,14 +197,13 @@ def universe(t: Tables):
 
 UNIVERSE_SQL = f"""summary AS (SELECT entity, count(*) AS observations, arg_max(assets, ts) AS assets, arg_max(holders, ts) AS holders FROM series GROUP BY 1),
 in_force AS (SELECT * FROM f WHERE ts <= DATE '{REFERENCE}' QUALIFY row_number() OVER (PARTITION BY entity ORDER BY ts DESC) = 1),
-terms_ok AS (SELECT * FROM in_force WHERE fee > 0.005),
 evidence AS (SELECT l_suppkey AS entity, bool_or(l_quantity > 49.5 OR l_discount > 0.095) AS reached FROM lineitem GROUP BY 1),
 joined AS (SELECT r.*, s.observations, s.assets, s.holders, t.fee, t.redemption_days, e.reached FROM registry r
-  LEFT JOIN summary s USING (entity) LEFT JOIN terms_ok t USING (entity) LEFT JOIN evidence e USING (entity)),
+  LEFT JOIN summary s USING (entity) LEFT JOIN in_force t USING (entity) LEFT JOIN evidence e USING (entity)),
 staged AS (SELECT *, regexp_matches(classification, 'Renda Fixa') AS s1, status = 'Em Funcionamento Normal' AS s2, condominium = 'Aberto' AS s3,
   exclusive <> 'S' AS s4, NOT regexp_matches(upper(name), '#0+7$|ZERAGEM') AS s5, observations IS NOT NULL AS s6, coalesce(observations >= 36, false) AS s7,
   coalesce(assets >= 100000, false) AS s8, coalesce(holders >= 2, false) AS s9, fee IS NOT NULL AND redemption_days IS NOT NULL AS s10, coalesce(reached, true) AS s11 FROM joined)"""
-UNIVERSE_CTES = (PANEL_SQL, SERIES_SQL, REGISTRY_SQL, filings_sql("f", "F"), UNIVERSE_SQL)
+UNIVERSE_CTES = (PANEL_SQL, SERIES_SQL, REGISTRY_SQL, filings_sql("f"), UNIVERSE_SQL)
 
 
 def passed(k: int) -> str:
@@ -226,7 +225,7 @@ def _(t: Tables):
 
 @query(
     "sco13_universe", "SCO-13 JN-3 JN-6 PRJ-5",
-    with_clause(*UNIVERSE_CTES) + f"""SELECT entity, grp, manager, observations, holders, redemption_days, {columns_r6('assets', 'fee')}, {r6('fee', 'declared_fee')}, false AS zero_declared
+    with_clause(*UNIVERSE_CTES) + f"""SELECT entity, grp, manager, observations, holders, redemption_days, {columns_r6('assets')}, {r6('CASE WHEN fee <> 0 THEN fee END', 'fee')}, {r6('fee', 'declared_fee')}, fee = 0 AS zero_declared
       FROM staged WHERE {passed(11)}""",
 )
 def _(t: Tables):

@@ -259,7 +259,7 @@ def _(t: Tables):
     "SELECT c_custkey, key AS normalised, NULL::VARCHAR AS problem FROM "
     + full_key_sql("customer", "lpad(c_custkey::VARCHAR, 12, '0')")
     + """ WHERE c_acctbal >= 0 AND key <> repeat('0', 14)
-    UNION ALL SELECT c_custkey, NULL, CASE WHEN c_acctbal < 0 THEN 'cnpj: not 14 digits' ELSE 'cnpj: check digits do not match' END FROM """
+    UNION ALL SELECT c_custkey, NULL, CASE WHEN c_acctbal < 0 THEN 'key must have 14 digits' ELSE 'key fails its check digits' END FROM """
     + full_key_sql("customer", "lpad(c_custkey::VARCHAR, 12, '0')")
     + " WHERE c_acctbal < 0 OR key = repeat('0', 14)",
 )
@@ -339,9 +339,9 @@ RAW_SQL = f"""raw AS (SELECT regexp_replace(CASE WHEN o_orderpriority = '1-URGEN
   CASE WHEN o_orderpriority <> '5-LOW' OR o_orderstatus <> 'P' THEN o_totalprice - 20000 END AS price, o_totalprice - 30000 AS assets, o_orderkey AS seq
   FROM {full_key_sql('orders', "lpad((o_custkey + 1)::VARCHAR, 12, '0')")}),
 kept AS (SELECT *, count(*) OVER (PARTITION BY key, ts) AS copies FROM raw QUALIFY row_number() OVER (PARTITION BY key, ts ORDER BY seq DESC) = 1),
-judged AS (SELECT *, CASE WHEN ts > DATE '{REFERENCE}' THEN NULL WHEN length(key) <> 14 THEN 'cnpj: not 14 digits'
-    WHEN NOT ({VALID_SQL}) THEN 'cnpj: check digits do not match' WHEN ts IS NULL THEN 'date: could not be parsed'
-    WHEN price IS NULL THEN 'quota: missing' WHEN price <= 0 THEN 'quota: not positive' WHEN assets < 0 THEN 'net assets: negative' END AS reason FROM kept),
+judged AS (SELECT *, CASE WHEN ts > DATE '{REFERENCE}' THEN NULL WHEN length(key) <> 14 THEN 'key must have 14 digits'
+    WHEN NOT ({VALID_SQL}) THEN 'key fails its check digits' WHEN ts IS NULL THEN 'no readable date'
+    WHEN price IS NULL THEN 'no price' WHEN price <= 0 THEN 'price at or below zero' WHEN assets < 0 THEN 'assets below zero' END AS reason FROM kept),
 fated AS (SELECT *, CASE WHEN ts > DATE '{REFERENCE}' THEN 'future' WHEN reason IS NOT NULL THEN 'quarantined' ELSE 'clean' END AS disposition FROM judged)"""
 
 
@@ -355,7 +355,7 @@ def judged_report(t: Tables):
     with_clause(RAW_SQL) + f"SELECT key, ts, seq, reason, disposition, {columns_r6('price', 'assets')} FROM fated",
 )
 def _(t: Tables):
-    return judged_report(t)
+    return judged_report(t).drop("copies")
 
 
 @query(
@@ -365,7 +365,7 @@ def _(t: Tables):
       UNION ALL SELECT 'deduplicated', CAST(sum(copies - 1) AS BIGINT) FROM fated""",
 )
 def _(t: Tables):
-    return tr.accounting(raw_report(t), judged_report(t))
+    return tr.accounting(judged_report(t))
 
 
 @query(
@@ -374,7 +374,7 @@ def _(t: Tables):
       {r6("count(*) FILTER (WHERE disposition = 'quarantined') / sum(copies)", 'share')} FROM fated""",
 )
 def _(t: Tables):
-    return tr.quarantine_share(raw_report(t), judged_report(t))
+    return tr.quarantine_share(judged_report(t))
 
 
 @query(

@@ -34,18 +34,18 @@ def stream_daily_reports(spark: SparkSession, folder: str, header: list[str]) ->
     named = raw.select(*[F.col(r).alias(n) for r, n in DAILY_REPORT.items() if r in header])
     typed = without_subclasses(named).withColumns(
         {
-            "cnpj_classe": digits_only(F.col("cnpj_classe")),
-            "data": iso_date(F.col("data")),
-            "cotistas": to_long(F.col("cotistas")),
+            "entity": digits_only(F.col("entity")),
+            "ts": iso_date(F.col("ts")),
+            "holders": to_long(F.col("holders")),
             **{
                 c: to_double(F.col(c))
-                for c in ("valor_total", "valor_cota", "patrimonio_liquido", "captacao", "resgate")
+                for c in ("portfolio_value", "price", "assets", "inflow", "outflow")
                 if c in named.columns
             },
         }
     )
     reason = rejection_reason(
-        F.col("cnpj_classe"), F.col("data"), F.col("valor_cota"), F.col("patrimonio_liquido")
+        F.col("entity"), F.col("ts"), F.col("price"), F.col("assets")
     )
     return typed.withColumn("reason", reason)
 
@@ -55,7 +55,7 @@ def stage_stream(judged: DataFrame, target: str, checkpoint: str) -> StreamingQu
 
     def write(batch: DataFrame, number: int) -> None:
         clean = batch.filter("reason IS NULL").drop("reason")
-        monthly = clean.withColumn("month", F.date_format("data", "yyyyMM"))
+        monthly = clean.withColumn("month", F.date_format("ts", "yyyyMM"))
         monthly.write.mode("overwrite").partitionBy("month").parquet(f"{target}/clean/batch={number}")
         rejects = batch.filter("reason IS NOT NULL")
         rejects.write.mode("overwrite").partitionBy("reason").parquet(f"{target}/quarantine/batch={number}")

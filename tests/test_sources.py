@@ -42,12 +42,12 @@ def daily(folder, name="d.csv"):
 
 
 def test_daily_report(spark, folder):
-    got = fl.read_daily_report(spark, daily(folder)).orderBy(F.col("valor_cota").desc()).collect()
-    assert len(got) == 3 and "id_subclasse" not in got[0].asDict()
-    assert got[0]["cnpj_classe"] == "00017024000153" and got[0]["data"] == dt.date(2025, 10, 1)
-    assert (got[0]["valor_cota"], got[0]["cotistas"]) == (10.5, 7)
-    assert got[1]["data"] is None
-    assert (got[2]["valor_cota"], got[2]["patrimonio_liquido"], got[2]["cotistas"]) == (None, None, None)
+    got = fl.read_daily_report(spark, daily(folder)).orderBy(F.col("price").desc()).collect()
+    assert len(got) == 3 and "subclass" not in got[0].asDict()
+    assert got[0]["entity"] == "00017024000153" and got[0]["ts"] == dt.date(2025, 10, 1)
+    assert (got[0]["price"], got[0]["holders"]) == (10.5, 7)
+    assert got[1]["ts"] is None
+    assert (got[2]["price"], got[2]["assets"], got[2]["holders"]) == (None, None, None)
 
 
 def test_old_layout_is_refused(spark, folder):
@@ -59,10 +59,10 @@ def test_releases_of_other_column_order_are_matched_by_name(spark, folder):
     one = daily(folder)
     moved = "ID_SUBCLASSE;CNPJ_FUNDO_CLASSE;DT_COMPTC;VL_PATRIM_LIQ;VL_QUOTA;NR_COTST"
     two = put(folder, "e.csv", moved, ";00017024000153;2025-10-02;500;10.75;9")
-    got = {r["data"]: r for r in fl.read_daily_report(spark, [one, two]).filter("valor_cota IS NOT NULL AND data IS NOT NULL").collect()}
+    got = {r["ts"]: r for r in fl.read_daily_report(spark, [one, two]).filter("price IS NOT NULL AND ts IS NOT NULL").collect()}
     row = got[dt.date(2025, 10, 2)]
-    assert (row["valor_cota"], row["patrimonio_liquido"], row["cotistas"], row["captacao"]) == (10.75, 500.0, 9, None)
-    assert got[dt.date(2025, 10, 1)]["valor_cota"] == 10.5
+    assert (row["price"], row["assets"], row["holders"], row["inflow"]) == (10.75, 500.0, 9, None)
+    assert got[dt.date(2025, 10, 1)]["price"] == 10.5
     with pytest.raises(fl.UnsupportedLayoutError):
         fl.read_daily_report(spark, [one, put(folder, "old.csv", "CNPJ_FUNDO;DT_COMPTC", "1;2023-01-01")])
 
@@ -77,34 +77,34 @@ def test_a_folder_of_unequal_headers_is_refused(spark, folder):
 def test_registry_keeps_the_last_repeat_and_every_class(spark, folder):
     classes = put(folder, "c.csv", "ID_Registro_Fundo;ID_Registro_Classe;CNPJ_Classe;Denominacao_Social;Data_Inicio;Patrimonio_Liquido", "1;10;11.111.111/0001-11;Um;2025-01-01;5.5", "1;11;2;Dois;x;y", "9;12;3;Três;;", "1;10;4;Um corrigido;2025-01-02;6")
     funds = put(folder, "f.csv", "ID_Registro_Fundo;CNPJ_Fundo;Denominacao_Social;Data_Constituicao;Gestor", "1;5;Velho;2001-01-01;A", "1;5;Novo;2002-01-01;B")
-    got = {r["id_registro_classe"]: r for r in fl.with_age(fl.read_registry(spark, classes, funds), dt.date(2025, 12, 31)).collect()}
+    got = {r["class_id"]: r for r in fl.with_age(fl.read_registry(spark, classes, funds), dt.date(2025, 12, 31)).collect()}
     assert set(got) == {"10", "11", "12"}
-    assert got["10"]["denominacao_social"] == "Um corrigido" and got["10"]["gestor"] == "B"
-    assert got["10"]["idade_anos"] == pytest.approx((dt.date(2025, 12, 31) - dt.date(2002, 1, 1)).days / 365.25)
-    assert got["12"]["gestor"] is None and got["11"]["data_adaptacao_rcvm175"] is None
+    assert got["10"]["name"] == "Um corrigido" and got["10"]["manager"] == "B"
+    assert got["10"]["age_years"] == pytest.approx((dt.date(2025, 12, 31) - dt.date(2002, 1, 1)).days / 365.25)
+    assert got["12"]["manager"] is None and got["11"]["started"] is None
 
 
 def test_terms_of_both_filings(spark, folder):
     statement = put(folder, "s.csv", "CNPJ_FUNDO_CLASSE;DT_COMPTC;TAXA_ADM;TAXA_PERFM;QT_DIA_CONVERSAO_COTA;QT_DIA_PAGTO_RESGATE;TP_DIA_PAGTO_RESGATE;APLIC_MIN", "1;2025-01-01;0.20;;1;4;DIAS ÚTEIS;100", "2;2025-01-01;x;;0;3;;")
-    a, b = fl.read_statement(spark, statement).orderBy("cnpj_classe").collect()
-    assert (a["taxa_adm"], a["dias_resgate"], a["aplicacao_minima"]) == (pytest.approx(0.002), 7, 100.0)
-    assert (b["taxa_adm"], b["dias_resgate"]) == (None, 3)
+    a, b = fl.read_statement(spark, statement).orderBy("entity").collect()
+    assert (a["fee"], a["redemption_days"], a["minimum_investment"]) == (pytest.approx(0.002), 7, 100.0)
+    assert (b["fee"], b["redemption_days"]) == (None, 3)
     factsheet = put(folder, "l.csv", "CNPJ_FUNDO_CLASSE;ID_SUBCLASSE;DT_COMPTC;TAXA_ADM;TAXA_PERFM;QT_DIA_CONVERSAO_COTA_RESGATE;QT_DIA_PAGTO_RESGATE;INVEST_INICIAL_MIN", "1;;2025-01-01;1;;1;4;1", "1;S;2025-01-01;1;;1;4;1")
     (row,) = fl.read_factsheet(spark, factsheet).collect()
-    assert (row["taxa_adm"], row["dias_resgate"]) == (0.01, 5)
+    assert (row["fee"], row["redemption_days"]) == (0.01, 5)
 
 
 def test_holders_holdings_and_rates(spark, folder):
     holders = put(folder, "p.csv", "CNPJ_FUNDO_CLASSE;NR_COTST_PF_VAREJO;NR_COTST_PF_PB;NR_COTST_DISTRIB;X", "1;2;3;;9", "2;;;4;9")
-    assert [tuple(r) for r in fl.read_investor_profile(spark, holders).orderBy("cnpj_classe").collect()] == [("1", 5.0, 0.0), ("2", 0.0, 4.0)]
+    assert [tuple(r) for r in fl.read_investor_profile(spark, holders).orderBy("entity").collect()] == [("1", 5.0, 0.0), ("2", 0.0, 4.0)]
     holdings = put(folder, "h.csv", "CNPJ_FUNDO_CLASSE;CNPJ_FUNDO_CLASSE_COTA;VL_MERC_POS_FINAL", "1;00.017.024/0001-53;5", "1;;5", "1;00017024000153;", "1;123;5")
     assert [tuple(r) for r in fl.read_holdings(spark, holdings).collect()] == [("1", "00017024000153", 5.0)]
     path = f"{folder}/r.json"
     with open(path, "w") as out:
         json.dump([{"data": "05/12/2025", "valor": "0.055131"}, {"data": "04/12/2025", "valor": "x"}], out)
     got = fl.read_rates(spark, path).collect()
-    assert [r["data"] for r in got] == [dt.date(2025, 12, 4), dt.date(2025, 12, 5)]
-    assert got[0]["taxa"] is None and got[1]["taxa"] == pytest.approx(0.00055131)
+    assert [r["ts"] for r in got] == [dt.date(2025, 12, 4), dt.date(2025, 12, 5)]
+    assert got[0]["rate"] is None and got[1]["rate"] == pytest.approx(0.00055131)
 
 
 def test_staging_parses_each_content_once(spark, folder):
@@ -118,7 +118,7 @@ def test_staging_parses_each_content_once(spark, folder):
     assert {r["state"] for r in sg.changed_inputs(before, now).collect()} == {"changed"}
     staged = sg.read_months(spark, target, dt.date(2025, 10, 1), dt.date(2025, 10, 31))
     assert staged.count() == 4
-    assert [r["valor_cota"] for r in sg.current_rows(staged, now).collect()] == [11.0]
+    assert [r["price"] for r in sg.current_rows(staged, now).collect()] == [11.0]
     assert sg.read_months(spark, target, dt.date(2024, 1, 1), dt.date(2024, 2, 1)).count() == 0
 
 
@@ -130,11 +130,11 @@ def test_months_of_equal_file_names_are_told_apart(spark, folder):
     put(other, "inf.csv", HEADER, line.format("1-03", 13))
     assert sg.stage_daily(spark, paths, target, fl.read_daily_report) == ["202511"]
     current = sg.current_rows(spark.read.parquet(target), sg.fingerprints(spark, list(paths.values())))
-    assert sorted(r["valor_cota"] for r in current.collect()) == [11.0, 13.0]
+    assert sorted(r["price"] for r in current.collect()) == [11.0, 13.0]
 
 
 def test_optional_inputs_become_empty_tables(spark, folder):
-    schema = T.StructType([T.StructField("cnpj_classe", T.StringType())])
+    schema = T.StructType([T.StructField("entity", T.StringType())])
     assert sg.read_or_empty(spark, f"{folder}/absent.csv", fl.read_holdings, schema).count() == 0
 
 
@@ -158,7 +158,7 @@ def test_streamed_reports_are_split_and_not_read_twice(spark, folder):
         query.awaitTermination(120)
         assert query.exception() is None
     clean = spark.read.parquet(f"{folder}/out/clean")
-    assert [r["cnpj_classe"] for r in clean.collect()] == ["00017024000153"]
+    assert [r["entity"] for r in clean.collect()] == ["00017024000153"]
     assert spark.read.parquet(f"{folder}/out/quarantine").count() == 2
 
 

@@ -351,7 +351,7 @@ def judged_report(t: Tables):
 
 
 @query(
-    "scl8_triage", "SCL-7 SCL-8 DED-2 SNK-8",
+    "scl8_triage", "SCL-7 SCL-8 DED-2",
     with_clause(RAW_SQL) + f"SELECT key, ts, seq, reason, disposition, {columns_r6('price', 'assets')} FROM fated",
 )
 def _(t: Tables):

@@ -36,12 +36,12 @@ def read_months(spark: SparkSession, path: str, start: dt.date, end: dt.date) ->
     return read_parts(spark, [path]).filter(F.col("month").isin(months_touched(start, end)))
 
 
-def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+def empty_table(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
 def read_or_empty(
-    spark: SparkSession, path: str, reader: Callable[[SparkSession, str], DataFrame], schema: T.StructType
+    spark: SparkSession, path: str, reader: Callable[[SparkSession, str], DataFrame], schema: T.StructType | str
 ) -> DataFrame:
     """An optional input: read where present, else an empty table of its schema."""
     return reader(spark, path) if path_exists(spark, path) else empty_table(spark, schema)

@@ -3,11 +3,11 @@
 A legal conversation is an optional system turn, then user and assistant in turn, ending with the assistant. The automaton has a state per
 last role (none, system, user, assistant). Each given turn is kept, merged into the turn before it (same role), given another role,
 or preceded by empty turns; a trailing user turn gets an empty answer. Costs are parameters, and dynamic programming over the
-automaton finds the cheapest repair; equal costs prefer fewer changes of roles, then the state that comes first.
+automaton finds the cheapest repair; of equal ones, each turn in order takes the cheapest step, then the role that comes first, then no merge.
 
 A conversation may be as long as a third of the table, so it is no group. Rows are sorted by (conversation, turn, role, text) in ranges;
-every piece of at most `PIECE` turns of one conversation becomes a cost matrix between states, which is all
-that is needed to link pieces: a pass over the matrices finds the states between them, and every piece is then repaired alone. Rendered rows are per given
+every piece of at most `PIECE` turns of one conversation becomes a cost matrix between states. A pass over the matrices from the end tells what it costs to
+finish after each piece; with that, a piece is repaired as it is within the whole, so where ranges are cut does not show. Rendered rows are per given
 turn; a merged turn is several rows with one output number, of which the first carries the header and the last the end mark.
 
 Defined results: roles are stripped and lowered, common other names are mapped; an unknown or null role has to be replaced. Null texts are empty.
@@ -134,19 +134,31 @@ def costs_after(batches: Iterator[pa.RecordBatch], costs) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int64()))], names=[*batch.schema.names, "after"])
 
 
+def exit_rows(batches: Iterator[pa.RecordBatch], costs) -> Iterator[pa.RecordBatch]:
+    """For every piece the state it leaves in, by the state it is entered in, when it is repaired as a part of the whole."""
+    steps = ways(costs)
+    for batch in batches:
+        exits = [
+            [repaired(roles, state, after, steps)[1] for state in range(4)]
+            for roles, after in zip(batch.column("roles").to_pylist(), batch.column("after").to_pylist())
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in (*KEYS, "after")), pa.array(exits, pa.list_(pa.int32()))], names=[*KEYS, "after", "exits"]
+        )
+
+
 def states_between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces of a conversation from the first: the states before and after each on a cheapest repair."""
+    """Pieces of a conversation from the first: the state before each."""
     last, state = object(), NONE
     for batch in batches:
-        enters, leaves = [], []
-        for conv, matrix, after in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "matrix", "after"))):
+        enters = []
+        for conv, exits in zip(batch.column("conv_id").to_pylist(), batch.column("exits").to_pylist()):
             if conv != last:
                 last, state = conv, NONE
             enters.append(state)
-            state = min(range(4), key=lambda e: matrix[4 * state + e] + after[e])
-            leaves.append(state)
+            state = exits[state]
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in KEYS), pa.array(enters, pa.int32()), pa.array(leaves, pa.int32())], names=[*KEYS, "enters", "leaves"]
+            [*(batch.column(c) for c in (*KEYS, "after")), pa.array(enters, pa.int32())], names=[*KEYS, "after", "enters"]
         )
 
 
@@ -155,8 +167,10 @@ def repaired_rows(batches: Iterator[pa.RecordBatch], costs) -> Iterator[pa.Recor
     steps = ways(costs)
     for batch in batches:
         out: list[list] = [[], [], []]
-        for roles, enters, leaves in zip(*(batch.column(c).to_pylist() for c in ("roles", "enters", "leaves"))):
-            made, _ = repaired(roles, enters, [0 if s == leaves else FAR for s in range(4)], steps)
+        left = []
+        for roles, enters, after in zip(*(batch.column(c).to_pylist() for c in ("roles", "enters", "after"))):
+            made, leaves = repaired(roles, enters, after, steps)
+            left.append(leaves)
             rows, turn = [], -1
             for place, (given, (to, inserted, merged)) in enumerate(zip(roles, made)):
                 for role in inserted:
@@ -171,7 +185,7 @@ def repaired_rows(batches: Iterator[pa.RecordBatch], costs) -> Iterator[pa.Recor
             out[1].append(made[0][2])
             out[2].append(rows)
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in KEYS), batch.column("leaves"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.bool_()), pa.array(out[2], ROWS)],
+            [*(batch.column(c) for c in KEYS), pa.array(left, pa.int32()), pa.array(out[0], pa.int64()), pa.array(out[1], pa.bool_()), pa.array(out[2], ROWS)],
             names=[*KEYS, "leaves", "turns", "joins", "rows"],
         )
 
@@ -200,8 +214,11 @@ def formatted(conversations: DataFrame, costs: tuple[int, int, int] = (MERGE, RE
     matrices = pieces.mapInArrow(partial(matrix_rows, costs=costs), f"{keyed}, matrix array<long>")
     backward = matrices.repartition("conv_id").sortWithinPartitions("conv_id", F.desc("part"), F.desc("piece"))
     costed = backward.mapInArrow(partial(costs_after, costs=costs), f"{keyed}, matrix array<long>, after array<long>")
-    forward = costed.repartition("conv_id").sortWithinPartitions(*KEYS)
-    states = forward.mapInArrow(states_between, f"{keyed}, enters int, leaves int").select("part", "piece", "enters", "leaves")
+    exits = pieces.join(costed.select("part", "piece", "after"), ["part", "piece"]).mapInArrow(
+        partial(exit_rows, costs=costs), f"{keyed}, after array<long>, exits array<int>"
+    )
+    forward = exits.repartition("conv_id").sortWithinPartitions(*KEYS)
+    states = forward.mapInArrow(states_between, f"{keyed}, after array<long>, enters int").select("part", "piece", "after", "enters")
     made = pieces.join(states, ["part", "piece"]).mapInArrow(
         partial(repaired_rows, costs=costs),
         f"{keyed}, leaves int, turns long, joins boolean, "
@@ -235,5 +252,7 @@ def formatted(conversations: DataFrame, costs: tuple[int, int, int] = (MERGE, RE
 
 
 def rendered(role: Column, text: Column, opens: Column, closes: Column) -> Column:
+    # A marker inside a text gets one more backslash, so that a text cannot open or close a turn.
+    text = F.regexp_replace(text, "<(\\\\*)\\|", "<$1\\\\|")
     head = F.when(opens, F.concat(F.lit("<|"), role, F.lit("|>\n"))).otherwise(F.lit("\n"))
     return F.concat(head, text, F.when(closes, F.lit("<|end|>\n")).otherwise(F.lit("")))

@@ -182,7 +182,8 @@ def window_scores(
         for at in np.array_split(np.arange(len(keys)), -(-len(keys) // 256)):
             item, doc, tile = keys[at].T
             length = np.diff(items.first)[item]
-            slack = length // 4 + n
+            # A copy at the threshold can hold this many words of its own, on either side of its seed.
+            slack = np.ceil(2 * (1 - least) * length).astype(np.int64) + n
             start = np.maximum(tile * length - slack, 0)
             size = words.first[doc + 1] - words.first[doc]
             stop = np.minimum((tile + 2) * length + slack, size)
@@ -221,7 +222,10 @@ def contaminated(
     docs: DataFrame, benchmark: DataFrame, n: int = 4, least: float = 0.5, rare: float = 0.001, factor: int = 8,
     block_words: int = 1_000_000,
 ) -> DataFrame:
-    """(doc_id, item_id, score, end_word): documents (doc_id, text) that hold a copy of an item (item_id, text), edited or not."""
+    """(doc_id, item_id, score, end_word): documents (doc_id, text) that hold a copy of an item (item_id, text), edited or not.
+
+    Items without id or text are no test items and are left out.
+    """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text"))
     items = materialise(

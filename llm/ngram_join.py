@@ -351,6 +351,13 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) ->
     return full.mapInArrow(partial(linked_rows, k=k, num=num, den=den), "a long, b long").distinct()
 
 
+def same_ids(rows: DataFrame) -> DataFrame:
+    """(a, b): what ties the texts of an id that has several, where they stand for different nodes; links of any row count for all rows of its id."""
+    several = rows.filter("node IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
+    tied = rows.select("doc_id", "node").join(several.select("doc_id", "low"), "doc_id").filter("node > low")
+    return tied.select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """(doc_id, n_shingles, component_id) of documents (doc_id, text), linked at Jaccard num / den or more."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -417,7 +424,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10)
     grouped = dealt.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
     more = grouped.mapInArrow(partial(block_pairs, num=num, den=den), "a long, b long").distinct()
     more = materialise(more.join(stars, ["a", "b"], "left_anti"), "tree-pairs")
-    every = links.unionByName(verified(bounded(more, points, num, den), texts, k, num, den))
+    every = links.unionByName(verified(bounded(more, points, num, den), texts, k, num, den)).unionByName(same_ids(rows))
     final = components(every)
     return (
         rows.select("doc_id", "n_shingles", "node")

@@ -11,7 +11,8 @@ import __spark_entry__ as entry  # noqa: E402
 from oracle import compare, connect  # noqa: E402
 
 FOLDER = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.001")
-SLOW = {"bt6_replayed_rankings", "snk4_ranking_document"}
+# Queries that find nothing in the smallest tables, in Spark and in SQL alike.
+EMPTY_WHEN_SMALL = {"jn7_measured_fees", "sco7_twin_pairs", "sco8_displaced"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
 
@@ -21,10 +22,10 @@ def connection():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_equals_its_sql(spark, connection, name):
     problem = compare(spark, connection, FOLDER, name, entry.queries()[name], entry.oracle_sql().get(name))
-    if problem in ("no rows on either side", "no rows"):
+    if problem == "no rows on either side" and name in EMPTY_WHEN_SMALL:
         problem = None
     assert problem is None, problem
 

@@ -10,7 +10,7 @@ from peervane.sources import documents as dc
 from peervane.sources import filings as fl
 from peervane.sources import staged as sg
 from peervane.sources.text import read_delimited, union_drifting
-from peervane.streaming.staging import stage_stream, stream_daily_reports
+from peervane.streaming.staging import newest_rows, stage_stream, stream_daily_reports
 
 HEADER = "TP_FUNDO_CLASSE;CNPJ_FUNDO_CLASSE;ID_SUBCLASSE;DT_COMPTC;VL_TOTAL;VL_QUOTA;VL_PATRIM_LIQ;CAPTC_DIA;RESG_DIA;NR_COTST"
 
@@ -152,14 +152,30 @@ def test_quarantine_is_written_by_reason(spark, folder):
 def test_streamed_reports_are_split_and_not_read_twice(spark, folder):
     incoming = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     daily(incoming, "one.csv")
-    judged = stream_daily_reports(spark, incoming, HEADER.split(";"))
+    rows = stream_daily_reports(spark, incoming, HEADER.split(";"))
     for _ in range(2):
-        query = stage_stream(judged, f"{folder}/out", f"{folder}/checkpoint")
+        query = stage_stream(rows, f"{folder}/out", f"{folder}/checkpoint", dt.date(2025, 12, 31))
         query.awaitTermination(120)
         assert query.exception() is None
     clean = spark.read.parquet(f"{folder}/out/clean")
     assert [r["entity"] for r in clean.collect()] == ["00017024000153"]
     assert spark.read.parquet(f"{folder}/out/quarantine").count() == 2
+    counts = {r["disposition"]: r["n_rows"] for r in spark.read.parquet(f"{folder}/out/accounting").collect()}
+    assert counts["clean"] == 1 and counts["quarantined"] == 2
+
+
+def test_a_later_batch_restates_and_takes_back(spark, folder):
+    incoming = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    line = "FI;00017024000153;;2025-10-{:02d};1;{};100;1;2;7"
+    for name, lines in (("a.csv", [(1, 10), (1, 11), (2, 20), (3, 30)]), ("b.csv", [(2, 21), (3, -1)]), ("c.csv", [(4, 40), (28, 50)])):
+        put(incoming, name, HEADER, *[line.format(*x) for x in lines])
+        rows = stream_daily_reports(spark, incoming, HEADER.split(";"))
+        query = stage_stream(rows, f"{folder}/out", f"{folder}/checkpoint", dt.date(2025, 10, 27))
+        query.awaitTermination(120)
+        assert query.exception() is None
+    got = {r["ts"].day: r["price"] for r in newest_rows(spark, f"{folder}/out").collect()}
+    assert got == {1: 11.0, 2: 21.0, 4: 40.0}
+    assert spark.read.parquet(f"{folder}/out/future").count() == 1
 
 
 def test_document_fields_are_sorted_and_checked(spark, folder):

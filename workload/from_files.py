@@ -10,6 +10,7 @@ from peervane.functions.keys import closing_digits
 from peervane.plans.run import run
 from peervane.session import scratch_path
 from peervane.sources.documents import comparison_list
+from peervane.streaming.staging import newest_rows, stage_stream, stream_daily_reports
 from workload.backtests import RANK_CTES, SETTINGS
 from workload.base import (
     HOLDINGS_SQL,
@@ -102,3 +103,30 @@ def _(t: Tables):
     """The inputs of `sco12_ranked_profiles` written as text, read, triaged, checked and ranked; investor profiles are missing."""
     made = run(t.spark, publish(t), SETTINGS, REFERENCE)
     return comparison_list(made.ranking.listed)
+
+
+HEADER = ("CNPJ_FUNDO_CLASSE", "ID_SUBCLASSE", "DT_COMPTC", "VL_QUOTA", "VL_PATRIM_LIQ", "NR_COTST")
+STREAMED_SQL = f"""numbered AS (SELECT *, month(ts) AS m FROM {full_key_sql("(SELECT entity + 1 AS number, * FROM panel)", "lpad(number::VARCHAR, 12, '0')")}),
+last AS (SELECT key, ts, CASE WHEN m % 4 = 3 THEN -1 WHEN m % 2 = 1 THEN price * 2 ELSE price END AS price, assets, holders FROM numbered)"""
+
+
+@query(
+    "snk1_streamed_restatements", "SNK-1 DED-3 SCL-8",
+    with_clause(PANEL_SQL, STREAMED_SQL) + f"""SELECT key AS entity, ts, holders, {columns_r6('price', 'assets')} FROM last WHERE price > 0 AND ts <= DATE '{REFERENCE}'""",
+)
+def _(t: Tables):
+    """The panel arrives in three batches: all of it, every odd month at twice the price, and every fourth month without a usable price."""
+    spark = t.spark
+    incoming, target, checkpoint = (scratch_path(spark, name) for name in ("incoming", "streamed", "progress"))
+    month = F.month("ts")
+    parts = [t.panel, t.panel.filter(month % 2 == 1).withColumn("price", F.col("price") * 2), t.panel.filter(month % 4 == 3).withColumn("price", F.lit(-1.0))]
+    for number, part in enumerate(parts):
+        lines = part.select(
+            key_of("entity").alias("CNPJ_FUNDO_CLASSE"), F.lit(None).cast("string").alias("ID_SUBCLASSE"), F.col("ts").alias("DT_COMPTC"),
+            F.col("price").alias("VL_QUOTA"), F.col("assets").alias("VL_PATRIM_LIQ"), F.col("holders").alias("NR_COTST"),
+        )
+        writer = lines.write.option("sep", ";").option("header", True).option("encoding", "ISO-8859-1").option("quote", "")
+        writer.option("escapeQuotes", False).csv(f"{incoming}/part={number}")
+        query = stage_stream(stream_daily_reports(spark, f"{incoming}/*", list(HEADER)), target, checkpoint, REFERENCE)
+        query.awaitTermination()
+    return newest_rows(spark, target).select("entity", "ts", "holders", "price", "assets")

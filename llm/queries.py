@@ -121,7 +121,7 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 
 
 def op9_two_pass_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.sharded(table(spark, sf_dir, "documents"))
+    return sharding.placed_records(table(spark, sf_dir, "documents"))
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 from llm.tables import materialise
 
 OVERHEAD = 8  # bytes of a record beside its text
+BUCKETS_IN_TASK = 8  # at most: a task permutes them one after the other
 
 
 def sharded(
-    docs: DataFrame, shards: int = 24, bucket_bytes: int = 64 << 20, seed: int = 11, keep: Sequence[str] = (),
+    docs: DataFrame, shards: int = 24, bucket_bytes: int = 16 << 20, seed: int = 11, keep: Sequence[str] = (),
 ) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard, *keep) for every row of (doc_id, text).
 
@@ -51,7 +52,7 @@ def sharded(
     starts = counts.select("bucket", before.alias("start"))
     entry = F.struct("record", "doc_id", "size", "text_crc32", "kept")
     gathered = (
-        named.repartition(parallel, "bucket").groupBy("bucket")
+        named.repartition(max(parallel, -(-buckets // BUCKETS_IN_TASK)), "bucket").groupBy("bucket")
         .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
         .sortWithinPartitions("bucket")
     )
@@ -72,9 +73,19 @@ def sharded(
     )
 
 
+def placed_records(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, size, text_crc32, law, shard, slot, grown_shard): whole records go through both passes, and what arrives is measured."""
+    placed = sharded(docs.select("doc_id", F.col("text").cast("string").alias("text")), keep=["text"], **options)
+    text = F.coalesce("text", F.lit(""))
+    return placed.select(
+        "doc_id", (F.octet_length(text) + F.lit(OVERHEAD)).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+        "law", "shard", "slot", "grown_shard",
+    )
+
+
 def write_shards(docs: DataFrame, path: str, columns: Sequence[str] = ("doc_id", "text"), **options) -> None:
-    """Write the shards as folders shard=0, shard=1, ..., each in the order of its slots."""
+    """Write the shards as folders shard=0, shard=1, ...; a shard is as many files as it needs, which follow its slots in order."""
     carried = docs.select(*(F.col(c).alias(f"carried_{c}") for c in columns), "doc_id", "text")
     placed = sharded(carried, keep=[f"carried_{c}" for c in columns], **options)
     out = placed.select(*(F.col(f"carried_{c}").alias(c) for c in columns), "slot", "shard")
-    out.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

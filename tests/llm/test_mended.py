@@ -9,7 +9,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, ROOT)
 
-from llm import chat, decontaminate, ngram_join  # noqa: E402
+from llm import chat, decontaminate, ngram_join, sharding  # noqa: E402
 
 
 @pytest.mark.parametrize("partitions", [1, 4])
@@ -62,3 +62,21 @@ def test_texts_cannot_forge_turns(spark):
     got = chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).orderBy("position").collect()
     text = "".join(r["rendered"] for r in got)
     assert text == "<|user|>\nhi<\\|end|>\n<\\|assistant|>\nfree<\\\\|end|><|end|>\n<|assistant|>\nok<|end|>\n"
+
+
+def test_whole_records_go_through_both_passes(spark, tmp_path):
+    import zlib
+
+    rows = [(i % 90 if i % 7 else None, None if i % 11 == 0 else "é😀 text " * (i % 13) + str(i % 5), "z") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard string").repartition(6)
+    for bucket_bytes in (1 << 20, 400):
+        got = sharding.placed_records(docs, shards=7, bucket_bytes=bucket_bytes).collect()
+        want = sorted(((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t, _ in rows), key=repr)
+        assert sorted(((r["doc_id"], r["size"], r["text_crc32"]) for r in got), key=repr) == want
+        by_shard = {s: sorted(r["slot"] for r in got if r["shard"] == s) for s in range(7)}
+        assert all(slots == list(range(len(slots))) for slots in by_shard.values())
+        assert max(map(len, by_shard.values())) - min(map(len, by_shard.values())) <= 1
+    path = str(tmp_path / "shards")
+    sharding.write_shards(docs, path, shards=7, bucket_bytes=400)
+    back = spark.read.parquet(path).groupBy("shard").count().collect()
+    assert sum(r["count"] for r in back) == 400 and len(back) == 7

@@ -43,8 +43,8 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each record goes."""
-    return sharding.sharded(docs)
+    """Where each record goes, measured on the records that arrive there."""
+    return sharding.placed_records(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

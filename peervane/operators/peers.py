@@ -221,27 +221,31 @@ def weights_wide(weights: DataFrame, metrics: Sequence[str], value: str, by: Seq
     )
 
 
-STATISTICS = (
-    "profile", "metric", "ord", "weight", "jitter", "dispersion", "effective_weight", "inert", "low", "high"
-)
+STATISTICS = ("profile", "metric", "ord", "weight", "jitter", "dispersion", "effective_weight", "inert")
+BOUNDS = ("profile", "metric", "low", "high")
 
 
 def pool_statistics(
     pool: DataFrame, profiles: Sequence[Profile], metrics: Sequence[str], scoring: Scoring
-) -> DataFrame:
-    """Weights in force and clip bounds per (profile, metric), as a literal table.
+) -> tuple[DataFrame, DataFrame]:
+    """Weights in force, and clip bounds of every metric of every pool, weighed there or not, as literal tables.
 
-    One job reads the pool. Its rows number profiles x weighted metrics, which the
+    One table of counts serves both. Their rows number profiles x metrics, which the
     parameters bound, so they pass through the driver and become part of the plan.
     """
     spark = pool.sparkSession
     counts = metric_counts(pool, metrics)
-    keys = ["profile", "metric"]
     weights = effective_weights(
-        weights_table(spark, profiles), dispersion(counts, keys), scoring.min_dispersion
+        weights_table(spark, profiles), dispersion(counts, ["profile", "metric"]), scoring.min_dispersion
+    )
+    bounds = clip_bounds(counts, scoring.lower, scoring.upper)
+    # The types are spelled out: a literal table of an empty pool has no rows to take them from.
+    none = spark.createDataFrame([], "profile string, metric string, low double, high double")
+    found = sorted(bounds.select(*BOUNDS).collect())
+    return (
+        literal_table(spark, STATISTICS, sorted(weights.select(*STATISTICS).collect())),
+        literal_table(spark, BOUNDS, found) if found else none,
     )
-    found = weights.join(clip_bounds(counts, scoring.lower, scoring.upper), keys, "left")
-    return literal_table(spark, STATISTICS, sorted(found.select(*STATISTICS).collect()))
 
 
 def score_profiles(
@@ -255,11 +259,11 @@ def score_profiles(
     counts and again for the scores.
     """
     metrics = [m for m in metrics_of(profiles) if m in pool.columns]
-    weights = pool_statistics(pool, profiles, metrics, scoring)
+    weights, bounds = pool_statistics(pool, profiles, metrics, scoring)
     grouped = with_peer_groups(pool, group, scoring.min_group)
     sizes = ["peer_group", "peer_size", "pool_size"]
     rows = metric_rows(grouped, metrics, ["profile", "entity", *sizes])
-    rows = clipped_rows(rows, weights.select("profile", "metric", "low", "high"))
+    rows = clipped_rows(rows, bounds)
     ranked = percentile_rows(rows, metrics, directions)
     percentiles = widened(
         ranked, ["profile", "entity", *sizes], metrics, {"pct": "_pct", "pool_pct": "_pool_pct"}
@@ -269,4 +273,4 @@ def score_profiles(
         {"score": weighted_score(metrics), "pool_score": weighted_score(metrics, "_pool_pct")}
     )
     scored = pool.join(scored.drop(*[f"w_{m}" for m in metrics]), ["profile", "entity"])
-    return scored, weights.drop("low", "high")
+    return scored, weights

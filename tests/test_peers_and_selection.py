@@ -226,3 +226,16 @@ def test_manager_share(spark):
     got = se.manager_share(spark.createDataFrame(rows, "profile string, manager string")).collect()
     assert [(r["manager"], r["share"]) for r in sorted(got, key=lambda r: (-r["n"], r["manager"]))][:2] == [("a", 0.2667), ("b", 0.2)]
     assert len(got) <= 5
+
+
+def test_metrics_a_profile_does_not_weigh_are_clipped_in_its_pool(spark):
+    """Every percentile is of clipped values, also where the weight of the metric is another profile's."""
+    profiles = [Profile("a", {"excess_return": 100}), Profile("b", {"volatility": 100})]
+    rows = [(p.profile_id, f"{i:03}", "g", float(i), float(i)) for p in profiles for i in range(201)]
+    pool = materialise(spark.createDataFrame(rows, "profile string, entity string, grp string, excess_return double, volatility double"), "pool")
+    scored, _ = pe.score_profiles(pool, profiles, DIRECTIONS, Scoring(min_group=3))
+    for profile in ("a", "b"):
+        first = scored.filter((F.col("profile") == profile) & F.col("entity").isin("000", "001", "002", "003"))
+        places = {r["entity"]: (r["excess_return_pct"], r["volatility_pool_pct"]) for r in first.collect()}
+        assert len({places[e] for e in ("000", "001", "002")}) == 1
+        assert places["003"][0] > places["002"][0] and places["003"][1] < places["002"][1]

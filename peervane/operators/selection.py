@@ -9,7 +9,7 @@ repeats, so a list of n needs at most n rounds.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -60,19 +60,31 @@ def _fold(window: DataFrame, groups: Sequence[str], edges: DataFrame, room: Colu
     )
 
 
-def first_distinct(
-    rows: DataFrame, groups: Sequence[str], order: str, edges: DataFrame, n: int, prefix: int = PREFIX
+def class_heads(rows: DataFrame, groups: Sequence[str], order: str, classes: DataFrame) -> DataFrame:
+    """(groups, entity, order, holder): the first row of every class in each group, under the name of its class.
+
+    Copies share their twins, so whatever becomes of the first one keeps all others off the list. Equal
+    classes collapse on the map side. An entity without a class is its own.
+    """
+    kind = F.coalesce("class", "entity").alias("_class")
+    known = rows.join(classes.select("entity", "class"), "entity", "left")
+    first = known.groupBy(*groups, kind).agg(F.min(F.struct(F.col(order).alias("o"), F.col("entity").alias("e"))).alias("_first"))
+    return first.select(*groups, F.col("_class").alias("entity"), F.col("_first.o").alias(order), F.col("_first.e").alias("holder"))
+
+
+def walk(
+    leading: Callable[[DataFrame | None, DataFrame | None], DataFrame], groups: Sequence[str], edges: DataFrame, n: int, prefix: int
 ) -> DataFrame:
     """(groups, pick, entity): the first n of each order that repeat nothing chosen.
 
-    `rows` is (groups, entity, order); `edges` is (entity, twin) in both directions.
+    `leading(unfilled, gone)` gives the first `prefix` rows of every group as (groups, entity, position, _held); after the
+    first round, of the groups in `unfilled` (groups, _held) alone and without the (groups, entity) in `gone`.
     """
     groups = list(groups)
-    prefix = max(prefix, n)
     parts: list[DataFrame] = []
-    remaining = rows.select(*groups, "entity", order).withColumn("_held", F.lit(0))
+    unfilled = gone = None
     for _ in range(n):
-        window = top_per_group(remaining, groups, [F.col(order)], prefix)
+        window = leading(unfilled, gone)
         walked = materialise(_fold(window, groups, edges, F.lit(n) - F.col("_held")), "walk")
         picks = walked.select(*groups, F.posexplode("picks").alias("_at", "entity"))
         held = reduce(DataFrame.unionByName, parts).groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")) if parts else None
@@ -89,31 +101,65 @@ def first_distinct(
             break
         repeated = chosen.join(edges.select("entity", "twin"), "entity").select(*groups, F.col("twin").alias("entity"))
         gone = chosen.select(*groups, "entity").unionByName(repeated)
-        remaining = (
-            rows.select(*groups, "entity", order)
-            .join(unfilled, groups)
-            .join(gone, [*groups, "entity"], "left_anti")
-        )
     return reduce(DataFrame.unionByName, parts)
 
 
+def first_distinct(
+    rows: DataFrame, groups: Sequence[str], order: str, edges: DataFrame, n: int, prefix: int = PREFIX,
+    classes: DataFrame | None = None,
+) -> DataFrame:
+    """(groups, pick, entity): the first n of each order that repeat nothing chosen.
+
+    `rows` is (groups, entity, order); `edges` is (entity, twin) in both directions. With `classes`, which
+    is (entity, class), the edges are between classes, and members of one class repeat each other.
+    """
+    groups = list(groups)
+    prefix = max(prefix, n)
+    if classes is not None:
+        heads = materialise(class_heads(rows, groups, order, classes), "heads")
+        picked = first_distinct(heads, groups, order, edges, n, prefix)
+        return picked.join(heads.select(*groups, "entity", "holder"), [*groups, "entity"]).select(
+            *groups, "pick", F.col("holder").alias("entity")
+        )
+
+    def leading(unfilled: DataFrame | None, gone: DataFrame | None) -> DataFrame:
+        remaining = rows.select(*groups, "entity", order)
+        if unfilled is None:
+            remaining = remaining.withColumn("_held", F.lit(0))
+        else:
+            remaining = remaining.join(unfilled, groups).join(gone, [*groups, "entity"], "left_anti")
+        return top_per_group(remaining, groups, [F.col(order)], prefix)
+
+    return walk(leading, groups, edges, n, prefix)
+
+
 def displaced(
-    rows: DataFrame, groups: Sequence[str], order: str, edges: DataFrame, chosen: DataFrame, n: int
+    rows: DataFrame, groups: Sequence[str], order: str, edges: DataFrame, chosen: DataFrame, n: int,
+    classes: DataFrame | None = None,
 ) -> DataFrame:
     """(groups, entity, duplicate_of, distance): rows the walk reached and passed over.
 
     A passed-over row precedes the end of the walk and repeats an entity chosen
-    before it; it names the closest such one.
+    before it; it names the closest such one. With `classes`, `edges` are between them.
     """
     groups = list(groups)
-    placed = chosen.filter(F.col("pick") <= n).join(rows.select(*groups, "entity", order), [*groups, "entity"])
+    ordered = rows.select(*groups, "entity", order)
+    if classes is None:
+        ordered = ordered.withColumn("_class", F.col("entity"))
+    else:
+        known = classes.select("entity", F.col("class").alias("_class"))
+        ordered = ordered.join(known, "entity", "left").withColumn("_class", F.coalesce("_class", "entity"))
+    placed = chosen.filter(F.col("pick") <= n).select(*groups, "entity", "pick").join(ordered, [*groups, "entity"])
     ends = placed.groupBy(*groups).agg(
         F.max(order).alias("_last"), F.count(F.lit(1)).alias("_filled")
     )
-    holders = placed.select(*groups, F.col("entity").alias("twin"), F.col(order).alias("_held_at"))
+    holders = placed.select(*groups, F.col("entity").alias("twin"), F.col(order).alias("_held_at"), F.col("_class").alias("_near"))
+    near = holders.join(edges.select(F.col("entity").alias("_class"), F.col("twin").alias("_near"), "distance"), "_near")
+    if classes is not None:
+        own = holders.select("*", F.col("_near").alias("_class"), F.lit(0.0).alias("distance"))
+        near = near.unionByName(own)
     candidates = (
-        holders.join(edges, "twin")
-        .join(rows.select(*groups, "entity", order), [*groups, "entity"])
+        near.drop("_near").join(ordered, [*groups, "_class"])
         .filter(F.col("_held_at") < F.col(order))
         .join(ends, groups)
         .filter((F.col("_filled") < n) | (F.col(order) < F.col("_last")))
@@ -149,9 +195,9 @@ def exclusion_reason() -> Column:
 
 def gated_selection(
     scored: DataFrame, groups: Sequence[str], order: str, edges: DataFrame, top_n: int, size: int,
-    prefix: int = PREFIX,
+    prefix: int = PREFIX, classes: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(listed, displaced, struck) under the vetoes.
+    """(listed, displaced, struck) under the vetoes; `classes` as in `first_distinct`.
 
     `listed` is the longer list; its first `top_n` are the delivered one, since
     a walk for fewer stops earlier on the same path. `struck` are the vetoed
@@ -162,10 +208,10 @@ def gated_selection(
     walks = kept.select(*groups, "entity", order, F.lit(True).alias("gated")).unionByName(
         scored.select(*groups, "entity", order, F.lit(False).alias("gated"))
     )
-    walked = first_distinct(walks, ["gated", *groups], order, edges, max(size, top_n), prefix)
+    walked = first_distinct(walks, ["gated", *groups], order, edges, max(size, top_n), prefix, classes)
     delivered = F.col("pick") <= top_n
     listed = walked.filter("gated").drop("gated").withColumn("delivered", delivered)
-    over = displaced(kept, groups, order, edges, listed, top_n)
+    over = displaced(kept, groups, order, edges, listed, top_n, classes)
     ungated = walked.filter(~F.col("gated") & delivered)
     struck = ungated.select(*groups, "entity").join(
         scored.filter("vetoed"), [*groups, "entity"]

@@ -13,10 +13,16 @@ and a few parts of it, for the others; a pair is judged in the first stretch bot
 fill, and only pairs that fill no stretch together are compared without a grid.
 Cells are split into tiles of bounded size, and a task compares one pair of tiles,
 a series of one against all of the other. Nothing within the threshold is missed.
+
+Copies are compared once. Entities of a manager whose returns agree on every day, to
+nine digits, are one class; the smallest of them stands for all, and only such
+representatives are compared. Pairs of entities follow from pairs of classes.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +36,8 @@ from peervane.operators.series import (
 from peervane.session import materialise, wide_parallelism
 
 TILE = 128
+# Returns that agree to so many digits are the same return of a copy.
+CLASS_DIGITS = 9
 PARTS = 4
 WHOLE, APART = 0, -1  # stretches: the whole calendar, and none in common
 TILE_KEY = ("cell", "gaps", "tile")
@@ -162,12 +170,76 @@ def _tile_pairs(cells: DataFrame) -> DataFrame:
     return spread.filter(~same | (F.col("tile_a") <= F.col("tile_b"))).select(*TILE_PAIR)
 
 
+@dataclass(frozen=True)
+class Twins:
+    """Twins by class, both tables stored.
+
+    `classes` is (entity, class, copies, days): the class an entity belongs to, named by its smallest member, and
+    how many share it. Entities with too few days for any twin are left out. `pairs` is (a, b, distance, overlap)
+    with a < b, between classes. Members of one class are twins of each other at no distance.
+    """
+
+    classes: DataFrame
+    pairs: DataFrame
+
+    @property
+    def links(self) -> DataFrame:
+        """(entity, twin, distance): pairs of classes seen from both ends."""
+        return both_directions(self.pairs)
+
+    @property
+    def expanded(self) -> DataFrame:
+        """(a, b, distance, overlap) with a < b for every pair of entities."""
+        one, other = (
+            self.classes.select(F.col("class").alias(side), F.col("entity").alias(f"_{side}")) for side in ("a", "b")
+        )
+        across = self.pairs.join(one, "a").join(other, "b").select(
+            F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), "distance", "overlap"
+        )
+        shared = self.classes.filter("copies > 1")
+        mine = shared.select("class", F.col("entity").alias("a"), F.col("days").cast("bigint").alias("overlap"))
+        within = mine.join(shared.select("class", F.col("entity").alias("b")), "class").filter("a < b")
+        return across.unionByName(within.select("a", "b", F.lit(0.0).alias("distance"), "overlap"))
+
+
+def _classes(vectors: DataFrame) -> DataFrame:
+    """(entity, class, copies, days) of vectors with a digest: equal digests collapse on the map side."""
+    key = ["manager", "digest"]
+    firsts = vectors.groupBy(*key).agg(F.min("entity").alias("class"), F.count(F.lit(1)).alias("copies"))
+    return vectors.select(*key, "entity", F.size("days").alias("days")).join(firsts, key).select(
+        "entity", "class", "copies", "days"
+    )
+
+
 def twin_pairs(
     returns: DataFrame, threshold: float, min_overlap: int, periods: int = PERIODS_PER_YEAR,
     tile: int = TILE,
 ) -> DataFrame:
     """(a, b, distance, overlap) with a < b for every pair within the threshold."""
-    vectors = _with_cells(materialise(_vectors(returns), "vectors"), threshold, periods)
+    return twin_classes(returns, threshold, min_overlap, periods, tile).expanded
+
+
+def twin_classes(
+    returns: DataFrame, threshold: float, min_overlap: int, periods: int = PERIODS_PER_YEAR,
+    tile: int = TILE,
+) -> Twins:
+    """Classes of copies, and the pairs of them within the threshold."""
+    # A sum of 0.0 makes a negative zero a plain one.
+    digits = F.transform("rets", lambda r: F.round(r, CLASS_DIGITS) + F.lit(0.0))
+    digest = F.unhex(F.sha2(F.to_json(F.struct("days", digits.alias("rets"))), 256))
+    enough = _vectors(returns).filter(F.size("days") >= max(min_overlap, 1))
+    vectors = materialise(enough.withColumn("digest", digest), "vectors")
+    classes = materialise(_classes(vectors), "classes")
+    firsts = classes.filter(F.col("entity") == F.col("class")).select("entity")
+    firsts = materialise(vectors.drop("digest").join(firsts, "entity", "left_semi"), "representatives")
+    pairs = _pairs(firsts, threshold, min_overlap, periods, tile)
+    return Twins(classes, materialise(pairs, "twin-classes"))
+
+
+def _pairs(vectors: DataFrame, threshold: float, min_overlap: int, periods: int, tile: int) -> DataFrame:
+    """(a, b, distance, overlap) of stored vectors."""
+    spark = vectors.sparkSession
+    vectors = _with_cells(vectors, threshold, periods)
     where = ["manager", "stretch", "cell", "gaps"]
     cells = vectors.groupBy(*where).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(float(tile))).cast("int").alias("tiles")
@@ -227,7 +299,7 @@ def twin_pairs(
                     found.append((a, b, float(distance), int(n)))
         return pd.DataFrame(found, columns=columns)
 
-    rows = side("a").unionByName(side("b")).repartition(wide_parallelism(returns.sparkSession), *TILE_PAIR)
+    rows = side("a").unionByName(side("b")).repartition(wide_parallelism(spark), *TILE_PAIR)
     return rows.groupBy(*TILE_PAIR).applyInPandas(
         compare, f"a {entity_type}, b {entity_type}, distance double, overlap bigint"
     )

@@ -239,3 +239,39 @@ def test_metrics_a_profile_does_not_weigh_are_clipped_in_its_pool(spark):
         places = {r["entity"]: (r["excess_return_pct"], r["volatility_pool_pct"]) for r in first.collect()}
         assert len({places[e] for e in ("000", "001", "002")}) == 1
         assert places["003"][0] > places["002"][0] and places["003"][1] < places["002"][1]
+
+
+def copied_returns(spark):
+    """Twelve series, four of them alike by twos, each with five copies up to noise in the last place; one copy is too short."""
+    rows = []
+    for base in range(12):
+        own = random.Random(base // 2 if base < 4 else base)
+        rets = [own.gauss(0, 0.01) + base * 1e-5 * (d % 2) for d in range(40)]
+        for copy in range(5):
+            for d, r in enumerate(rets if (base, copy) != (7, 4) else rets[:10]):
+                rows.append(("m", base + 12 * copy, d, r * (1 + 2e-16 * copy)))
+    return materialise(spark.createDataFrame(rows, "manager string, entity int, day_index int, ret double"), "returns")
+
+
+def test_copies_are_compared_once_and_lose_no_pair(spark):
+    returns = copied_returns(spark)
+    found = tw.twin_classes(returns, 0.001, 30)
+    assert found.classes.select("class").distinct().count() == 12 and found.pairs.count() == 2
+    got = {(r["a"], r["b"]): (r["distance"], r["overlap"]) for r in found.expanded.collect()}
+    want = {(r["a"], r["b"]): (r["distance"], r["overlap"]) for r in tw.pair_distances(returns).filter("distance <= 0.001 AND overlap >= 30").collect()}
+    assert set(got) == set(want) and len(want) == 2 * 45 + 7 * 10 + 6
+    assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
+@pytest.mark.parametrize("prefix", [4, 64])
+def test_a_walk_over_classes_is_the_walk_over_all_pairs(spark, prefix):
+    returns = copied_returns(spark)
+    found = tw.twin_classes(returns, 0.001, 30)
+    edges = materialise(tw.both_directions(found.expanded), "edges")
+    order = random.Random(4).sample(range(60), 60)
+    rows = spark.createDataFrame([("g", e, i) for i, e in enumerate(order)] + [("h", e, -i) for i, e in enumerate(order[:9])], "grp string, entity int, place int")
+    chosen = materialise(se.first_distinct(rows, ["grp"], "place", found.links, 8, prefix, found.classes), "chosen")
+    plain = materialise(se.first_distinct(rows, ["grp"], "place", edges, 8), "plain")
+    assert sorted(map(tuple, chosen.collect())) == sorted(map(tuple, plain.collect()))
+    over = se.displaced(rows, ["grp"], "place", found.links, chosen, 6, found.classes)
+    assert sorted(map(tuple, over.collect())) == sorted(map(tuple, se.displaced(rows, ["grp"], "place", edges, plain, 6).collect()))

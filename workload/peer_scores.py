@@ -152,9 +152,9 @@ EDGES_SQL = "edges AS (SELECT a AS entity, b AS twin, distance FROM twins UNION
 TWIN_CTES = (RETURNS_SQL, PAIRS_SQL, TWINS_SQL, EDGES_SQL)
 
 
-def twins(t: Tables):
+def twins(t: Tables) -> tw.Twins:
     returns = tw.pool_returns(t.stored_series, t.registry.select("entity", "manager"))
-    return tw.twin_pairs(returns, THRESHOLD, OVERLAP, PERIODS)
+    return tw.twin_classes(returns, THRESHOLD, OVERLAP, PERIODS)
 
 
 @query(
@@ -162,7 +162,7 @@ def twins(t: Tables):
     with_clause(PANEL_SQL, SERIES_SQL, REGISTRY_SQL, RETURNS_SQL, PAIRS_SQL, TWINS_SQL) + f"SELECT a, b, {r6('distance', 'distance')}, overlap FROM twins",
 )
 def _(t: Tables):
-    return twins(t)
+    return twins(t).expanded
 
 
 # --- selection -----------------------------------------------------------
@@ -218,8 +218,8 @@ def _(t: Tables):
     rows = materialise(
         scored.select("profile", "entity", F.struct((-F.col("score")).alias("s"), F.col("entity").alias("e")).alias("ord_key")), "rows"
     )
-    edges = materialise(tw.both_directions(twins(t)), "edges")
-    return se.first_distinct(rows, ["profile"], "ord_key", edges, SIZE)
+    found = twins(t)
+    return se.first_distinct(rows, ["profile"], "ord_key", found.links, SIZE, classes=found.classes)
 
 
 @query(
@@ -228,8 +228,8 @@ def _(t: Tables):
 )
 def _(t: Tables):
     gated = gated_pools(t)
-    edges = materialise(tw.both_directions(twins(t)), "edges")
-    return se.gated_selection(gated, ["profile"], "ord_key", edges, TOP_N, SIZE)[1]
+    found = twins(t)
+    return se.gated_selection(gated, ["profile"], "ord_key", found.links, TOP_N, SIZE, classes=found.classes)[1]
 
 
 @query(
@@ -238,8 +238,8 @@ def _(t: Tables):
 )
 def _(t: Tables):
     gated = gated_pools(t)
-    edges = materialise(tw.both_directions(twins(t)), "edges")
-    return se.gated_selection(gated, ["profile"], "ord_key", edges, TOP_N, SIZE)[0]
+    found = twins(t)
+    return se.gated_selection(gated, ["profile"], "ord_key", found.links, TOP_N, SIZE, classes=found.classes)[0]
 
 
 @query(
@@ -249,6 +249,6 @@ def _(t: Tables):
 )
 def _(t: Tables):
     gated = gated_pools(t)
-    edges = materialise(tw.both_directions(twins(t)), "edges")
-    struck = se.gated_selection(gated, ["profile"], "ord_key", edges, TOP_N, SIZE)[2]
+    found = twins(t)
+    struck = se.gated_selection(gated, ["profile"], "ord_key", found.links, TOP_N, SIZE, classes=found.classes)[2]
     return struck.select("profile", "entity", "gate_cost", "excess_return_pct", "exclusion_reason")

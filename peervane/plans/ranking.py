@@ -17,10 +17,10 @@ from peervane.operators.asof import combine_terms, in_force
 from peervane.operators.joins import assert_unique, without_overlap
 from peervane.operators.links import heaviest_edge, measured_fees, reconcile_fees
 from peervane.operators.peers import profile_pools, score_profiles
-from peervane.operators.resample import aligned_returns, resample_metrics, stability
+from peervane.operators.resample import aligned_returns, stability
 from peervane.operators.selection import gated_selection, manager_share, with_gates
 from peervane.operators.series import benchmark_over, metric_panel, summarise_series
-from peervane.operators.twins import both_directions, pool_returns, twin_pairs
+from peervane.operators.twins import both_directions, pool_returns, twin_classes
 from peervane.operators.universe import build_universe, compare_funnel, raise_if_off
 from peervane.params import (
     DIRECTIONS,
@@ -157,13 +157,13 @@ class Lists:
 def listed_pools(
     pools: DataFrame, profiles: Sequence[Profile], series: DataFrame, rates: DataFrame, settings: Settings,
     entity_number: Callable[[Column], Column] = entity_code, profile_number: Callable[[Column], Column] = entity_code,
-    calendars: tuple[str, ...] = (),
+    calendars: tuple[str, ...] = (), part: Callable[[Column], Column] = lambda entity: F.lit(0),
 ) -> Lists:
     """Score stored pools, draw their stability, and walk each profile's list.
 
-    Three tables are stored on the way: the scored pools, the twins and the drawn scores. Each is read several
-    times after it, and each is far smaller than the panel. `entity_number` and `profile_number` are what the draws
-    depend on; `calendars` names columns of the series that part it by calendar.
+    The scored pools, the twins by class and the histories are stored on the way. Each is read several
+    times after it, and each is smaller than the panel. `entity_number` and `profile_number` are what the draws
+    depend on; `calendars` names columns of the series that part it by calendar, and `part` numbers these calendars by entity.
     """
     chosen, resampling = settings.selection, settings.resampling
     metrics = metrics_of(profiles)
@@ -172,15 +172,11 @@ def listed_pools(
 
     members = pools.select("entity", "manager").distinct()
     returns = pool_returns(series, members, by=calendars)
-    twins = materialise(
-        both_directions(
-            twin_pairs(returns, chosen.max_tracking_difference, chosen.min_overlap, settings.periods)
-        ),
-        "twins",
+    twins = twin_classes(returns, chosen.max_tracking_difference, chosen.min_overlap, settings.periods)
+    histories = materialise(aligned_returns(series.join(members.select("entity"), "entity", "left_semi"), rates), "histories")
+    appearances = stability(
+        scored, histories, weights, metrics, settings.directions, twins, resampling, chosen.top_n, profile_number, entity_number, part
     )
-    histories = aligned_returns(series.join(members.select("entity"), "entity", "left_semi"), rates)
-    draws = resample_metrics(histories, resampling, code=entity_number)
-    appearances = stability(scored, draws, weights, metrics, settings.directions, twins, resampling, chosen.top_n, profile_number)
     ordered = scored.join(appearances, ["profile", "entity"])
     gated = with_gates(ordered, chosen.max_annual_cost, chosen.declared_trusted_above, chosen.performance_floor)
     gated = gated.withColumn(
@@ -191,10 +187,10 @@ def listed_pools(
     )
     gated = materialise(gated, "gated")
     picks, over, struck = gated_selection(
-        gated, ["profile"], "ord_key", twins, chosen.top_n, chosen.comparison_size, settings.prefix
+        gated, ["profile"], "ord_key", twins.links, chosen.top_n, chosen.comparison_size, settings.prefix, twins.classes
     )
     listed = picks.join(gated, ["profile", "entity"]).drop("ord_key")
-    return Lists(gated, weights, twins, listed, over, struck.drop("ord_key"))
+    return Lists(gated, weights, both_directions(twins.expanded), listed, over, struck.drop("ord_key"))
 
 
 def rank(inputs: Inputs, settings: Settings, reference: dt.date) -> Ranking:

@@ -113,7 +113,7 @@ def rankings(inputs: Inputs, settings: Settings, cuts: Sequence[dt.date]) -> tup
     lists = listed_pools(
         materialise(pools, "pools"), profiles, series, inputs.rates, settings,
         entity_number=lambda key: entity_code(keys.entity(key)), profile_number=lambda key: entity_code(words.entity(key)),
-        calendars=("_cut",),
+        calendars=("_cut",), part=keys.cut,
     )
 
     def dated(frame: DataFrame) -> DataFrame:

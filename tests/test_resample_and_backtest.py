@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from peervane.operators import backtest as bt
 from peervane.operators import peers as pe
 from peervane.operators import resample as rs
+from peervane.operators import twins as tw
 from peervane.params import Backtest, Profile, Resampling, weights_table
 from peervane.session import materialise
 
@@ -218,3 +219,48 @@ def test_few_priced_members_keep_everyone(spark):
     got = bt.cheapest_quartile(members).collect()
     assert sum(r["profile"] == "p" for r in got) == 12
     assert sorted(r["entity"] for r in got if r["profile"] == "q") == [0, 1, 2]
+
+
+@pytest.mark.parametrize("prefix", [3, 40])
+def test_stability_equals_walking_every_scored_draw(spark, prefix):
+    """Pools ranked from packed draws, in one round or several, come to the lists that all scored draws give."""
+    rng = random.Random(8)
+    histories, returns = [], []
+    for base in range(10):
+        rets = [rng.gauss(0.002 * base, 0.02) for _ in range(24 if base != 2 else 11)]
+        for copy in range(3):
+            entity = base * 10 + copy
+            histories.append((entity, rets, [0.001] * len(rets)))
+            returns += [("m" if base < 8 else f"m{copy}", entity, d, r) for d, r in enumerate(rets)]
+    h = materialise(spark.createDataFrame(histories, "entity bigint, rets array<double>, rates array<double>"), "h")
+    twins = tw.twin_classes(spark.createDataFrame(returns, "manager string, entity bigint, day_index int, ret double"), 0.35, 12)
+    edges = {(r["a"], r["b"]) for r in twins.expanded.collect()}
+    assert twins.pairs.count() and len(edges) > 30
+    ids = [e for e, _, _ in histories] + [999]
+    group = {e: f"g{e % 2}" for e in ids}
+    pool = spark.createDataFrame(
+        [(p, e, group[e], sum(g == group[e] for g in group.values()), len(ids), rng.random(), 0.0, 0.0) for p in ("p", "q") for e in ids],
+        "profile string, entity bigint, peer_group string, peer_size long, pool_size long, size_pct double, volatility_pct double, return_per_risk_pct double",
+    )
+    pool = materialise(pool, "pool")
+    metrics = ["size", "volatility", "return_per_risk"]
+    directions = {"size": "high", "volatility": "low", "return_per_risk": "high"}
+    profiles = [Profile("p", {"size": 10, "return_per_risk": 90}, {"size": 5}), Profile("q", {"volatility": 30, "return_per_risk": 70}, {"volatility": 9})]
+    weights = weights_table(spark, profiles).withColumnRenamed("weight", "effective_weight")
+    settings = Resampling(draws=23, block=5, seed=3)
+    got = {(r["profile"], r["entity"]): r for r in rs.stability(pool, h, weights, metrics, directions, twins, settings, 3, prefix=prefix).collect()}
+    scored = rs.scored_draws(pool, rs.resample_metrics(h, settings), weights, metrics, directions, settings).collect()
+    want = {rate: dict.fromkeys(got, 0) for rate in rs.RATES}
+    for rate, score in zip(rs.RATES, ("score", "score_variable_only")):
+        for profile in ("p", "q"):
+            for draw in range(23):
+                order = sorted((-r[score], r["entity"]) for r in scored if (r["profile"], r["draw"]) == (profile, draw))
+                chosen = []
+                for _, e in order:
+                    if len(chosen) < 3 and not any((min(e, c), max(e, c)) in edges for c in chosen):
+                        chosen.append(e)
+                for e in chosen:
+                    want[rate][profile, e] += 1
+    assert len(got) == 2 * len(ids)
+    for rate in rs.RATES:
+        assert {k: r[rate] for k, r in got.items()} == pytest.approx({k: n / 23 for k, n in want[rate].items()})

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from peervane.operators import resample as rs
-from peervane.operators import twins as tw
 from peervane.operators.peers import effective_weights, metric_dispersion
 from peervane.params import DIRECTIONS, Resampling, metrics_of, weights_table
 from peervane.session import materialise
@@ -184,6 +183,5 @@ def _(t: Tables):
 def _(t: Tables):
     scored, weights = scored_pools(t)
     scored = materialise(scored, "scored")
-    edges = materialise(tw.both_directions(twins(t)), "edges")
-    drawn = materialise(draws(t), "draws")
-    return rs.stability(scored, drawn, weights, metrics_of(PROFILES), DIRECTIONS, edges, SETTINGS)
+    stored = materialise(histories(t), "histories")
+    return rs.stability(scored, stored, weights, metrics_of(PROFILES), DIRECTIONS, twins(t), SETTINGS)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import decontaminate, mixing, ngram_join, quality, sharding
-from llm.tables import materialise, table
+from llm.tables import materialise, passing_tables, shuffles_released, table
 
 #: SQL can express neither the classifier nor the shuffle.
 ORACLE_SQL = None
@@ -26,8 +26,10 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at 0.8 or more, the one with the smallest id; rows without id stay."""
-    found = ngram_join.jaccard_components(docs, k=5, num=8, den=10)
-    others = found.filter("component_id <> doc_id").select("doc_id").distinct()
+    # Only the ids that go outlast the join; its tables and shuffles are larger than the documents.
+    with passing_tables(spark), shuffles_released(spark):
+        found = ngram_join.jaccard_components(docs, k=5, num=8, den=10)
+        others = materialise(found.filter("component_id <> doc_id").select("doc_id").distinct(), "near-copies", keep=True)
     return docs.join(others.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -43,10 +43,10 @@ from pyspark.sql import functions as F
 from llm.tables import components, groups_of, materialise
 from llm.textkit import mix64, shingle_sets, slices
 
-#: Axes of the trees; a document of many shingles has a finer point too, with about `PER_AXIS` shingles an axis.
-AXES = 64
-FINEST = 4096
-PER_AXIS = 4
+#: Axes of the trees; a document of many shingles has a finer point too, with at most `PER_AXIS` shingles an axis on average.
+AXES = 256
+FINEST = 1 << 15
+PER_AXIS = 1
 TILE = 2048
 LEAF = 32
 FANOUT = 8
@@ -109,7 +109,10 @@ def point_of(hashes: np.ndarray) -> bytes:
     axes = AXES
     while axes < FINEST and axes * PER_AXIS < len(hashes):
         axes *= 2
-    counts = np.bincount((hashes & np.uint64(axes - 1)).astype(np.int64), minlength=axes)
+    return packed_counts(np.bincount((hashes & np.uint64(axes - 1)).astype(np.int64), minlength=axes))
+
+
+def packed_counts(counts: np.ndarray) -> bytes:
     width = 1 if counts.max() < 256 else 4
     return bytes([width]) + counts.astype(f"<u{width}").tobytes()
 
@@ -120,6 +123,13 @@ def counts_in(point: bytes, axes: int | None = None) -> np.ndarray:
     return counts if axes is None else counts.reshape(-1, axes).sum(0)
 
 
+def stacked(points: list[bytes]) -> np.ndarray:
+    """Points of `AXES` axes as rows of one array, in bytes while all counts are that small."""
+    if all(p[0] == 1 for p in points):
+        return np.frombuffer(b"".join(points), np.uint8).reshape(len(points), AXES + 1)[:, 1:]
+    return np.stack([counts_in(p) for p in points])
+
+
 def shared_at_most(one: bytes, two: bytes) -> int:
     """The summed coordinate minima of two points on the axes that both have."""
     x, y = counts_in(one), counts_in(two)
@@ -175,7 +185,7 @@ def point_rows(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) ->
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(ids, pa.int64()), pa.array(sizes), pa.array(nodes, pa.int64()),
-                pa.array([None if f is None else counts_in(f, AXES).astype("<i4").tobytes() for f in fine], pa.binary()), pa.array(fine, pa.binary()),
+                pa.array([None if f is None else packed_counts(counts_in(f, AXES)) for f in fine], pa.binary()), pa.array(fine, pa.binary()),
                 *(pa.array(x, pa.list_(pa.int64())) for x in lists),
             ],
             names=["doc_id", "n_shingles", "node", "counts", "fine", "keys", "tied_keys", "tied_heads"],
@@ -242,10 +252,10 @@ def tree_pairs(a: Node, b: Node, points, sizes, labels, num, den) -> Iterator[tu
         x, y = stack.pop()
         if x.only is not None and y.only is not None and x.only == y.only:
             continue
-        if np.minimum(x.high, y.high).sum() < least_overlap(int(x.least) + int(y.least), num, den):
+        if int(np.minimum(x.high, y.high).sum()) < least_overlap(int(x.least) + int(y.least), num, den):
             continue
         if x.parts is None and y.parts is None:
-            shared = np.minimum(points[x.rows][:, None, :], points[y.rows][None, :, :]).sum(2)
+            shared = np.minimum(points[x.rows][:, None, :], points[y.rows][None, :, :]).sum(2, dtype=np.int64)
             need = least_overlap(sizes[x.rows][:, None] + sizes[y.rows][None, :], num, den)
             near = (shared >= need) & (labels[x.rows][:, None] != labels[y.rows][None, :])
             if x is y:
@@ -271,7 +281,7 @@ def block_pairs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterat
         if left != right:
             rows = rows.sort_by([("tile", "ascending")])
         node, label, size = (rows.column(c).to_numpy() for c in ("node", "component", "n_shingles"))
-        points = np.frombuffer(b"".join(rows.column("counts").to_pylist()), "<i4").reshape(len(node), AXES)
+        points = stacked(rows.column("counts").to_pylist())
         earlier = [frozenset(x) for x in rows.column("earlier").to_pylist()]
         if left == right:
             one = two = bulk_load(points, size, label)

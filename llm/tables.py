@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peervane.session import materialise
+from peervane.session import materialise, passing_tables
 
-__all__ = ["components", "groups_of", "materialise", "shuffles_released", "table"]
+__all__ = ["components", "groups_of", "materialise", "passing_tables", "shuffles_released", "table"]
 
 RELEASE_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

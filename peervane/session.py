@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
 
 
 def build_session(app: str = "peervane", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -47,7 +51,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{app}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables stored within it are deleted at its end, except those stored with `keep`: the result must be one of these."""
+    paths: list[str] = []
+    before = PASSING.set(paths)
+    try:
+        yield
+    finally:
+        PASSING.reset(before)
+        for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def materialise(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     This cuts lineage in a way that survives lost executors, and it fixes the
@@ -56,6 +73,8 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if not keep and (passing := PASSING.get()) is not None:
+        passing.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

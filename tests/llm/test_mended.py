@@ -4,6 +4,7 @@ import os
 import random
 import sys
 
+import numpy as np
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -80,3 +81,43 @@ def test_whole_records_go_through_both_passes(spark, tmp_path):
     sharding.write_shards(docs, path, shards=7, bucket_bytes=400)
     back = spark.read.parquet(path).groupBy("shard").count().collect()
     assert sum(r["count"] for r in back) == 400 and len(back) == 7
+
+
+def test_a_family_that_is_not_near_enough_leaves_no_pairs_in_a_block():
+    """Sixty texts that share 200 of 250 words: a similarity of two thirds, asked for is 0.8."""
+    import pyarrow as pa
+
+    texts = [" ".join([f"common{i}" for i in range(200)] + [f"own{n}x{i}" for i in range(50)]) for n in range(60)]
+    docs = pa.RecordBatch.from_arrays([pa.array(range(60), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    points = pa.Table.from_batches(ngram_join.point_rows([docs], 1, 8, 10))
+    same = lambda value, kind: pa.array([value] * 60, kind)
+    block = pa.RecordBatch.from_arrays(
+        [
+            same(7, pa.int64()), same(0, pa.int32()), same(0, pa.int32()), same(0, pa.int32()), *(points.column(c).combine_chunks() for c in ("node", "node", "n_shingles", "counts")),
+            same([], pa.list_(pa.int64())),
+        ],
+        names=["key", "left", "right", "tile", "node", "component", "n_shingles", "counts", "earlier"],
+    )
+    assert sum(b.num_rows for b in ngram_join.block_pairs([block], 8, 10)) == 0
+    assert sum(b.num_rows for b in ngram_join.block_pairs([block], 6, 10)) == 60 * 59 // 2
+
+
+def test_counts_over_a_byte_stay_whole():
+    small, large = (ngram_join.packed_counts(np.full(ngram_join.AXES, n)) for n in (255, 70_000))
+    assert ngram_join.stacked([small, large]).sum(axis=1).tolist() == [255 * ngram_join.AXES, 70_000 * ngram_join.AXES]
+    assert ngram_join.stacked([small]).sum() == 255 * ngram_join.AXES
+
+
+def test_the_near_duplicate_stage_leaves_no_tables_but_its_ids(spark):
+    import pathlib
+
+    import corpus_pipeline
+    from peervane.session import scratch_path
+
+    folder = pathlib.Path(scratch_path(spark, "any").removeprefix("file://")).parent
+    before = set(folder.glob("*"))
+    texts = [" ".join(f"a{i}" for i in range(40)), " ".join(f"a{i}" for i in range(41)), " ".join(f"b{i}" for i in range(40)), None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.one_of_near_copies(spark, docs, "").collect()}
+    assert kept == {0, 2, 3}
+    assert [p.name.rsplit("-", 1)[0] for p in set(folder.glob("*")) - before] == ["near-copies"]

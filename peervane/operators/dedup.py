@@ -32,5 +32,12 @@ def except_keys(first: DataFrame, second: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def fill_gaps(primary: DataFrame, fallback: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All of the primary table, then what only the fallback knows."""
-    return primary.unionByName(except_keys(fallback, primary, keys))
+    """All of the primary table, then what only the fallback knows.
+
+    Both meet in one shuffle by key and are read once, since what makes them may be a scan and an aggregate of
+    raw rows. A null key equals no other, so its rows all stay.
+    """
+    both = primary.withColumn("_turn", F.lit(0)).unionByName(fallback.withColumn("_turn", F.lit(1)))
+    known = both.withColumn("_first", F.min("_turn").over(W.partitionBy(*keys)))
+    unkeyed = F.array_contains(F.array(*[F.col(k).isNull() for k in keys]), True)
+    return known.filter((F.col("_turn") == F.col("_first")) | unkeyed).drop("_turn", "_first")

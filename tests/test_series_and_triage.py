@@ -152,6 +152,19 @@ def test_terms_in_force_and_coalesced(spark):
     assert {(r["entity"], r["fee"], r["source"]) for r in got} == {("a", 0.01, "P"), ("b", 0.02, "F"), ("c", 0.03, "F")}
 
 
+def test_coalescing_reads_each_filing_once(spark, tmp_path):
+    schema = "entity string, fee double, redemption_days int"
+    written = {"primary": [("a", 0.01, 1), ("b", None, 1), (None, 0.05, 5)], "fallback": [("a", 0.09, 9), ("b", 0.02, 2), ("b", 0.02, 3), (None, 0.06, 6)]}
+    for name, rows in written.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}")
+    primary, fallback = (spark.read.parquet(f"{tmp_path}/{name}") for name in written)
+    got = combine_terms(primary, fallback, "entity", ["fee", "redemption_days"], ("P", "F"))
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(
+        map(str, [("a", 0.01, 1, "P"), (None, 0.05, 5, "P"), ("b", 0.02, 2, "F"), ("b", 0.02, 3, "F"), (None, 0.06, 6, "F")])
+    )
+    assert got._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2
+
+
 def test_dimension_join_refuses_repeated_keys(spark):
     left = spark.createDataFrame([(1,), (2,)], "k int")
     right = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")

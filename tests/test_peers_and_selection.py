@@ -275,3 +275,26 @@ def test_a_walk_over_classes_is_the_walk_over_all_pairs(spark, prefix):
     assert sorted(map(tuple, chosen.collect())) == sorted(map(tuple, plain.collect()))
     over = se.displaced(rows, ["grp"], "place", found.links, chosen, 6, found.classes)
     assert sorted(map(tuple, over.collect())) == sorted(map(tuple, se.displaced(rows, ["grp"], "place", edges, plain, 6).collect()))
+
+
+def near_returns(spark, entities: int, days: int = 60):
+    """One manager whose series move together, some with a gap; twins are common at 0.05 and no two are copies."""
+    rows = []
+    for e in range(entities):
+        own = random.Random(e)
+        rows += [("m" if e % 5 else "n", e, d, 0.01 * ((-1) ** d) + own.gauss(0, 0.003)) for d in range(days) if e % 11 != 3 or d % 17 != 5]
+    return materialise(spark.createDataFrame(rows, "manager string, entity bigint, day_index int, ret double"), "returns")
+
+
+def test_series_travel_once_for_many_others(spark, monkeypatch):
+    """A crowded cell sends each of its series to few tasks, and no pair comes twice where a tile stays empty."""
+    sent = []
+    monkeypatch.setattr(tw, "_met", lambda rows, *rest, met=tw._met: sent.append(rows.count()) or met(rows, *rest))
+    returns = near_returns(spark, 400)
+    found = [(r["a"], r["b"], r["overlap"]) for r in tw.twin_pairs(returns, 0.0663, 40).collect()]
+    want = {(r["a"], r["b"], r["overlap"]) for r in tw.pair_distances(returns).filter("distance <= 0.0663 AND overlap >= 40").collect()}
+    assert len(found) == len(set(found)) and set(found) == want and len(want) > 1000
+    # A whole series meets its own cell and the next, and those with gaps in each of the parts.
+    assert len(sent) == 1 and sent[0] <= 400 * 8
+    few = returns.filter("entity < 12")
+    assert tw.twin_pairs(few, 1.0, 40, tile=1).count() == tw.pair_distances(few).count() == 39

@@ -152,9 +152,12 @@ EDGES_SQL = "edges AS (SELECT a AS entity, b AS twin, distance FROM twins UNION
 TWIN_CTES = (RETURNS_SQL, PAIRS_SQL, TWINS_SQL, EDGES_SQL)
 
 
+def twin_returns(t: Tables):
+    return tw.pool_returns(t.stored_series, t.registry.select("entity", "manager"))
+
+
 def twins(t: Tables) -> tw.Twins:
-    returns = tw.pool_returns(t.stored_series, t.registry.select("entity", "manager"))
-    return tw.twin_classes(returns, THRESHOLD, OVERLAP, PERIODS)
+    return tw.twin_classes(twin_returns(t), THRESHOLD, OVERLAP, PERIODS)
 
 
 @query(
@@ -162,7 +165,7 @@ def twins(t: Tables) -> tw.Twins:
     with_clause(PANEL_SQL, SERIES_SQL, REGISTRY_SQL, RETURNS_SQL, PAIRS_SQL, TWINS_SQL) + f"SELECT a, b, {r6('distance', 'distance')}, overlap FROM twins",
 )
 def _(t: Tables):
-    return twins(t).expanded
+    return tw.twin_pairs(twin_returns(t), THRESHOLD, OVERLAP, PERIODS)
 
 
 # --- selection -----------------------------------------------------------

@@ -5,6 +5,9 @@ An order is a column that sorts ascending, usually a struct such as
 prefix of every group, and goes on only for groups whose prefix ran out before
 the list was full. Each further round starts with an entity that no chosen one
 repeats, so a list of n needs at most n rounds.
+
+`edges` is (entity, twin, distance) in both directions, or `Twins`, which are measured
+among the rows of a prefix and beside the entities that were chosen, and nowhere else.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from peervane.functions.numbers import gate_cost
+from peervane.operators.twins import Twins
 from peervane.session import materialise
 
 PREFIX = 64
@@ -32,14 +36,28 @@ def top_per_group(frame: DataFrame, groups: Sequence[str], order: Sequence[Colum
     return frame.withColumn("position", F.row_number().over(w)).filter(F.col("position") <= n)
 
 
-def _fold(window: DataFrame, groups: Sequence[str], edges: DataFrame, room: Column) -> DataFrame:
-    """Walk each group's window in order; (groups, picks, seen)."""
+def _among(window: DataFrame, groups: Sequence[str], edges: DataFrame | Twins) -> DataFrame:
+    """(groups, entity, _twins): the twins of each entity among those of its group."""
+    if isinstance(edges, Twins):
+        return edges.among(window, groups)
     near = edges.select("entity", "twin")
     inside = window.select(*groups, F.col("entity").alias("twin"))
-    twins = (
+    return (
         window.select(*groups, "entity").join(near, "entity").join(inside, [*groups, "twin"], "left_semi")
         .groupBy(*groups, "entity").agg(F.collect_list("twin").alias("_twins"))
     )
+
+
+def _beside(rows: DataFrame, edges: DataFrame | Twins) -> DataFrame:
+    """The rows of (entity, ..) once for each twin, with (twin, distance)."""
+    if isinstance(edges, Twins):
+        return edges.beside(rows)
+    return rows.join(edges.select("entity", "twin", "distance"), "entity")
+
+
+def _fold(window: DataFrame, groups: Sequence[str], edges: DataFrame | Twins, room: Column) -> DataFrame:
+    """Walk each group's window in order; (groups, picks, seen)."""
+    twins = _among(window, groups, edges)
     rows = window.join(twins, [*groups, "entity"], "left")
     id_type = window.schema["entity"].dataType
     none = F.array().cast(f"array<{id_type.simpleString()}>")
@@ -73,12 +91,12 @@ def class_heads(rows: DataFrame, groups: Sequence[str], order: str, classes: Dat
 
 
 def walk(
-    leading: Callable[[DataFrame | None, DataFrame | None], DataFrame], groups: Sequence[str], edges: DataFrame, n: int, prefix: int
+    leading: Callable[[DataFrame | None, DataFrame | None], DataFrame], groups: Sequence[str], edges: DataFrame | Twins, n: int, prefix: int
 ) -> DataFrame:
     """(groups, pick, entity): the first n of each order that repeat nothing chosen.
 
-    `leading(unfilled, gone)` gives the first `prefix` rows of every group as (groups, entity, position, _held); after the
-    first round, of the groups in `unfilled` (groups, _held) alone and without the (groups, entity) in `gone`.
+    `leading(unfilled, gone)` gives the first `prefix` rows of every group as a stored table (groups, entity, position, _held);
+    after the first round, of the groups in `unfilled` (groups, _held) alone and without the (groups, entity) in `gone`.
     """
     groups = list(groups)
     parts: list[DataFrame] = []
@@ -99,42 +117,52 @@ def walk(
         )
         if unfilled.isEmpty():
             break
-        repeated = chosen.join(edges.select("entity", "twin"), "entity").select(*groups, F.col("twin").alias("entity"))
-        gone = chosen.select(*groups, "entity").unionByName(repeated)
+        begun = chosen.join(unfilled.select(*groups), groups, "left_semi").select(*groups, "entity")
+        gone = begun.unionByName(_beside(begun, edges).select(*groups, F.col("twin").alias("entity")))
     return reduce(DataFrame.unionByName, parts)
 
 
 def first_distinct(
-    rows: DataFrame, groups: Sequence[str], order: str, edges: DataFrame, n: int, prefix: int = PREFIX,
+    rows: DataFrame, groups: Sequence[str], order: str, edges: DataFrame | Twins, n: int, prefix: int = PREFIX,
     classes: DataFrame | None = None,
 ) -> DataFrame:
     """(groups, pick, entity): the first n of each order that repeat nothing chosen.
 
-    `rows` is (groups, entity, order); `edges` is (entity, twin) in both directions. With `classes`, which
-    is (entity, class), the edges are between classes, and members of one class repeat each other.
+    `rows` is (groups, entity, order). With `classes`, which is (entity, class), the edges are between classes, and
+    members of one class repeat each other; `Twins` go with classes of their own.
     """
     groups = list(groups)
+    classes = _classes_of(edges, classes)
     prefix = max(prefix, n)
     if classes is not None:
         heads = materialise(class_heads(rows, groups, order, classes), "heads")
-        picked = first_distinct(heads, groups, order, edges, n, prefix)
+        picked = _first_of_heads(heads, groups, order, edges, n, prefix)
         return picked.join(heads.select(*groups, "entity", "holder"), [*groups, "entity"]).select(
             *groups, "pick", F.col("holder").alias("entity")
         )
 
+    return _first_of_heads(rows, groups, order, edges, n, prefix)
+
+
+def _classes_of(edges: DataFrame | Twins, classes: DataFrame | None) -> DataFrame | None:
+    return edges.classes if classes is None and isinstance(edges, Twins) else classes
+
+
+def _first_of_heads(rows: DataFrame, groups: list[str], order: str, edges: DataFrame | Twins, n: int, prefix: int) -> DataFrame:
     def leading(unfilled: DataFrame | None, gone: DataFrame | None) -> DataFrame:
         remaining = rows.select(*groups, "entity", order)
         if unfilled is None:
             remaining = remaining.withColumn("_held", F.lit(0))
         else:
             remaining = remaining.join(unfilled, groups).join(gone, [*groups, "entity"], "left_anti")
-        return top_per_group(remaining, groups, [F.col(order)], prefix)
+        first = top_per_group(remaining, groups, [F.col(order)], prefix)
+        return materialise(first.select(*groups, "entity", "position", "_held"), "window")
 
     return walk(leading, groups, edges, n, prefix)
 
 
 def displaced(
-    rows: DataFrame, groups: Sequence[str], order: str, edges: DataFrame, chosen: DataFrame, n: int,
+    rows: DataFrame, groups: Sequence[str], order: str, edges: DataFrame | Twins, chosen: DataFrame, n: int,
     classes: DataFrame | None = None,
 ) -> DataFrame:
     """(groups, entity, duplicate_of, distance): rows the walk reached and passed over.
@@ -143,6 +171,7 @@ def displaced(
     before it; it names the closest such one. With `classes`, `edges` are between them.
     """
     groups = list(groups)
+    classes = _classes_of(edges, classes)
     ordered = rows.select(*groups, "entity", order)
     if classes is None:
         ordered = ordered.withColumn("_class", F.col("entity"))
@@ -153,13 +182,13 @@ def displaced(
     ends = placed.groupBy(*groups).agg(
         F.max(order).alias("_last"), F.count(F.lit(1)).alias("_filled")
     )
-    holders = placed.select(*groups, F.col("entity").alias("twin"), F.col(order).alias("_held_at"), F.col("_class").alias("_near"))
-    near = holders.join(edges.select(F.col("entity").alias("_class"), F.col("twin").alias("_near"), "distance"), "_near")
+    holders = placed.select(*groups, F.col("entity").alias("_holder"), F.col(order).alias("_held_at"), F.col("_class").alias("entity"))
+    near = _beside(holders, edges).withColumnRenamed("twin", "_class")
     if classes is not None:
-        own = holders.select("*", F.col("_near").alias("_class"), F.lit(0.0).alias("distance"))
+        own = holders.select("*", F.col("entity").alias("_class"), F.lit(0.0).alias("distance"))
         near = near.unionByName(own)
     candidates = (
-        near.drop("_near").join(ordered, [*groups, "_class"])
+        near.drop("entity").withColumnRenamed("_holder", "twin").join(ordered, [*groups, "_class"])
         .filter(F.col("_held_at") < F.col(order))
         .join(ends, groups)
         .filter((F.col("_filled") < n) | (F.col(order) < F.col("_last")))
@@ -194,7 +223,7 @@ def exclusion_reason() -> Column:
 
 
 def gated_selection(
-    scored: DataFrame, groups: Sequence[str], order: str, edges: DataFrame, top_n: int, size: int,
+    scored: DataFrame, groups: Sequence[str], order: str, edges: DataFrame | Twins, top_n: int, size: int,
     prefix: int = PREFIX, classes: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(listed, displaced, struck) under the vetoes; `classes` as in `first_distinct`.

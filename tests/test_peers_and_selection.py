@@ -298,3 +298,22 @@ def test_series_travel_once_for_many_others(spark, monkeypatch):
     assert len(sent) == 1 and sent[0] <= 400 * 8
     few = returns.filter("entity < 12")
     assert tw.twin_pairs(few, 1.0, 40, tile=1).count() == tw.pair_distances(few).count() == 39
+
+
+@pytest.mark.parametrize("prefix", [4, 64])
+def test_a_walk_measures_only_the_twins_it_meets(spark, prefix):
+    returns = near_returns(spark, 120)
+    found = tw.twin_classes(returns, 0.07, 40, tile=16)
+    order = random.Random(4).sample(range(120), 120)
+    rows = spark.createDataFrame(
+        [("g", e, i) for i, e in enumerate(order)] + [("h", e, -i) for i, e in enumerate(order)] + [("i", e, i) for i, e in enumerate(order[:9])] + [("i", 999, 4)],
+        "grp string, entity bigint, place int",
+    )
+    chosen = materialise(se.first_distinct(rows, ["grp"], "place", found, 8, prefix), "chosen")
+    over = se.displaced(rows, ["grp"], "place", found, chosen, 6).collect()
+    assert "pairs" not in vars(found)
+    edges = materialise(tw.both_directions(found.expanded), "edges")
+    assert edges.count() > 1000
+    plain = materialise(se.first_distinct(rows, ["grp"], "place", edges, 8), "plain")
+    assert sorted(map(tuple, chosen.collect())) == sorted(map(tuple, plain.collect()))
+    assert sorted(map(tuple, over)) == sorted(map(tuple, se.displaced(rows, ["grp"], "place", edges, plain, 6).collect()))

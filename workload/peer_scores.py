@@ -221,8 +221,7 @@ def _(t: Tables):
     rows = materialise(
         scored.select("profile", "entity", F.struct((-F.col("score")).alias("s"), F.col("entity").alias("e")).alias("ord_key")), "rows"
     )
-    found = twins(t)
-    return se.first_distinct(rows, ["profile"], "ord_key", found.links, SIZE, classes=found.classes)
+    return se.first_distinct(rows, ["profile"], "ord_key", twins(t), SIZE)
 
 
 @query(

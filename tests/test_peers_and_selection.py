@@ -317,3 +317,19 @@ def test_a_walk_measures_only_the_twins_it_meets(spark, prefix):
     plain = materialise(se.first_distinct(rows, ["grp"], "place", edges, 8), "plain")
     assert sorted(map(tuple, chosen.collect())) == sorted(map(tuple, plain.collect()))
     assert sorted(map(tuple, over)) == sorted(map(tuple, se.displaced(rows, ["grp"], "place", edges, plain, 6).collect()))
+
+
+def test_gated_lists_measure_only_the_twins_they_meet(spark):
+    returns = near_returns(spark, 60)
+    found = tw.twin_classes(returns, 0.07, 40, tile=16)
+    rng = random.Random(6)
+    scored = spark.createDataFrame(
+        [(p, e, i, None, rng.random()) for p in "pq" for i, e in enumerate(rng.sample(range(60), 60))],
+        "profile string, entity bigint, place int, declared_fee double, excess_return_pct double",
+    ).withColumn("measured_fee", F.lit(None).cast("double"))
+    gated = materialise(se.with_gates(scored, 0.0035, 0.0, 0.4), "gated")
+    got = [sorted(map(tuple, part.collect())) for part in se.gated_selection(gated, ["profile"], "place", found, 3, 6, 8)]
+    assert "pairs" not in vars(found)
+    edges = materialise(tw.both_directions(found.expanded), "edges")
+    want = [sorted(map(tuple, part.collect())) for part in se.gated_selection(gated, ["profile"], "place", edges, 3, 6)]
+    assert got == want and all(want)

@@ -239,8 +239,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     gated = gated_pools(t)
-    found = twins(t)
-    return se.gated_selection(gated, ["profile"], "ord_key", found.links, TOP_N, SIZE, classes=found.classes)[0]
+    return se.gated_selection(gated, ["profile"], "ord_key", twins(t), TOP_N, SIZE)[0]
 
 
 @query(

@@ -249,6 +249,5 @@ def _(t: Tables):
 )
 def _(t: Tables):
     gated = gated_pools(t)
-    found = twins(t)
-    struck = se.gated_selection(gated, ["profile"], "ord_key", found.links, TOP_N, SIZE, classes=found.classes)[2]
+    struck = se.gated_selection(gated, ["profile"], "ord_key", twins(t), TOP_N, SIZE)[2]
     return struck.select("profile", "entity", "gate_cost", "excess_return_pct", "exclusion_reason")

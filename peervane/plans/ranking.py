@@ -20,7 +20,7 @@ from peervane.operators.peers import profile_pools, score_profiles
 from peervane.operators.resample import aligned_returns, stability
 from peervane.operators.selection import gated_selection, manager_share, with_gates
 from peervane.operators.series import benchmark_over, metric_panel, summarise_series
-from peervane.operators.twins import both_directions, pool_returns, twin_classes
+from peervane.operators.twins import Twins, both_directions, pool_returns, twin_classes
 from peervane.operators.universe import build_universe, compare_funnel, raise_if_off
 from peervane.params import (
     DIRECTIONS,
@@ -81,13 +81,18 @@ class Ranking:
     funnel: DataFrame
     scored: DataFrame
     weights: DataFrame
-    twins: DataFrame
+    found: Twins
     listed: DataFrame
     displaced: DataFrame
     struck: DataFrame
     shares: DataFrame
     start: dt.date
 
+    @property
+    def twins(self) -> DataFrame:
+        """(entity, twin, distance): all pairs of the pools from both ends, measured when asked for."""
+        return both_directions(self.found.expanded)
+
 
 def terms_in_force(inputs: Inputs, settings: Settings, series: DataFrame, reference: dt.date) -> DataFrame:
     """Coalesced terms as of the reference date with the fee reconciled."""
@@ -148,7 +153,7 @@ class Lists:
 
     scored: DataFrame
     weights: DataFrame
-    twins: DataFrame
+    found: Twins
     listed: DataFrame
     displaced: DataFrame
     struck: DataFrame
@@ -187,10 +192,10 @@ def listed_pools(
     )
     gated = materialise(gated, "gated")
     picks, over, struck = gated_selection(
-        gated, ["profile"], "ord_key", twins.links, chosen.top_n, chosen.comparison_size, settings.prefix, twins.classes
+        gated, ["profile"], "ord_key", twins, chosen.top_n, chosen.comparison_size, settings.prefix
     )
     listed = picks.join(gated, ["profile", "entity"]).drop("ord_key")
-    return Lists(gated, weights, both_directions(twins.expanded), listed, over, struck.drop("ord_key"))
+    return Lists(gated, weights, twins, listed, over, struck.drop("ord_key"))
 
 
 def rank(inputs: Inputs, settings: Settings, reference: dt.date) -> Ranking:
@@ -204,6 +209,6 @@ def rank(inputs: Inputs, settings: Settings, reference: dt.date) -> Ranking:
     pools = materialise(profile_pools(funds, settings.profiles), "pools")
     lists = listed_pools(pools, settings.profiles, series, inputs.rates, settings)
     return Ranking(
-        funds, funnel, lists.scored, lists.weights, lists.twins, lists.listed, lists.displaced, lists.struck,
+        funds, funnel, lists.scored, lists.weights, lists.found, lists.listed, lists.displaced, lists.struck,
         manager_share(pools), start,
     )

@@ -272,3 +272,18 @@ def test_drawn_histories_spread_over_the_tasks(spark):
     made = rs.block_bootstrap(materialise(h, "h"), Resampling(draws=500, block=6, seed=1))
     tasks = made.select(F.spark_partition_id().alias("task"), "entity", "draw").distinct().groupBy("task").count().collect()
     assert sum(r["count"] for r in tasks) == 64 * 500 and len(tasks) >= 6
+
+
+def test_stability_measures_only_the_twins_it_meets(spark):
+    """Twins of every pair are not formed for the few that lead a draw, in the first round or in later ones."""
+    rng = random.Random(9)
+    series = {e: [rng.gauss(0, 0.02) for _ in range(24)] for e in range(30)}
+    h = materialise(spark.createDataFrame([(e, r, [0.0] * 24) for e, r in series.items()], "entity bigint, rets array<double>, rates array<double>"), "h")
+    returns = spark.createDataFrame([("m", e, d, r) for e, rets in series.items() for d, r in enumerate(rets)], "manager string, entity bigint, day_index int, ret double")
+    twins = tw.twin_classes(returns, 9.0, 12)
+    pool = materialise(spark.createDataFrame([("p", e, "g", 30, 30, 0.0) for e in series], "profile string, entity bigint, peer_group string, peer_size long, pool_size long, volatility_pct double"), "pool")
+    weights = weights_table(spark, [Profile("p", {"volatility": 100})]).withColumnRenamed("weight", "effective_weight")
+    got = rs.stability(pool, h, weights, ["volatility"], {"volatility": "low"}, twins, Resampling(draws=12, block=5, seed=3), 3, prefix=4).collect()
+    assert "pairs" not in vars(twins)
+    # Everyone is everyone's twin: a draw lists its first entity alone.
+    assert [sum(r[rate] for r in got) for rate in rs.RATES] == pytest.approx([1.0, 1.0])
